@@ -184,11 +184,10 @@ def report(spark, sf_dir):
         [], "constraint_check_type string, description string, metric_name string"
     )
     write_report(violations_json(none), violations)
-    doc = (
-        read_report(spark, evaluation)
-        .select(F.col("value").alias("e"))
-        .join(read_report(spark, statistics).select(F.col("value").alias("s")))
-        .join(read_report(spark, violations).select(F.col("value").alias("v")))
+    doc = read_report(spark, evaluation).select(
+        F.col("value").alias("e"),
+        read_report(spark, statistics).scalar().alias("s"),
+        read_report(spark, violations).scalar().alias("v"),
     )
     number = lambda c, path: F.get_json_object(c, path).cast("double")
     return doc.select(

@@ -18,7 +18,7 @@ CREATED = "2024-01-01"
 def _retail(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("item"),
-        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        F.col("l_shipdate").alias("ts"),
         F.col("l_quantity").alias("units"),
         F.when(F.col("l_returnflag") == "R", "Manufacturing")
         .otherwise(F.col("l_returnflag"))
@@ -31,7 +31,7 @@ def _ads(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").filter(F.col("l_discount") > 0.05)
     return lines.select(
         F.col("l_suppkey").alias("item"),
-        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        F.col("l_shipdate").alias("ts"),
         F.col("l_linenumber").cast("double").alias("ads_units"),
     )
 
@@ -41,7 +41,7 @@ def series_train(spark, sf_dir):
     job = train_series(
         _retail(spark, sf_dir), _ads(spark, sf_dir), SeriesConfig(), "models/series", CREATED
     )
-    return job.metrics.join(job.gate.select("passed"))
+    return job.metrics.withColumn("passed", job.gate.select("passed").scalar())
 
 
 @query("job_series_drift")
@@ -49,12 +49,13 @@ def series_drift(spark, sf_dir):
     """A model trained on the years before 2000 meets the later observations."""
     cfg = SeriesConfig(how="mean")
     rows = _retail(spark, sf_dir).select("item", "ts", "units")
-    old = F.col("ts") < F.lit("2000-01-01").cast("timestamp")
+    old = F.col("ts") < F.lit("2000-01-01").cast("timestamp_ntz")
     job = train_series(rows.filter(old), None, cfg, "models/series", CREATED)
     drift = score_series_drift(rows.filter(~old), job.mapping, job.model, cfg)
     path = scratch_path(spark, "series-baseline")
     found = check_series_drift(drift, path, register_baseline=True)
-    return statistics_report(drift.metrics).join(violation_status(found))
+    failed = violation_status(found).select("failed").scalar()
+    return statistics_report(drift.metrics).withColumn("failed", failed)
 
 
 _FEATURES = ("asin_code", "ad_group_name_code", "targeting_type", "spend", "Cluster", "year", "month")
@@ -70,7 +71,7 @@ def _campaign(spark, sf_dir):
     )
     return joined.select(
         F.col("l_orderkey").alias("row_id"),
-        F.col("l_shipdate").cast("timestamp").alias("date"),
+        F.col("l_shipdate").alias("date"),
         F.col("p_name").alias("advertised_asin"),
         F.col("p_brand").alias("ad_group_name"),
         targeting.alias("targeting_type"),
@@ -88,7 +89,7 @@ def _tabular_config(trials: int):
 @query("job_tabular_train")
 def tabular_train(spark, sf_dir):
     job = train_tabular(_campaign(spark, sf_dir), _tabular_config(2), "models/tabular", CREATED)
-    return job.metrics.join(job.gate.select("passed"))
+    return job.metrics.withColumn("passed", job.gate.select("passed").scalar())
 
 
 @query("job_tabular_drift")
@@ -96,7 +97,7 @@ def tabular_drift(spark, sf_dir):
     """A model of the years before 2000 meets the later rows; unseen codes drop out."""
     cfg = _tabular_config(0)
     rows = _campaign(spark, sf_dir)
-    old = F.col("date") < F.lit("2000-01-01").cast("timestamp")
+    old = F.col("date") < F.lit("2000-01-01").cast("timestamp_ntz")
     job = train_tabular(rows.filter(old), cfg, "models/tabular", CREATED)
     drift = check_tabular_drift(
         rows.filter(~old), cfg, job.mappings, job.profile, job.model, job.constraints

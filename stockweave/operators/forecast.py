@@ -10,6 +10,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize, spread
 from .metrics import forecast_metrics
 from .pack import ordered_values
 from .registry import top_model
@@ -218,45 +219,63 @@ def _mean(values: Column) -> Column:
     )
 
 
-def _with_features(df: DataFrame, context: int, season: int = 7) -> DataFrame:
-    """Scaled inputs of a (context window, step) row; ``step`` counts from 1."""
-    ctx = F.col("_ctx")
-    mean = _mean(F.transform(ctx, F.abs))
-    phase = F.pmod(F.col("step") - 1, F.lit(season))
-    at = lambda back: F.element_at(ctx, (context - back + 1 + phase).cast("int"))
-    scaled = lambda c: F.coalesce(c, F.lit(0.0)) / F.col("scale")
-    return df.withColumn("scale", F.when(mean > 0, mean).otherwise(1.0)).withColumns(
-        {
-            "week_1": scaled(at(season)),
-            "week_2": scaled(at(2 * season)),
-            "recent_mean": scaled(_mean(F.slice(ctx, context - season + 1, season))),
-            "last_value": scaled(F.element_at(ctx, -1)),
-        }
+def _window(ctx: Column, season: int, *more: Column) -> Column:
+    """One context window with its means, computed once per window and not once per step."""
+    week = F.slice(ctx, F.size(ctx) - season + 1, season)
+    return F.struct(
+        ctx.alias("ctx"),
+        _mean(F.transform(ctx, F.abs)).alias("mean"),
+        _mean(week).alias("week_mean"),
+        *more,
     )
 
 
+def _features(context: int, season: int) -> dict[str, Column]:
+    """Scaled inputs from a window's columns and ``step``, which counts from 1."""
+    phase = F.pmod(F.col("step") - 1, F.lit(season))
+    scale = F.when(F.col("mean") > 0, F.col("mean")).otherwise(1.0)
+    scaled = lambda c: F.coalesce(c, F.lit(0.0)) / scale
+    at = lambda back: F.element_at("ctx", (context - back + 1 + phase).cast("int"))
+    return {
+        "scale": scale,
+        "week_1": scaled(at(season)),
+        "week_2": scaled(at(2 * season)),
+        "recent_mean": scaled(F.col("week_mean")),
+        "last_value": scaled(F.element_at("ctx", -1)),
+    }
+
+
 def training_rows(
-    packed: DataFrame, key: str, context: int = 28, horizon: int = 28, stride: int = 7
+    packed: DataFrame,
+    key: str,
+    context: int = 28,
+    horizon: int = 28,
+    stride: int = 7,
+    season: int = 7,
 ) -> DataFrame:
     """Context windows every ``stride`` bins with each of the following ``horizon`` values.
 
-    Windows lie inside the packed training part, so none crosses the cut.
+    Windows lie inside the packed training part, so none crosses the cut. A value
+    becomes about ``horizon / stride`` rows, so the packed rows are spread first.
     """
     last = F.size("target") - horizon
     windows = F.transform(
         F.sequence(F.lit(context), last, F.lit(stride)),
-        lambda end: F.struct(
-            F.slice("target", end - context + 1, context).alias("ctx"),
+        lambda end: _window(
+            F.slice("target", end - context + 1, context),
+            season,
             F.slice("target", end + 1, horizon).alias("future"),
         ),
     )
-    return _with_features(
-        packed.filter(last >= context)
-        .select(key, F.explode(windows).alias("_w"))
-        .select(key, F.col("_w.ctx").alias("_ctx"), F.posexplode("_w.future").alias("_i", "_y"))
-        .withColumn("step", F.col("_i") + 1),
-        context,
-    ).select(key, *FEATURES, (F.col("_y") / F.col("scale")).alias("label"))
+    return (
+        spread(packed.filter(last >= context).select(key, "target"), key)
+        .select(key, F.inline(windows))
+        .select(key, "ctx", "mean", "week_mean", F.posexplode("future").alias("_i", "_y"))
+        .filter(F.col("_y").isNotNull())
+        .withColumn("step", F.col("_i") + 1)
+        .withColumns(_features(context, season))
+        .select(key, *FEATURES, (F.col("_y") / F.col("scale")).alias("label"))
+    )
 
 
 def fit_forecaster(
@@ -268,34 +287,47 @@ def fit_forecaster(
     max_depth: int = 6,
     seed: int = 1729,
 ) -> QuantileForecaster:
-    """Fit the tree on all items; leaf quantiles are sketches, one row per leaf."""
-    rows = training_rows(packed, key, context, horizon).dropna("any")
+    """Fit the tree on all items; leaf quantiles are sketches, one row per leaf.
+
+    Absolute-loss boosting would need many rounds and answer one quantile; leaf
+    quantiles of one tree answer any (Meinshausen 2006).
+    """
+    rows = training_rows(packed, key, context, horizon)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    train = assembler.transform(rows).select("features", "label")
-    tree = DecisionTreeRegressor(
-        maxDepth=max_depth, minInstancesPerNode=20, leafCol="leaf", seed=seed
-    ).fit(train)
-    leaf_quantiles = (
-        tree.transform(train)
-        .groupBy("leaf")
-        .agg(F.percentile_approx("label", [float(q) for q in quantiles], 10_000).alias("levels"))
-    )
+    train = assembler.transform(rows).select("features", "label").persist()
+    try:
+        tree = DecisionTreeRegressor(
+            maxDepth=max_depth, minInstancesPerNode=20, leafCol="leaf", seed=seed
+        ).fit(train)
+        # Written now, while the training rows are at hand; every scoring reads it.
+        leaf_quantiles = materialize(
+            tree.transform(train)
+            .groupBy("leaf")
+            .agg(
+                F.percentile_approx("label", [float(q) for q in quantiles], 10_000).alias("levels")
+            )
+        )
+    finally:
+        train.unpersist()
     return QuantileForecaster(tree, leaf_quantiles, tuple(quantiles), context, horizon)
 
 
-def score_forecaster(model: QuantileForecaster, contexts: DataFrame, key: str) -> DataFrame:
+def score_forecaster(
+    model: QuantileForecaster, contexts: DataFrame, key: str, season: int = 7
+) -> DataFrame:
     """Forecast records (key, quantiles map, error) for packed contexts.
 
     Contexts shorter than the model's window yield an ``error`` record.
     """
     full = F.size("target") >= model.context
-    steps = contexts.filter(full).select(
-        key,
-        F.slice("target", -model.context, model.context).alias("_ctx"),
-        F.explode(F.sequence(F.lit(1), F.lit(model.horizon))).alias("step"),
+    window = _window(F.slice("target", -model.context, model.context), season)
+    steps = (
+        contexts.filter(full)
+        .select(key, F.inline(F.array(window)))
+        .select("*", F.explode(F.sequence(F.lit(1), F.lit(model.horizon))).alias("step"))
     )
     features = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        _with_features(steps, model.context)
+        steps.withColumns(_features(model.context, season))
     )
     # The tree has at most 2^max_depth leaves.
     scored = model.tree.transform(features.select(key, "step", "scale", "features")).join(

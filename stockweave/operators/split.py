@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bins import bin_index, bin_label
@@ -111,37 +111,40 @@ def random_split_exact(
     hashed = df.select(key).withColumn("_h", key_hash(seed, key))
     bucket = F.shiftright("_h", HASH_BITS - HASH_BUCKET_BITS)
     upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = lambda percent: F.floor(F.lit(percent * 0.01).cast("double") * F.col("_all"))
     histogram = (
         hashed.groupBy(bucket.alias("_b"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_end", F.sum("_n").over(upto))
         .withColumn("_all", F.sum("_n").over(Window.partitionBy()))
+        .withColumn("_start", F.col("_end") - F.col("_n"))
+        .withColumns({"_cut1": size(train_percent), "_cut2": size(train_percent + val_percent)})
     )
-
-    def last_row_before(percent: int) -> Column:
-        cut = F.floor(F.lit(percent * 0.01).cast("double") * F.col("_all"))
-        start = F.col("_end") - F.col("_n")
-        # At most one bucket qualifies.
-        holder = histogram.filter((start < cut) & (cut <= F.col("_end"))).select(
-            "_b", (cut - start).alias("_nth")
-        )
-        rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))
-        return (
-            hashed.withColumn("_b", bucket)
-            .join(F.broadcast(holder), "_b")
-            .withColumn("_rank", rank)
-            .filter(F.col("_rank") == F.col("_nth"))
-            .select(order.alias("_cut"))
-            .scalar()
+    holds = lambda cut: (F.col("_start") < F.col(cut)) & (F.col(cut) <= F.col("_end"))
+    # At most two buckets qualify.
+    holders = histogram.filter(holds("_cut1") | holds("_cut2")).select(
+        "_b", "_start", "_cut1", "_cut2"
+    )
+    nth = F.col("_start") + F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))
+    cuts = (
+        hashed.withColumn("_b", bucket)
+        .join(F.broadcast(holders), "_b")
+        .withColumn("_nth", nth)
+        .agg(
+            F.struct(
+                F.max(F.when(F.col("_nth") == F.col("_cut1"), order)).alias("first"),
+                F.max(F.when(F.col("_nth") == F.col("_cut2"), order)).alias("second"),
+            )
         )
-
-    within = lambda percent: F.coalesce(order <= last_row_before(percent), F.lit(False))
+        .scalar()
+    )
+    within = lambda cut: F.coalesce(order <= cuts[cut], F.lit(False))
     return (
         df.withColumn("_h", key_hash(seed, key))
         .withColumn(
             "split",
-            F.when(within(train_percent), "train")
-            .when(within(train_percent + val_percent), "validation")
+            F.when(within("first"), "train")
+            .when(within("second"), "validation")
             .otherwise("test"),
         )
         .drop("_h")

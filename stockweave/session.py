@@ -8,9 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A mapping row is a short string and an integer (about 100 bytes in a broadcast
-# hash table), so this many rows stay near 100 MB on every executor.
+# Bound of what is sent to every executor: rows, and characters over all columns.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_CHARS = 64_000_000
 
 
 def build_session(app: str = "stockweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,13 +55,29 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written rows.
+    """Write ``df`` below the checkpoint folder and continue from the written table.
 
     Partition numbers and other run-dependent values are then fixed: a lost
-    executor re-reads them instead of computing them anew.
+    executor re-reads them instead of computing them anew. The table keeps
+    column pruning and a file size, by which Spark plans later joins.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash partitions by ``key``, two per core at least, ahead of a step that multiplies rows.
+
+    The number is explicit, so adaptive execution does not merge partitions by
+    their small size before the rows multiply.
+    """
+    spark = df.sparkSession
+    n = max(
+        2 * spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
+    return df.repartition(n, key)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -69,8 +85,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the counted rows fit; otherwise Spark plans a shuffled join."""
-    if df.limit(max_rows + 1).count() <= max_rows:
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS
+) -> DataFrame:
+    """Broadcast hint only when the measured frame fits; otherwise Spark plans a shuffled join."""
+    chars = F.lit(0)
+    for name in df.columns:
+        chars = chars + F.coalesce(F.length(F.col(name).cast("string")), F.lit(0))
+    size = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")
+    )
+    measured = size.first()
+    if measured["rows"] <= max_rows and measured["chars"] <= max_chars:
         return F.broadcast(df)
     return df
