@@ -7,7 +7,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import calendar_parts, recode
+from ..functions.scalars import calendar_parts, not_nan, recode
+from ..session import materialize
+from .skew import MIN_SLICE_ROWS, slice_hot_keys
 
 
 def select_features(df: DataFrame, target: str, features: Iterable[str]) -> DataFrame:
@@ -31,21 +33,6 @@ def filter_if_present(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.filter(F.col(column) == value) if column in df.columns else df
 
 
-def _view_aggregates(column: str) -> list[Column]:
-    return [
-        F.min(column).alias("_lo"),
-        F.max(column).alias("_hi"),
-        F.max(F.col(column).isNull()).alias("_has_null"),
-    ]
-
-
-def _one_view() -> Column:
-    """Whether the aggregated rows carry one distinct view; null is a view of its own."""
-    return F.when(F.col("_has_null"), F.col("_lo").isNull()).otherwise(
-        F.col("_lo") == F.col("_hi")
-    )
-
-
 def _present(keys: Iterable[str]) -> Column:
     test = F.lit(True)
     for key in keys:
@@ -53,22 +40,35 @@ def _present(keys: Iterable[str]) -> Column:
     return test
 
 
-def prefer_value(df: DataFrame, keys: list[str], column: str, preferred: str) -> DataFrame:
+def prefer_value(
+    df: DataFrame,
+    keys: list[str],
+    column: str,
+    preferred: str,
+    min_slice: int = MIN_SLICE_ROWS,
+) -> DataFrame:
     """Per key: keep every row if there is one distinct view, else only the preferred view's rows.
 
-    Rows with a null key drop out. The decision per key is a map-side combined
-    aggregate joined back, so a key holding a large part of the rows is one
-    skewed join partition, which adaptive execution splits.
+    Null is a view of its own; rows with a null key drop out. What goes is other
+    views' rows of keys with several views, so those keys are counted map-side,
+    written, and anti-joined; the rows of a very frequent key are spread over
+    many join tasks.
     """
     rows = df.filter(_present(keys))
-    single = (
-        rows.groupBy(*keys).agg(*_view_aggregates(column)).select(*keys, _one_view().alias("_one"))
-    )
-    return (
-        rows.join(single, keys)
-        .filter(F.col("_one") | F.coalesce(F.col(column) == preferred, F.lit(False)))
-        .select(*df.columns)
+    mixed = materialize(
+        rows.groupBy(*keys, column)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_views"), F.sum("_n").alias("_n"))
+        .filter(F.col("_views") > 1)
+        .drop("_views")
     )
+    left, right, on = slice_hot_keys(rows, mixed, keys, "_n", min_slice)
+    left, right = left.alias("l"), right.alias("r")
+    drops = ~F.equal_null(F.col(f"l.{column}"), F.lit(preferred))
+    for name in on:
+        drops = drops & (F.col(f"l.{name}") == F.col(f"r.{name}"))
+    return left.join(right, drops, "left_anti").select(*df.columns)
 
 
 def prefer_value_totals(
@@ -82,25 +82,33 @@ def prefer_value_totals(
     """``prefer_value`` followed by equality filters and a sum of units per key.
 
     The choice depends only on which views a key has, so raw rows are first
-    summed map-side and whole groups of raw rows never travel. Each filter in
-    ``then`` applies after the choice: a row it rejects can still evict others.
+    summed per key and view, map-side, and groups of raw rows never travel. Each
+    filter in ``then`` applies after the choice: a row it rejects can still evict
+    others.
     """
-    then = {c: v for c, v in (then or {}).items() if c in df.columns}
     kept = F.lit(True)
-    for name, value in then.items():
-        kept = kept & F.coalesce(F.col(name) == value, F.lit(False))
-    is_preferred = F.coalesce(F.col(column) == preferred, F.lit(False))
-    totals = (
+    for name, value in (then or {}).items():
+        if name in df.columns:
+            kept = kept & F.coalesce(F.col(name) == value, F.lit(False))
+    # Null marks a key and view without any kept row; a kept null counts as 0.
+    total = F.sum(F.when(kept, F.coalesce(not_nan(F.col(units)), F.lit(0.0))))
+    is_preferred = F.equal_null(F.col(column), F.lit(preferred))
+    return (
         df.filter(_present(keys))
+        .groupBy(*keys, column)
+        .agg(total.alias("_total"))
         .groupBy(*keys)
         .agg(
-            *_view_aggregates(column),
-            F.sum(F.when(kept, F.coalesce(F.col(units), F.lit(0)))).alias("_all"),
-            F.sum(F.when(kept & is_preferred, F.coalesce(F.col(units), F.lit(0)))).alias("_pref"),
+            F.count(F.lit(1)).alias("_views"),
+            F.sum("_total").alias("_all"),
+            F.sum(F.when(is_preferred, F.col("_total"))).alias("_preferred"),
+        )
+        .select(
+            *keys,
+            F.when(F.col("_views") == 1, F.col("_all")).otherwise(F.col("_preferred")).alias(units),
         )
+        .filter(F.col(units).isNotNull())
     )
-    chosen = F.when(_one_view(), F.col("_all")).otherwise(F.col("_pref"))
-    return totals.select(*keys, chosen.alias(units)).filter(F.col(units).isNotNull())
 
 
 def drop_incomplete(df: DataFrame, subset: list[str] | None = None) -> DataFrame:

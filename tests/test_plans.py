@@ -1,0 +1,71 @@
+"""Shapes of physical plans: shuffles, pushdown, no Python evaluation, no cross joins."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from bindings.common import supply, visits
+from helpers import exchanges, plan_of
+from stockweave.operators.forecast import auto_forecast, candidates, history, hold_out
+from stockweave.operators.metrics import regression_metrics
+from stockweave.operators.series import regularize, resample, resample_with_related, to_bins
+from stockweave.operators.split import oversample, random_split, series_split, tail_context
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct")
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_no_python_and_no_cross_join(spark, sf_dir, name):
+    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    assert not [word for word in FORBIDDEN if word in plan]
+    assert "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("how", ["sum", "mean"])
+def test_resample_shuffles_twice_and_combines_first(spark, sf_dir, how):
+    regular = resample(supply(spark, sf_dir), "item", "ts", "units", how, interpolate=True)
+    plan = plan_of(regular)
+    assert exchanges(regular) == 2
+    assert "partial_" in plan and "Join" not in plan
+    assert "l_suppkey" in plan and "l_extendedprice" not in plan
+
+
+def test_splits_and_tails_add_no_shuffle(spark, sf_dir):
+    regular = resample(supply(spark, sf_dir), "item", "ts", "units")
+    assert exchanges(tail_context(series_split(regular).filter("split = 'train'"))) == 2
+
+
+def test_related_units_need_no_join(spark, sf_dir):
+    obs = visits(spark, sf_dir)
+    out = resample_with_related(obs, obs, "item", "ts", "units", "units")
+    assert exchanges(out) == 2 and "Join" not in plan_of(out)
+
+
+def test_whole_backtest_shuffles_three_times(spark, sf_dir):
+    bins = to_bins(supply(spark, sf_dir), "item", "ts", {"units": "mean"})
+    regular = regularize(bins, "item", {"units": "linear"}, cut=hold_out(28))
+    scores, _ = auto_forecast(history(regular, "item", "ts", "units"), "item", candidates(28))
+    # (item, bin), item, and the three rows per model.
+    assert exchanges(scores) == 3 and "Join" not in plan_of(scores)
+
+
+def test_hash_split_and_copies_need_no_shuffle(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    out = oversample(random_split(orders, "o_orderkey", 70, 20).filter("split = 'train'"))
+    assert exchanges(out) == 0
+
+
+def test_metrics_are_one_pass(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    plan = plan_of(regression_metrics(lines, "l_quantity", "l_tax"))
+    assert len(re.findall("FileScan", plan)) == 1 and "Exchange SinglePartition" in plan
+    assert "ReadSchema: struct<l_quantity:double,l_tax:double>" in plan
+
+
+def test_date_filter_reaches_the_scan(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    cut = lines.filter(F.col("l_shipdate") < F.lit("2000-12-31").cast("timestamp_ntz"))
+    plan = plan_of(resample(cut, "l_suppkey", "l_shipdate", "l_quantity"))
+    assert "LessThan(l_shipdate" in plan

@@ -1,0 +1,77 @@
+"""Files: observations, packed series, forecast records, captured rows."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from stockweave.session import scratch_path
+from stockweave.sources.series_json import (
+    read_forecasts,
+    read_series_json,
+    rejected_forecasts,
+    write_forecasts,
+    write_series_json,
+)
+from stockweave.sources.tables import capture, read_observations, with_inference_id, write_dataset
+
+
+def test_csv_with_and_without_schema(spark):
+    path = scratch_path(spark, "csv")
+    rows = [("2024-01-01", "a", 1.5), ("2024-01-02", "b", None)]
+    df = spark.createDataFrame(rows, "date string, asin string, units double")
+    write_dataset(df, path, "csv")
+    given = read_observations(spark, path, schema="date string, asin string, units double")
+    assert sorted(map(tuple, given.collect())) == rows
+    inferred = read_observations(spark, path)
+    assert dict(inferred.dtypes)["units"] == "double"
+    assert inferred.count() == 2
+
+
+def test_packed_series_lines(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 5), [1.0, None, 3.0], 7)], "start timestamp, target array<double>, cat int"
+    )
+    path = scratch_path(spark, "series")
+    write_series_json(df, path)
+    line = spark.read.text(path).first()["value"]
+    assert list(json.loads(line)) == ["start", "target", "cat"]
+    assert json.loads(line) == {"start": "2024-01-05 00:00:00", "target": [1.0, None, 3.0], "cat": 7}
+    assert tuple(read_series_json(spark, path).first()) == ("2024-01-05 00:00:00", [1.0, None, 3.0], 7)
+
+
+def forecasts(spark, with_error):
+    rows = [(0, {"0.5": [1.0, 2.0], "0.9": [3.0, 4.0]}, None)]
+    if with_error:
+        rows.append((1, None, "model failed"))
+    schema = "cat int, quantiles map<string,array<double>>, error string"
+    path = scratch_path(spark, "forecasts")
+    write_forecasts(spark.createDataFrame(rows, schema), path)
+    return path
+
+
+def test_forecast_quantile_is_picked(spark):
+    path = forecasts(spark, with_error=False)
+    assert [tuple(r) for r in read_forecasts(spark, path, "0.9").collect()] == [(0, [3.0, 4.0])]
+
+
+def test_error_records_raise_or_are_set_aside(spark):
+    path = forecasts(spark, with_error=True)
+    with pytest.raises(PySparkException, match="model failed"):
+        read_forecasts(spark, path).collect()
+    assert [r["cat"] for r in read_forecasts(spark, path, strict=False).collect()] == [0]
+    assert [r["cat"] for r in rejected_forecasts(spark, path).collect()] == [1]
+
+
+def test_captured_rows_append_by_date(spark):
+    df = spark.range(3).withColumn("prediction", F.col("id") * 1.5)
+    path = scratch_path(spark, "capture")
+    capture(df, path, "2024-01-01")
+    capture(df, path, "2024-01-02")
+    back = spark.read.parquet(path)
+    assert back.count() == 6
+    assert back.select("inference_id").distinct().count() == 3
+    again = with_inference_id(df).select("inference_id")
+    assert again.exceptAll(back.filter("run_date = '2024-01-01'").select("inference_id")).isEmpty()
