@@ -3,13 +3,28 @@
 from pyspark.sql import functions as F
 
 from stockweave.config import AutoForecastConfig, SeriesConfig, TabularConfig
+from stockweave.operators.encode import fit_labels
 from stockweave.operators.quality import statistics_report, violation_status
 from stockweave.plans.auto_forecast_job import run_auto_forecast, target_dataset
-from stockweave.plans.series_jobs import check_series_drift, score_series_drift, train_series
-from stockweave.plans.tabular_jobs import check_tabular_drift, train_tabular
+from stockweave.plans.series_jobs import (
+    check_series_drift,
+    context_part,
+    drift_set,
+    score_series_drift,
+    train_part,
+    train_series,
+    training_set,
+    validation_part,
+)
+from stockweave.plans.tabular_jobs import (
+    check_tabular_drift,
+    drift_rows,
+    train_tabular,
+    training_rows,
+)
 from stockweave.session import scratch_path
 
-from .common import query, r6, table
+from .common import grid_sql, line_sql, query, r6, table
 from .forecasts import rounded
 
 CREATED = "2024-01-01"
@@ -36,6 +51,94 @@ def _ads(spark, sf_dir):
     )
 
 
+_CLEAN = """
+views AS (
+  SELECT l_suppkey AS item, CAST(l_shipdate AS DATE) AS d, l_quantity AS units, l_returnflag AS view, l_linestatus AS period,
+         min(l_returnflag) OVER k = max(l_returnflag) OVER k AS one
+  FROM lineitem WINDOW k AS (PARTITION BY l_suppkey, l_shipdate)
+),
+retail AS (SELECT item, d, sum(units) AS v FROM views WHERE (one OR view = 'R') AND period = 'O' GROUP BY 1, 2),
+ads AS (
+  SELECT l_suppkey AS item, CAST(l_shipdate AS DATE) AS d, CAST(sum(l_linenumber) AS DOUBLE) AS v
+  FROM lineitem WHERE l_discount > 0.05 GROUP BY 1, 2
+),
+span AS (SELECT item, min(d) AS lo, max(d) AS hi FROM retail GROUP BY 1 HAVING max(d) - min(d) + 1 >= 29),
+codes AS (SELECT item, CAST(row_number() OVER (ORDER BY item) - 1 AS INTEGER) AS cat FROM span),
+grid AS (SELECT item, lo, hi, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM span),
+series AS (
+  SELECT g.item, g.d, g.d - g.lo AS pos, CAST(floor((g.hi - g.lo + 1) * 0.85::DOUBLE) AS INTEGER) AS n_train,
+         coalesce(r.v, 0) + coalesce(a.v, 0) AS v
+  FROM grid g LEFT JOIN retail r ON g.item = r.item AND g.d = r.d LEFT JOIN ads a ON g.item = a.item AND g.d = a.d
+)"""
+
+
+@query(
+    "series_training_set",
+    f"""WITH {_CLEAN}
+SELECT s.item, cat, CAST(min(d) AS DATE) AS start, min(CASE WHEN pos >= n_train THEN d END) AS validation_start, n_train,
+       CAST(count(*) FILTER (pos >= n_train) AS INTEGER) AS n_validation,
+       sum(CASE WHEN pos < n_train THEN v ELSE 0 END) AS train_units, sum(CASE WHEN pos >= n_train THEN v ELSE 0 END) AS validation_units,
+       sum(CASE WHEN pos < n_train AND pos >= n_train - 28 THEN v ELSE 0 END) AS context_units
+FROM series s JOIN codes c ON s.item = c.item GROUP BY s.item, cat, n_train""",
+)
+def series_training_set(spark, sf_dir):
+    """Everything before the model: preference, period, ads, grid, history, codes, split, context."""
+    cfg = SeriesConfig()
+    packed, _ = training_set(_retail(spark, sf_dir), _ads(spark, sf_dir), cfg)
+    train, validation = train_part(packed, cfg), validation_part(packed, cfg)
+    units = lambda name: F.aggregate("target", F.lit(0.0), lambda a, x: a + x).alias(name)
+    return (
+        packed.select(
+            "item",
+            "cat",
+            F.to_date("start").alias("start"),
+            F.to_date("validation_start").alias("validation_start"),
+            "n_train",
+        )
+        .join(train.select("item", units("train_units")), "item")
+        .join(
+            validation.select("item", F.size("target").alias("n_validation"), units("validation_units")),
+            "item",
+        )
+        .join(context_part(train, cfg).select("item", units("context_units")), "item")
+    )
+
+
+_FIRST = "l_shipdate < TIMESTAMP '2000-01-01'"
+
+
+@query(
+    "series_drift_set",
+    f"""WITH codes AS (
+  SELECT item, CAST(row_number() OVER (ORDER BY item) - 1 AS INTEGER) AS cat
+  FROM (SELECT DISTINCT l_suppkey AS item FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-01-10')
+),
+{grid_sql("SELECT l_suppkey AS item, l_shipdate AS ts, l_quantity AS units FROM lineitem WHERE NOT " + _FIRST, 'avg')},
+counts AS (SELECT d, count(*) AS n FROM raw GROUP BY 1),
+cut AS (SELECT min(d) AS c FROM (SELECT d, sum(n) OVER (ORDER BY d) AS u, sum(n) OVER () AS t FROM counts) WHERE u > t // 2),
+{line_sql("d >= (SELECT c FROM cut)")},
+steps AS (SELECT item, v, d - (SELECT c FROM cut) AS s FROM series)
+SELECT t.item, coalesce(cat, 100) AS cat, CAST(count(*) FILTER (s < 0) AS INTEGER) AS n_context,
+       CAST(count(*) FILTER (s >= 0) AS INTEGER) AS n_truth,
+       round(sum(v) FILTER (s < 0), 6) AS context_units, round(sum(v) FILTER (s >= 0), 6) AS truth_units
+FROM steps t LEFT JOIN codes c ON t.item = c.item WHERE s >= -28 AND s < 28
+GROUP BY t.item, cat HAVING count(*) FILTER (s < 0) > 0 AND count(*) FILTER (s >= 0) > 0""",
+)
+def series_drift_set(spark, sf_dir):
+    """Contexts and truth of the later observations, codes fitted on the first shipments only."""
+    rows = _retail(spark, sf_dir).select("item", "ts", "units")
+    old = F.col("ts") < F.lit("2000-01-01").cast("timestamp_ntz")
+    early = F.col("ts") < F.lit("1995-01-10").cast("timestamp_ntz")
+    mapping = fit_labels(rows.filter(early), "item")
+    contexts, truth = drift_set(rows.filter(~old), mapping, SeriesConfig(how="mean"))
+    units = lambda name: r6(
+        F.aggregate("target", F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+    ).alias(name)
+    return contexts.select("item", F.size("target").alias("n_context"), units("context_units")).join(
+        truth.select("item", "cat", F.size("target").alias("n_truth"), units("truth_units")), "item"
+    )
+
+
 @query("job_series_train")
 def series_train(spark, sf_dir):
     job = train_series(
@@ -86,6 +189,54 @@ def _tabular_config(trials: int):
     return TabularConfig("units", _FEATURES, rounds=5, trials=trials)
 
 
+_ENCODED = """
+rows AS (
+  SELECT l_orderkey, l_extendedprice AS units, l_shipdate AS date, p_name AS asin, p_brand AS ad_group_name,
+         CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS targeting_type, l_quantity * 11 AS spend, p_size AS "Cluster"
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+asins AS (SELECT asin, CAST(row_number() OVER (ORDER BY asin) - 1 AS INTEGER) AS asin_code FROM (SELECT DISTINCT asin FROM rows {first})),
+ad_groups AS (
+  SELECT ad_group_name, CAST(row_number() OVER (ORDER BY ad_group_name) - 1 AS INTEGER) AS ad_group_name_code
+  FROM (SELECT DISTINCT ad_group_name FROM rows {first})
+),
+coded AS (
+  SELECT units, asin_code, ad_group_name_code, targeting_type, spend, "Cluster",
+         CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+         CAST(concat('0x', substr(md5(concat('1729|', CAST(l_orderkey AS VARCHAR))), 1, 8)) AS BIGINT) % 100 AS bucket
+  FROM rows r JOIN asins a ON r.asin = a.asin JOIN ad_groups g ON r.ad_group_name = g.ad_group_name {later}
+)"""
+_COLUMNS = 'units, asin_code, ad_group_name_code, targeting_type, spend, "Cluster", year, month'
+
+
+@query(
+    "tabular_training_set",
+    f"""WITH {_ENCODED.format(first='', later='')}
+SELECT {_COLUMNS}, CASE WHEN bucket < 70 THEN 'train' WHEN bucket < 90 THEN 'validation' ELSE 'test' END AS split FROM coded""",
+)
+def tabular_training_set(spark, sf_dir):
+    rows, _ = training_rows(_campaign(spark, sf_dir), _tabular_config(0))
+    return rows
+
+
+_EARLY = "date < TIMESTAMP '1995-02-01'"
+
+
+@query(
+    "tabular_drift_set",
+    f"""WITH {_ENCODED.format(first='WHERE ' + _EARLY, later='WHERE NOT ' + _EARLY)}
+SELECT {_COLUMNS} FROM coded
+WHERE spend < 500 OR NOT (SELECT count(*) FILTER (spend > 500) < 0.2::DOUBLE * count(*) FROM coded)""",
+)
+def tabular_drift_set(spark, sf_dir):
+    """Codes fitted on the first month; later rows with other names drop out, outliers are trimmed."""
+    cfg = _tabular_config(0)
+    rows = _campaign(spark, sf_dir)
+    early = F.col("date") < F.lit("1995-02-01").cast("timestamp_ntz")
+    _, mappings = training_rows(rows.filter(early), cfg)
+    return drift_rows(rows.filter(~early), cfg, mappings)
+
+
 @query("job_tabular_train")
 def tabular_train(spark, sf_dir):
     job = train_tabular(_campaign(spark, sf_dir), _tabular_config(2), "models/tabular", CREATED)

@@ -57,9 +57,37 @@ def profile(spark, sf_dir):
     )
 
 
-@query("column_profile_sketch")
+def _sketch_sql(name: str, kind: str) -> str:
+    numeric = kind != "string"
+    x = f"CAST({name} AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"
+    near = "true" if numeric else "CAST(NULL AS BOOLEAN)"
+    return f"""
+SELECT '{name}' AS "column", '{kind}' AS data_type, count(*) AS n_rows, count({name}) AS n_present,
+       min({x}) AS min, max({x}) AS max, round(avg({x}), 6) AS mean, true AS distinct_near, {near} AS deciles_near
+FROM orders"""
+
+
+@query("column_profile_sketch", " UNION ALL ".join(map(_sketch_sql, _COLUMNS, _KINDS)))
 def sketch(spark, sf_dir):
-    return column_profile(_orders(spark, sf_dir))
+    """The one-pass profile; its sketches are held against the exact distinct counts and deciles."""
+    orders = _orders(spark, sf_dir)
+    exact = column_profile(orders, exact=True).select(
+        "column", F.col("n_distinct").alias("true_distinct"), F.col("deciles").alias("true_deciles")
+    )
+    distinct_near = F.abs(F.col("n_distinct") - F.col("true_distinct")) <= 0.15 * F.col("true_distinct")
+    gaps = F.zip_with("deciles", "true_deciles", lambda a, b: F.abs(a - b))
+    deciles_near = F.array_max(gaps) <= 0.01 * (F.col("max") - F.col("min"))
+    return column_profile(orders).join(exact, "column").select(
+        "column",
+        "data_type",
+        "n_rows",
+        "n_present",
+        "min",
+        "max",
+        r6("mean").alias("mean"),
+        distinct_near.alias("distinct_near"),
+        deciles_near.alias("deciles_near"),
+    )
 
 
 @query(

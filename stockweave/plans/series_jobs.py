@@ -13,7 +13,7 @@ from ..operators.clean import filter_if_present, prefer_value_totals
 from ..operators.encode import encode, fit_labels
 from ..operators.forecast import QuantileForecaster, fit_forecaster, score_forecaster
 from ..operators.metrics import regression_metrics
-from ..operators.pack import align_forecast, pack_series
+from ..operators.pack import align_forecast, ordered_values, pack_series
 from ..operators.quality import (
     build_constraints,
     check_constraints,
@@ -69,6 +69,44 @@ def regular_sales(
     )
 
 
+def training_set(
+    retail: DataFrame, ads: DataFrame | None, cfg: SeriesConfig, ads_units: str = "ads_units"
+) -> tuple[DataFrame, DataFrame]:
+    """Packed series ``item, start, validation_start, n_train, target, cat`` and the code mapping.
+
+    The packed rows are written: the fit, the scoring and the evaluation read them.
+    """
+    parts = series_split(regular_sales(retail, ads, cfg, ads_units), cfg.train_share)
+    in_validation = F.col("split") == "validation"
+    grouped = parts.groupBy(cfg.item).agg(
+        F.min(cfg.ts).alias("start"),
+        F.min(F.when(in_validation, F.col(cfg.ts))).alias("validation_start"),
+        F.count_if(~in_validation).cast("int").alias("n_train"),
+        ordered_values(F.col(cfg.ts), F.col(cfg.units)).alias("target"),
+    )
+    mapping = fit_labels(grouped, cfg.item)
+    return materialize(encode(grouped, mapping, cfg.item, "cat")), mapping
+
+
+def train_part(packed: DataFrame, cfg: SeriesConfig) -> DataFrame:
+    target = F.slice("target", F.lit(1), F.col("n_train"))
+    return packed.select(cfg.item, "start", target.alias("target"), "cat")
+
+
+def validation_part(packed: DataFrame, cfg: SeriesConfig) -> DataFrame:
+    target = F.slice("target", F.col("n_train") + 1, F.size("target"))
+    start = F.col("validation_start").alias("start")
+    return packed.select(cfg.item, start, target.alias("target"), "cat")
+
+
+def context_part(train: DataFrame, cfg: SeriesConfig) -> DataFrame:
+    """Last training values, fewer for a shorter series."""
+    back = F.least(F.lit(cfg.context), F.size("target"))
+    return train.select(
+        cfg.item, F.slice("target", -back, F.lit(cfg.context)).alias("target"), "cat"
+    )
+
+
 @dataclass(frozen=True)
 class SeriesTraining:
     model: QuantileForecaster
@@ -91,36 +129,9 @@ def train_series(
     ads_units: str = "ads_units",
 ) -> SeriesTraining:
     """Clean, resample, encode, split, pack, fit, score the validation head, gate."""
-    regular = regular_sales(retail, ads, cfg, ads_units)
-    parts = series_split(regular, cfg.train_share)
-    grouped = parts.groupBy(cfg.item).agg(
-        F.min(cfg.ts).alias("start"),
-        F.min(F.when(F.col("split") == "validation", F.col(cfg.ts))).alias("validation_start"),
-        F.count_if(F.col("split") == "train").cast("int").alias("n_train"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col(cfg.ts), F.col(cfg.units).alias("v")))),
-            lambda x: x["v"],
-        ).alias("target"),
-    )
-    mapping = fit_labels(grouped, cfg.item)
-    # Packed series are the input of the fit, the scoring and the evaluation.
-    packed = materialize(encode(grouped, mapping, cfg.item, "cat"))
-    train = packed.select(
-        cfg.item, "start", F.slice("target", F.lit(1), F.col("n_train")).alias("target"), "cat"
-    )
-    validation = packed.select(
-        cfg.item,
-        F.col("validation_start").alias("start"),
-        F.slice("target", F.col("n_train") + 1, F.size("target")).alias("target"),
-        "cat",
-    )
-    contexts = train.select(
-        cfg.item,
-        F.slice(
-            "target", -F.least(F.lit(cfg.context), F.size("target")), F.lit(cfg.context)
-        ).alias("target"),
-        "cat",
-    )
+    packed, mapping = training_set(retail, ads, cfg, ads_units)
+    train, validation = train_part(packed, cfg), validation_part(packed, cfg)
+    contexts = context_part(train, cfg)
     model = fit_forecaster(train, cfg.item, cfg.context, cfg.horizon, (cfg.quantile,))
     forecasts = score_forecaster(model, contexts, cfg.item)
     rows = align_forecast(validation, forecasts, cfg.item, cfg.horizon, str(cfg.quantile))
@@ -145,17 +156,13 @@ class SeriesDrift:
     constraints: DataFrame
 
 
-def score_series_drift(
-    observations: DataFrame,
-    mapping: DataFrame,
-    model: QuantileForecaster,
-    cfg: SeriesConfig,
-    cutoff: str = "median",
-) -> SeriesDrift:
-    """Recent series cut in two: the model sees the context before, the truth comes after.
+def drift_set(
+    observations: DataFrame, mapping: DataFrame, cfg: SeriesConfig, cutoff: str = "median"
+) -> tuple[DataFrame, DataFrame]:
+    """Packed contexts before a cutoff and packed truth after it, each side interpolated alone.
 
-    Each side is interpolated on its own. ``cutoff`` is ``median`` (of all bins)
-    or ``midpoint`` (the date at the middle row in item order).
+    ``cutoff`` is ``median`` (of all bins) or ``midpoint`` (the date at the middle
+    row in item order). Items outside the mapping share the unseen code.
     """
     bins = to_bins(observations, cfg.item, cfg.ts, {cfg.units: "mean"}, cfg.freq)
     grid = regularize(bins, cfg.item, {cfg.units: "null"}, cfg.freq, cfg.ts)
@@ -173,15 +180,23 @@ def score_series_drift(
         cfg.ts,
         cut=lambda first, last: F.lit(cut_bin),
     )
-    before = (F.col("pos") < F.col("cut_pos")) & (
-        F.col("pos") >= F.col("cut_pos") - cfg.context
-    )
-    after = (F.col("pos") >= F.col("cut_pos")) & (
-        F.col("pos") < F.col("cut_pos") + cfg.horizon
-    )
-    contexts = pack_series(regular.filter(before), cfg.item, cfg.ts, cfg.units)
-    truth = pack_series(regular.filter(after), cfg.item, cfg.ts, cfg.units)
-    truth = encode(truth, mapping, cfg.item, "cat", cfg.unseen_code)
+    step = F.col("pos") - F.col("cut_pos")
+    before = regular.filter((step < 0) & (step >= -cfg.context))
+    after = regular.filter((step >= 0) & (step < cfg.horizon))
+    contexts = pack_series(before, cfg.item, cfg.ts, cfg.units)
+    truth = pack_series(after, cfg.item, cfg.ts, cfg.units)
+    return contexts, encode(truth, mapping, cfg.item, "cat", cfg.unseen_code)
+
+
+def score_series_drift(
+    observations: DataFrame,
+    mapping: DataFrame,
+    model: QuantileForecaster,
+    cfg: SeriesConfig,
+    cutoff: str = "median",
+) -> SeriesDrift:
+    """Recent series cut in two: the model sees the context before, the truth comes after."""
+    contexts, truth = drift_set(observations, mapping, cfg, cutoff)
     forecasts = score_forecaster(model, contexts, cfg.item).filter(F.col("error").isNull())
     rows = materialize(
         align_forecast(truth, forecasts, cfg.item, cfg.horizon, str(cfg.quantile))

@@ -58,6 +58,22 @@ def encoded_rows(
     return cast_columns(df, whole), used
 
 
+def training_rows(df: DataFrame, cfg: TabularConfig) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Target, features and ``split`` of the encoded rows, and the fitted mappings."""
+    rows, mappings = encoded_rows(df, cfg)
+    parts = random_split(rows, cfg.row_key, cfg.train_percent, cfg.val_percent, cfg.seed)
+    return parts.select(cfg.target, *cfg.features, "split"), mappings
+
+
+def drift_rows(
+    df: DataFrame, cfg: TabularConfig, mappings: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Target and features of new rows: encoded with stored maps, outliers trimmed."""
+    rows, _ = encoded_rows(df, cfg, mappings)
+    rows = outlier_gate(rows, cfg.outlier_column, cfg.outlier_limit, cfg.outlier_share)
+    return select_features(rows, cfg.target, cfg.features)
+
+
 @dataclass(frozen=True)
 class TabularTraining:
     model: PipelineModel
@@ -76,10 +92,9 @@ def train_tabular(
     df: DataFrame, cfg: TabularConfig, uri: str, created: str, group: str = "tabular"
 ) -> TabularTraining:
     """Encode, split, profile, search (or fit once when ``trials`` is 0), score, gate."""
-    rows, mappings = encoded_rows(df, cfg)
-    parts = random_split(rows, cfg.row_key, cfg.train_percent, cfg.val_percent, cfg.seed)
+    parts, mappings = training_rows(df, cfg)
     # The trials, the profile and the scoring all read these rows.
-    parts = materialize(parts.select(cfg.target, *cfg.features, "split"))
+    parts = materialize(parts)
     # A weight of 8 stands for the eight copies of each training row.
     train = parts.filter("split = 'train'").withColumn("_weight", F.lit(float(cfg.oversample)))
     validation, test = parts.filter("split = 'validation'"), parts.filter("split = 'test'")
@@ -135,9 +150,7 @@ def check_tabular_drift(
     constraints: DataFrame,
 ) -> TabularDrift:
     """Encode with stored maps, trim outliers, compare profile and metrics with the baselines."""
-    rows, _ = encoded_rows(df, cfg, mappings)
-    rows = outlier_gate(rows, cfg.outlier_column, cfg.outlier_limit, cfg.outlier_share)
-    rows = materialize(select_features(rows, cfg.target, cfg.features))
+    rows = materialize(drift_rows(df, cfg, mappings))
     distances = distribution_distance(rows, baseline_profile)
     findings = data_check(column_profile(rows), baseline_profile, distances)
     pairs = score_projection(model, rows, cfg.target)
