@@ -98,7 +98,7 @@ mid AS (
 
 @query("midpoint_cutoff", f"WITH {grid_sql(SUPPLY, 'avg')}, {_MIDPOINT} SELECT cutoff FROM mid")
 def midpoint(spark, sf_dir):
-    out = midpoint_cutoff(supplier_series(spark, sf_dir), "item", "ts")
+    out = midpoint_cutoff(supply(spark, sf_dir), "item", "ts")
     return out.select(F.to_date("cutoff").alias("cutoff"))
 
 
@@ -120,7 +120,7 @@ upto AS (SELECT d, sum(n) OVER (ORDER BY d) AS c, sum(n) OVER () AS t FROM count
 SELECT min(d) AS cutoff FROM upto WHERE c > t // 2""",
 )
 def median(spark, sf_dir):
-    out = median_cutoff(supplier_series(spark, sf_dir), "ts")
+    out = median_cutoff(supply(spark, sf_dir), "item", "ts")
     return out.select(F.to_date("cutoff").alias("cutoff"))
 
 

@@ -43,15 +43,23 @@ def head_horizon(regular: DataFrame, n: int = 28) -> DataFrame:
     return regular.filter(F.col("pos") < n)
 
 
-def midpoint_cutoff(regular: DataFrame, key: str, ts: str, freq: str = "D") -> DataFrame:
-    """One row ``cutoff``: the time of global row ``n // 2`` in (item, time) order.
+def _spans(df: DataFrame, key: str, ts: str, freq: str) -> DataFrame:
+    """First and last bin per item, which are the same for observations and their regular series."""
+    number = bin_index(F.col(ts), freq)
+    return (
+        df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+        .groupBy(key)
+        .agg(F.min(number).alias("_first"), F.max(number).alias("_last"))
+    )
+
+
+def midpoint_cutoff(df: DataFrame, key: str, ts: str, freq: str = "D") -> DataFrame:
+    """One row ``cutoff``: the time of regular row ``n // 2`` in (item, time) order.
 
     Only one row per item takes part: running lengths locate the item that owns
     the row, and the position inside the gap-free series gives its time.
     """
-    lengths = regular.groupBy(key).agg(
-        F.min(bin_index(F.col(ts), freq)).alias("_first"), F.count(F.lit(1)).alias("_n")
-    )
+    lengths = _spans(df, key, ts, freq).withColumn("_n", F.col("_last") - F.col("_first") + 1)
     ends = running_total(lengths, [key], "_n", "_end")
     middle = ends.agg(F.floor(F.sum("_n") / 2)).scalar()
     offset = middle - (F.col("_end") - F.col("_n"))
@@ -66,22 +74,41 @@ def midpoint_split(regular: DataFrame, key: str, ts: str, freq: str = "D") -> Da
     return regular.withColumn("split", F.when(F.col(ts) < cutoff, "train").otherwise("test"))
 
 
-def median_cutoff(regular: DataFrame, ts: str, freq: str = "D") -> DataFrame:
-    """One row ``cutoff``: the upper median bin over all rows.
+def median_cutoff(df: DataFrame, key: str, ts: str, freq: str = "D") -> DataFrame:
+    """One row ``cutoff``: the upper median bin over all regular rows.
 
-    Counting per bin first leaves one row per calendar bin for the ordered sum.
+    An item adds one row to every bin from its first to its last. The number of
+    items per bin therefore only changes where one starts or has ended; between
+    two such bins the running number of rows is a line. The ordered sums see at
+    most one row per calendar bin.
     """
-    per_bin = regular.groupBy(bin_index(F.col(ts), freq).alias("_bin")).agg(
-        F.count(F.lit(1)).alias("_n")
+    changes = (
+        _spans(df, key, ts, freq)
+        .select(
+            F.inline(
+                F.array(
+                    F.struct(F.col("_first").alias("_bin"), F.lit(1).alias("_change")),
+                    F.struct((F.col("_last") + 1).alias("_bin"), F.lit(-1).alias("_change")),
+                )
+            )
+        )
+        .groupBy("_bin")
+        .agg(F.sum("_change").alias("_change"))
     )
-    upto = F.sum("_n").over(
-        Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.orderBy("_bin")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    segments = (
+        changes.withColumns(
+            {"_items": F.sum("_change").over(upto), "_until": F.lead("_bin").over(order)}
+        )
+        .withColumn("_rows", F.coalesce(F.col("_items") * (F.col("_until") - F.col("_bin")), F.lit(0)))
+        .withColumns(
+            {"_end": F.sum("_rows").over(upto), "_all": F.sum("_rows").over(Window.partitionBy())}
+        )
     )
-    whole = F.sum("_n").over(Window.partitionBy())
-    return (
-        per_bin.select("_bin", upto.alias("_upto"), whole.alias("_all"))
-        .filter(F.col("_upto") > F.floor(F.col("_all") / 2))
-        .agg(bin_label(F.min("_bin"), freq).alias("cutoff"))
+    inside = F.floor(F.col("_all") / 2) - (F.col("_end") - F.col("_rows"))
+    return segments.filter((inside >= 0) & (inside < F.col("_rows"))).select(
+        bin_label(F.col("_bin") + F.floor(inside / F.col("_items")), freq).alias("cutoff")
     )
 
 

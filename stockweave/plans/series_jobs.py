@@ -84,8 +84,9 @@ def training_set(
         F.count_if(~in_validation).cast("int").alias("n_train"),
         ordered_values(F.col(cfg.ts), F.col(cfg.units)).alias("target"),
     )
-    mapping = fit_labels(grouped, cfg.item)
-    return materialize(encode(grouped, mapping, cfg.item, "cat")), mapping
+    packed = materialize(grouped)
+    mapping = fit_labels(packed, cfg.item)
+    return encode(packed, mapping, cfg.item, "cat"), mapping
 
 
 def train_part(packed: DataFrame, cfg: SeriesConfig) -> DataFrame:
@@ -164,16 +165,12 @@ def drift_set(
     ``cutoff`` is ``median`` (of all bins) or ``midpoint`` (the date at the middle
     row in item order). Items outside the mapping share the unseen code.
     """
-    bins = to_bins(observations, cfg.item, cfg.ts, {cfg.units: "mean"}, cfg.freq)
-    grid = regularize(bins, cfg.item, {cfg.units: "null"}, cfg.freq, cfg.ts)
-    if cutoff == "median":
-        cut_row = median_cutoff(grid, cfg.ts, cfg.freq)
-    else:
-        cut_row = midpoint_cutoff(grid, cfg.item, cfg.ts, cfg.freq)
+    find = median_cutoff if cutoff == "median" else midpoint_cutoff
+    cut_row = find(observations, cfg.item, cfg.ts, cfg.freq)
     # One bin number.
     cut_bin = cut_row.select(bin_index(F.col("cutoff"), cfg.freq)).first()[0]
     regular = regularize(
-        bins,
+        to_bins(observations, cfg.item, cfg.ts, {cfg.units: "mean"}, cfg.freq),
         cfg.item,
         {cfg.units: "linear"},
         cfg.freq,
@@ -181,10 +178,14 @@ def drift_set(
         cut=lambda first, last: F.lit(cut_bin),
     )
     step = F.col("pos") - F.col("cut_pos")
-    before = regular.filter((step < 0) & (step >= -cfg.context))
-    after = regular.filter((step >= 0) & (step < cfg.horizon))
-    contexts = pack_series(before, cfg.item, cfg.ts, cfg.units)
-    truth = pack_series(after, cfg.item, cfg.ts, cfg.units)
+    # Both parts are short and read several times.
+    near = materialize(
+        regular.withColumn("_step", step)
+        .filter(F.col("_step").between(-cfg.context, cfg.horizon - 1))
+        .select(cfg.item, cfg.ts, cfg.units, "_step")
+    )
+    contexts = pack_series(near.filter(F.col("_step") < 0), cfg.item, cfg.ts, cfg.units)
+    truth = pack_series(near.filter(F.col("_step") >= 0), cfg.item, cfg.ts, cfg.units)
     return contexts, encode(truth, mapping, cfg.item, "cat", cfg.unseen_code)
 
 

@@ -1,6 +1,7 @@
 """Splits, tails and packing."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,7 +78,18 @@ def test_midpoint_is_the_date_of_the_middle_row(spark, lengths):
     whole = regular(spark, lengths)
     rows = [r["ts"] for r in whole.orderBy("item", "ts").collect()]
     assert midpoint_cutoff(whole, "item", "ts").first()["cutoff"] == rows[len(rows) // 2]
-    assert median_cutoff(whole, "ts").first()["cutoff"] == sorted(rows)[len(rows) // 2]
+    assert median_cutoff(whole, "item", "ts").first()["cutoff"] == sorted(rows)[len(rows) // 2]
+
+
+def test_cutoffs_of_observations_equal_those_of_their_series(spark):
+    rng = random.Random(4)
+    rows = [(f"i{rng.randint(0, 9)}", BASE + dt.timedelta(days=rng.randint(0, 300)), 1.0) for _ in range(200)]
+    raw = spark.createDataFrame(rows, "item string, ts timestamp, units double")
+    whole = resample(raw, "item", "ts", "units")
+    days = [r["ts"] for r in whole.orderBy("item", "ts").collect()]
+    for frame in (raw, whole):
+        assert midpoint_cutoff(frame, "item", "ts").first()["cutoff"] == days[len(days) // 2]
+        assert median_cutoff(frame, "item", "ts").first()["cutoff"] == sorted(days)[len(days) // 2]
 
 
 @pytest.mark.parametrize("n, train, val", [(1000, 70, 20), (7, 70, 20), (10, 0, 50), (10, 50, 50), (1, 10, 10)])
