@@ -30,6 +30,11 @@ def bin_index(ts: Column, freq: str) -> Column:
     raise ValueError(f"unknown frequency {freq!r}, expected one of {FREQUENCIES}")
 
 
+def bins_after(start: Column, step: Column, freq: str) -> Column:
+    """Label of the bin ``step`` bins after the one that holds ``start``."""
+    return bin_label(bin_index(start, freq) + step, freq)
+
+
 def bin_label(index: Column, freq: str) -> Column:
     """Timestamp that names a bin number."""
     if freq in SUB_DAILY_SECONDS:

@@ -10,6 +10,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.bins import bins_after
 from ..session import materialize, spread
 from .metrics import forecast_metrics
 from .pack import ordered_values
@@ -136,7 +137,7 @@ def candidates(horizon: int, season: int = 7) -> dict[str, Column]:
 
 
 def forecast_rows(
-    hist: DataFrame, key: str, models: Mapping[str, Column], ts: str = "ts"
+    hist: DataFrame, key: str, models: Mapping[str, Column], ts: str = "ts", freq: str = "D"
 ) -> DataFrame:
     """Rows (key, model, step, ts, prediction) for every candidate path; no shuffle."""
     paths = F.array(
@@ -149,7 +150,7 @@ def forecast_rows(
             key,
             "model",
             (F.col("step") + 1).alias("step"),
-            F.timestamp_add("DAY", F.col("step"), F.col("forecast_start")).alias(ts),
+            bins_after(F.col("forecast_start"), F.col("step"), freq).alias(ts),
             "prediction",
         )
     )

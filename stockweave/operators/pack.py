@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bins import bins_after
 from ..functions.scalars import not_nan
 
 
@@ -27,10 +28,12 @@ def pack_series(
     return regular.groupBy(key).agg(*aggregates)
 
 
-def unpack_series(packed: DataFrame, key: str, ts: str = "ts", value: str = "value") -> DataFrame:
-    """One row per array element of a daily packed series."""
+def unpack_series(
+    packed: DataFrame, key: str, ts: str = "ts", value: str = "value", freq: str = "D"
+) -> DataFrame:
+    """One row per array element of a packed series."""
     return packed.select(key, "start", F.posexplode("target").alias("pos", value)).select(
-        key, F.timestamp_add("DAY", F.col("pos"), F.col("start")).alias(ts), "pos", value
+        key, bins_after(F.col("start"), F.col("pos"), freq).alias(ts), "pos", value
     )
 
 
@@ -50,16 +53,23 @@ def context_for_test(
     return context.join(start, key).withColumnRenamed("_test_start", "forecast_start")
 
 
-def horizon_calendar(starts: DataFrame, start: str, horizon: int = 28, ts: str = "ts") -> DataFrame:
-    """``horizon`` consecutive days from each row's start."""
+def horizon_calendar(
+    starts: DataFrame, start: str, horizon: int = 28, ts: str = "ts", freq: str = "D"
+) -> DataFrame:
+    """``horizon`` consecutive bins from each row's start."""
     step = F.explode(F.sequence(F.lit(0), F.lit(horizon - 1)))
     return starts.withColumn("step", step).withColumn(
-        ts, F.timestamp_add("DAY", F.col("step"), F.col(start))
+        ts, bins_after(F.col(start), F.col("step"), freq)
     )
 
 
 def align_forecast(
-    actuals: DataFrame, forecasts: DataFrame, key: str, horizon: int = 28, quantile: str = "0.5"
+    actuals: DataFrame,
+    forecasts: DataFrame,
+    key: str,
+    horizon: int = 28,
+    quantile: str = "0.5",
+    freq: str = "D",
 ) -> DataFrame:
     """Rows (key, start, target, cat, predictions) of packed actuals and forecast records.
 
@@ -83,7 +93,7 @@ def align_forecast(
     )
     return rows.select(
         key,
-        F.timestamp_add("DAY", F.col("step"), F.col("start")).alias("start"),
+        bins_after(F.col("start"), F.col("step"), freq).alias("start"),
         F.col("_pair.target").alias("target"),
         *_optional(rows, "cat"),
         F.col("_pair.predictions").alias("predictions"),

@@ -135,7 +135,9 @@ def train_series(
     contexts = context_part(train, cfg)
     model = fit_forecaster(train, cfg.item, cfg.context, cfg.horizon, (cfg.quantile,))
     forecasts = score_forecaster(model, contexts, cfg.item)
-    rows = align_forecast(validation, forecasts, cfg.item, cfg.horizon, str(cfg.quantile))
+    rows = align_forecast(
+        validation, forecasts, cfg.item, cfg.horizon, str(cfg.quantile), cfg.freq
+    )
     metrics = regression_metrics(rows, mape_scale=100.0)
     return SeriesTraining(
         model,
@@ -200,7 +202,7 @@ def score_series_drift(
     contexts, truth = drift_set(observations, mapping, cfg, cutoff)
     forecasts = score_forecaster(model, contexts, cfg.item).filter(F.col("error").isNull())
     rows = materialize(
-        align_forecast(truth, forecasts, cfg.item, cfg.horizon, str(cfg.quantile))
+        align_forecast(truth, forecasts, cfg.item, cfg.horizon, str(cfg.quantile), cfg.freq)
     )
     metrics = regression_metrics(rows)
     statistics = statistics_report(metrics)

@@ -131,6 +131,24 @@ def test_horizon_calendar(spark):
     assert days == [28, 29, 1]
 
 
+@pytest.mark.parametrize(
+    "freq, start, third",
+    [
+        ("H", dt.datetime(2024, 2, 28, 23), dt.datetime(2024, 2, 29, 1)),
+        ("W", dt.datetime(2024, 2, 25), dt.datetime(2024, 3, 10)),
+        ("M", dt.datetime(2023, 12, 31), dt.datetime(2024, 2, 29)),
+        ("Y", dt.datetime(2023, 12, 31), dt.datetime(2025, 12, 31)),
+    ],
+)
+def test_horizons_of_other_frequencies(spark, freq, start, third):
+    starts = spark.createDataFrame([("a", start)], "item string, start timestamp")
+    rows = horizon_calendar(starts, "start", 3, freq=freq).orderBy("step").collect()
+    assert (rows[0]["ts"], rows[2]["ts"]) == (start, third)
+    packed = starts.withColumn("target", F.array(F.lit(1.0), F.lit(2.0), F.lit(3.0)))
+    back = unpack_series(packed.withColumn("start", F.col("start").cast("string")), "item", freq=freq)
+    assert [r["ts"] for r in back.orderBy("pos").collect()] == [r["ts"] for r in rows]
+
+
 def test_alignment_cuts_dates_and_pairs_by_item(spark):
     actuals = spark.createDataFrame(
         [("a", BASE, [1.0] * 10, 0), ("b", BASE + dt.timedelta(days=5), [2.0] * 40, 1)],
