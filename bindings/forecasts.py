@@ -17,7 +17,7 @@ from stockweave.operators.forecast import (
     weighted_history,
 )
 from stockweave.operators.metrics import forecast_metrics, regression_metrics, seasonal_scale
-from stockweave.operators.pack import align_forecast, pack_series
+from stockweave.operators.pack import align_forecast, ordered_values, pack_series
 from stockweave.operators.registry import top_model
 from stockweave.operators.series import regularize, to_bins
 from stockweave.session import materialize
@@ -170,11 +170,19 @@ def best(spark, sf_dir):
 
 def _quantile_records(spark, sf_dir):
     """Forecast records of one model over all suppliers, and the packed held-out actuals."""
-    regular = held_out(spark, sf_dir)
-    train = materialize(pack_series(regular.filter("pos < cut_pos"), "item", "ts", "units"))
+    n_train = F.max("cut_pos").alias("n_train")
+    series = held_out(spark, sf_dir).groupBy("item").agg(
+        F.min("ts").alias("first"), n_train, ordered_values(F.col("pos"), F.col("units")).alias("target")
+    )
+    packed = materialize(series)
+    train = packed.select("item", F.slice("target", F.lit(1), F.col("n_train")).alias("target"))
     model = fit_forecaster(train, "item", quantiles=(0.5, 0.9))
     contexts = train.select("item", F.slice("target", -28, 28).alias("target"))
-    actuals = pack_series(regular.filter("pos >= cut_pos"), "item", "ts", "units")
+    actuals = packed.select(
+        "item",
+        F.timestamp_add("DAY", F.col("n_train"), F.col("first")).alias("start"),
+        F.slice("target", -HORIZON, HORIZON).alias("target"),
+    )
     return score_forecaster(model, contexts, "item"), actuals
 
 

@@ -76,9 +76,7 @@ FROM ctx JOIN starts USING (item)""",
 )
 def context(spark, sf_dir):
     parts = series_split(supplier_series(spark, sf_dir))
-    out = context_for_test(
-        parts.filter("split = 'train'"), parts.filter("split = 'validation'"), "item", "ts", "units"
-    )
+    out = context_for_test(parts, "item", "ts", "units")
     return out.select(
         "item",
         F.to_date("context_start").alias("context_start"),

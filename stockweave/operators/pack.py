@@ -38,19 +38,27 @@ def unpack_series(
 
 
 def context_for_test(
-    train: DataFrame, test: DataFrame, key: str, ts: str, value: str, n: int = 28
+    parts: DataFrame, key: str, ts: str, value: str, n: int = 28
 ) -> DataFrame:
-    """Items present in both parts: the last ``n`` training values and where the test part starts.
+    """Items with train and other rows: the last ``n`` training values and where the rest starts.
 
-    The tail is cut before grouping, so at most ``n`` training rows per item are
-    packed, and the join pairs one row per item on each side.
+    ``parts`` is a regular frame with ``split``, whose ``pos`` and ``n_bins`` count
+    within the part. Both sides come from one grouping, so the source is read
+    once and no more than ``n`` values per item are collected.
     """
-    tail = train.filter(F.col("pos") >= F.col("n_bins") - n).select(key, ts, F.col(value).alias("v"))
-    start = test.groupBy(key).agg(F.min(ts).alias("_test_start"))
-    context = tail.groupBy(key).agg(
-        F.min(ts).alias("context_start"), ordered_values(F.col(ts), F.col("v")).alias("target")
+    in_train = F.col("split") == "train"
+    in_tail = in_train & (F.col("pos") >= F.col("n_bins") - n)
+    # collect_list skips the nulls outside the tail.
+    slot = F.when(in_tail, F.struct(F.col(ts).alias("t"), not_nan(F.col(value)).alias("v")))
+    return (
+        parts.groupBy(key)
+        .agg(
+            F.min(F.when(in_tail, F.col(ts))).alias("context_start"),
+            F.min(F.when(~in_train, F.col(ts))).alias("forecast_start"),
+            F.transform(F.array_sort(F.collect_list(slot)), lambda x: x["v"]).alias("target"),
+        )
+        .filter(F.col("context_start").isNotNull() & F.col("forecast_start").isNotNull())
     )
-    return context.join(start, key).withColumnRenamed("_test_start", "forecast_start")
 
 
 def horizon_calendar(

@@ -10,6 +10,7 @@ from bindings.common import supply, visits
 from helpers import exchanges, plan_of
 from stockweave.operators.forecast import auto_forecast, candidates, history, hold_out
 from stockweave.operators.metrics import regression_metrics
+from stockweave.operators.pack import context_for_test
 from stockweave.operators.series import regularize, resample, resample_with_related, to_bins
 from stockweave.operators.split import oversample, random_split, series_split, tail_context
 
@@ -37,6 +38,12 @@ def test_splits_and_tails_add_no_shuffle(spark, sf_dir):
     assert exchanges(tail_context(series_split(regular).filter("split = 'train'"))) == 2
 
 
+def test_contexts_come_from_one_pass(spark, sf_dir):
+    regular = resample(supply(spark, sf_dir), "item", "ts", "units")
+    out = context_for_test(series_split(regular), "item", "ts", "units")
+    assert exchanges(out) == 2 and "Join" not in plan_of(out)
+
+
 def test_related_units_need_no_join(spark, sf_dir):
     obs = visits(spark, sf_dir)
     out = resample_with_related(obs, obs, "item", "ts", "units", "units")

@@ -65,7 +65,8 @@ def test_tail_and_head_of_short_series(spark):
 def test_context_only_for_items_in_both_parts(spark):
     train = regular(spark, {"a": 40, "b": 3, "only_train": 5})
     test = regular(spark, {"a": 4, "b": 4, "only_test": 4}, offset=60)
-    out = {r["item"]: r for r in context_for_test(train, test, "item", "ts", "units").collect()}
+    parts = union_parts(train, test)
+    out = {r["item"]: r for r in context_for_test(parts, "item", "ts", "units").collect()}
     assert set(out) == {"a", "b"}
     assert out["a"]["target"] == [float(d) for d in range(12, 40)]
     assert out["b"]["target"] == [0.0, 1.0, 2.0]
