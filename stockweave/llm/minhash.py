@@ -9,7 +9,7 @@ of 2 * HALF minhashes each. Two sets of similarity s miss all tables with probab
 No bucket is expanded into pairs. Texts with equal sets are one class first. In each bucket every class is
 compared with the bucket's hub (the class with most copies); confirmed links give components. In buckets
 that still hold several components, the classes outside the hub's one are compared with the others in blocks
-of bounded size by a 256-byte sketch; what may reach the similarity is confirmed as well. Every link is
+of bounded size by a 512-byte sketch, in the first table both share only; what may reach the similarity is confirmed as well. Every link is
 confirmed on the full sets of both texts.
 
 Cases: null and empty texts and texts of white space have no shingle, link with nothing and are kept; a
@@ -33,8 +33,9 @@ from .common import WHITE, text_udf
 
 WORDS = 5
 HALF, M = 3, 9
-BINS = 256
+BINS = 512
 BLOCK = 512
+GROUP_ROWS = 256
 SIGMAS = 5.0
 _FACTOR = 0x9E3779B97F4A7C15
 _BASE = 0x100000001B3
@@ -112,7 +113,7 @@ def minhashes(s: np.ndarray) -> np.ndarray:
 def sketch(s: np.ndarray) -> bytes:
     """One byte per bin of the hash space: that of the smallest member, 0 for an empty bin."""
     out = np.zeros(BINS, np.uint8)
-    bins, first = np.unique(s >> np.uint64(56), return_index=True)
+    bins, first = np.unique(s >> np.uint64(55), return_index=True)
     out[bins.astype(np.int64)] = mixed(s[first] + np.uint64(1)) % np.uint64(255) + np.uint64(1)
     return out.tobytes()
 
@@ -147,23 +148,29 @@ def _signatures():
     return run
 
 
-def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches (broadcast against each other) leave the similarity possible, with SIGMAS to spare."""
+def may_link(a: np.ndarray, b: np.ndarray, members: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches (broadcast against each other) leave the similarity possible, with SIGMAS to spare.
+
+    The taken bins are a sample without replacement of the union, which has ``members`` / (1 + s) elements at
+    similarity s: for small sets it is nearly the whole union and the estimate nearly exact.
+    """
     taken = (a != 0) | (b != 0)
     size = np.maximum(taken.sum(axis=-1), 1)
     same = ((a == b) & taken).sum(axis=-1) / size
     goal = percent / 100
-    return same >= goal - SIGMAS * np.sqrt(goal * (1 - goal) / size)
+    unseen = np.clip(1 - size / (members / (1 + goal)), 0, 1)
+    # Two bytes may be equal by chance, and a union smaller than expected hides up to one element.
+    return same >= goal - SIGMAS * np.sqrt(goal * (1 - goal) / size * unseen) - 1 / size
 
 
 def sketch_filter(percent: int):
     @F.pandas_udf("boolean")
-    def passes(x: pd.Series, y: pd.Series) -> pd.Series:
+    def passes(x: pd.Series, y: pd.Series, members: pd.Series) -> pd.Series:
         if len(x) == 0:
             return pd.Series([], dtype=bool)
         a = np.frombuffer(b"".join(x), np.uint8).reshape(-1, BINS)
         b = np.frombuffer(b"".join(y), np.uint8).reshape(-1, BINS)
-        return pd.Series(may_link(a, b, percent))
+        return pd.Series(may_link(a, b, members.to_numpy(), percent))
 
     return passes
 
@@ -236,9 +243,9 @@ class Buckets:
         self.classes = materialize(grouped.withColumn("_node", node))
 
     def keyed(self) -> DataFrame:
-        """_k, _node: one row per class and table."""
+        """_k, _node, _t: one row per class and table; _t numbers the tables."""
         table = F.transform("a", lambda x, i: F.transform("b", lambda y, j: F.xxhash64(i, j, x, y)))
-        return self.classes.select("_node", F.explode(F.flatten(table)).alias("_k"))
+        return self.classes.select("_node", F.posexplode(F.flatten(table)).alias("_t", "_k"))
 
     def crowded(self) -> DataFrame:
         """_k, _node, _hub, _size of the tables' buckets that hold several classes."""
@@ -249,7 +256,7 @@ class Buckets:
         """The pairs (_u, _v) of nodes whose full sets reach the similarity."""
         side = lambda x: self.classes.select(F.col("_node").alias(f"_{x}"), F.col("n").alias(f"_n{x}"), F.col("d1").alias(f"_d{x}"), F.col("_least").alias(f"_i{x}"), F.col("sketch").alias(f"_s{x}"))
         wide = pairs.distinct().join(side("u"), "_u").join(side("v"), "_v").filter(size_fits("_nu", "_nv", self.percent))
-        near = materialize(wide.filter(sketch_filter(self.percent)("_su", "_sv")).drop("_su", "_sv"))
+        near = materialize(wide.filter(sketch_filter(self.percent)("_su", "_sv", F.col("_nu") + F.col("_nv"))).drop("_su", "_sv"))
         wanted = near.select(F.col("_iu").alias("_id")).unionByName(near.select(F.col("_iv").alias("_id"))).distinct()
         texts = materialize(self.texts.join(wanted, "_id", "left_semi"))
         text = lambda x: texts.select(F.col("_id").alias(f"_i{x}"), F.col("_text").alias(f"_t{x}"))
@@ -258,19 +265,30 @@ class Buckets:
 
 
 def across(percent: int):
-    """For one block field of a bucket: pairs of different components that the sketches leave possible."""
+    """For a group of block fields: pairs of different components that the sketches leave possible.
+
+    A pair that meets in several tables is looked at in the first of them only.
+    """
+
+    def field(x: pd.DataFrame, y: pd.DataFrame, found: list) -> None:
+        bits = np.frombuffer(b"".join(y["sketch2"]), np.uint8).reshape(-1, BINS)
+        node, n, root = (y[f"{c}2"].to_numpy() for c in ("_node", "n", "_root"))
+        a, b, t = np.stack(y["a2"].to_numpy()), np.stack(y["b2"].to_numpy()), x["_t"].iloc[0]
+        columns = (x[c].to_numpy() for c in ("_node", "n", "_root", "a", "b", "sketch"))
+        for own, size, part, own_a, own_b, raw in zip(*columns):
+            at = np.flatnonzero((root != part) & (np.minimum(n, size) * 100 >= np.maximum(n, size) * percent))
+            at = at[(a[at] == own_a).argmax(axis=1) * M + (b[at] == own_b).argmax(axis=1) == t]
+            if len(at):
+                at = at[may_link(np.frombuffer(raw, np.uint8)[None, :], bits[at], n[at] + size, percent)]
+                found.append(np.stack([np.minimum(own, node[at]), np.maximum(own, node[at])]))
 
     def run(seekers: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(seekers) and len(others):
-            b = np.frombuffer(b"".join(others["sketch"]), np.uint8).reshape(-1, BINS)
-            v, nv, cv = (others[c].to_numpy() for c in ("_node", "n", "_root"))
-            for node, n, root, raw in zip(seekers["_node"], seekers["n"], seekers["_root"], seekers["sketch"]):
-                at = np.flatnonzero((cv != root) & (np.minimum(nv, n) * 100 >= np.maximum(nv, n) * percent))
-                if len(at):
-                    at = at[may_link(np.frombuffer(raw, np.uint8)[None, :], b[at], percent)]
-                    found.append(pd.DataFrame({"_u": np.minimum(node, v[at]), "_v": np.maximum(node, v[at])}))
-        return pd.concat(found) if found else pd.DataFrame({"_u": pd.Series(dtype="int64"), "_v": pd.Series(dtype="int64")})
+        found: list = [np.zeros((2, 0), np.int64)]
+        where = others.groupby(["_k2", "_i2", "_j2"]).indices
+        for at, rows in seekers.groupby(["_k", "_i", "_j"]).indices.items():
+            if at in where:
+                field(seekers.iloc[rows], others.iloc[where[at]], found)
+        return pd.DataFrame(np.concatenate(found, axis=1).T, columns=["_u", "_v"])
 
     return run
 
@@ -278,22 +296,26 @@ def across(percent: int):
 def unresolved_pairs(buckets: Buckets, crowded: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs inside a bucket, neither side its hub, that lie in different components."""
     rooted = crowded.filter("_size > 2").join(roots.select(F.col("_node"), F.col("_root").alias("_r")), "_node", "left")
-    rooted = materialize(rooted.select("_k", "_node", "_hub", "_size", F.coalesce("_r", "_node").alias("_root")))
+    rooted = materialize(rooted.select("_k", "_t", "_node", "_hub", "_size", F.coalesce("_r", "_node").alias("_root")))
     hub_root = rooted.filter("_node = _hub").select("_k", F.col("_root").alias("_hub_root"))
     rest = rooted.filter("_node <> _hub")
     seekers = materialize(rest.join(hub_root, "_k").filter("_root <> _hub_root").drop("_hub_root", "_hub"))
     others = rest.drop("_hub").join(seekers.select("_k").distinct(), "_k", "left_semi")
-    extra = buckets.classes.select("_node", "n", "sketch")
+    extra = buckets.classes.select("_node", "n", "a", "b", "sketch")
     blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
     own = lambda seed: F.pmod(F.xxhash64("_node", F.lit(seed)), blocks).cast("int")
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    left = seekers.join(extra, "_node").withColumn("_i", own(1)).withColumn("_j", every)
-    right = others.join(extra, "_node").withColumn("_j", own(2)).withColumn("_i", every)
-    at = ["_k", "_i", "_j"]
-    # Written tables, since both sides come from the same one.
-    columns = [*at, "_node", "_root", "n", "sketch"]
-    left, right = materialize(left.select(*columns)), materialize(right.select(*columns))
-    return left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(across(buckets.percent), "_u long, _v long")
+    # Many small fields share a group, so the number of groups follows the number of rows.
+    group = F.pmod(F.xxhash64("_k", "_i", "_j"), F.lit(max(1, seekers.count() // GROUP_ROWS)))
+    columns = ["_f", "_k", "_i", "_j", "_t", "_node", "_root", "n", "a", "b", "sketch"]
+    left = seekers.join(extra, "_node").withColumn("_i", own(1)).withColumn("_j", every).withColumn("_f", group).select(*columns)
+    right = others.join(extra, "_node").withColumn("_j", own(2)).withColumn("_i", every).withColumn("_f", group)
+    right = right.select(*[F.col(c).alias(f"{c}2") for c in columns])  # both sides come from the same tables
+    return (
+        left.groupBy("_f")
+        .cogroup(right.groupBy("_f2"))
+        .applyInPandas(across(buckets.percent), "_u long, _v long")
+    )
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
