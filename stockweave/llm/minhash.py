@@ -34,7 +34,7 @@ from .common import WHITE, text_udf
 WORDS = 5
 HALF, M = 3, 9
 BINS = 512
-BLOCK = 512
+BLOCK = 4096
 GROUP_ROWS = 256
 SIGMAS = 5.0
 _FACTOR = 0x9E3779B97F4A7C15
