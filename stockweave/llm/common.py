@@ -43,6 +43,19 @@ def fold(id_column: str, parts: int, held: int) -> Column:
     )
 
 
+def bounded_sample(rows: DataFrame, keys: list[str], most: int, seed: int, total: int | None = None) -> DataFrame:
+    """At most ``most`` rows, in the order of a hash of their keys, so the same for every partitioning.
+
+    Rows above a cut on the hash are left out first; what tasks then send to be ordered follows
+    ``most`` and not the number of partitions.
+    """
+    total = rows.count() if total is None else total
+    span = 1 << 30
+    cut = span if total <= 4 * most else 4 * most * span // total
+    place = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(span))
+    return rows.filter(place < cut).orderBy(place, *keys).limit(most)
+
+
 def labelled_sample(
     documents: DataFrame,
     labels: DataFrame,
@@ -55,8 +68,7 @@ def labelled_sample(
 ) -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``rows`` training rows, half of them of each class if there are enough.
 
-    Rows are taken in the order of a hash of their id, so the sample is the same
-    for every partitioning. The chosen ids are few by construction, hence the broadcast.
+    The chosen ids are few by construction, hence the broadcast.
     """
     known = (
         labels.select(F.col(id_column).alias("_id"), F.col(label).cast("int").alias("_y"))
@@ -64,11 +76,7 @@ def labelled_sample(
         .groupBy("_id")
         .agg(F.max("_y").alias("_y"))
     )
-    order = [F.xxhash64("_id", F.lit(17)), "_id"]
-    chosen = [
-        known.filter(F.col("_y") == y).orderBy(*order).limit(rows // 2).select("_id", "_y")
-        for y in (0, 1)
-    ]
+    chosen = [bounded_sample(known.filter(F.col("_y") == y), ["_id"], rows // 2, 17) for y in (0, 1)]
     few = chosen[0].unionByName(chosen[1])
     found = (
         documents.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))

@@ -32,6 +32,7 @@ SUFFIX_RIGHT = 0.8
 HOST_STRENGTH, DOMAIN_STRENGTH = 20.0, 50.0
 MIN_CONFIDENCE = 0.6
 TRAIN_ROWS = 400  # bound of the sample per language
+LANGUAGES = 200  # bound of the modelled languages, those with most rows
 ALPHABETIC = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 SCHEMA = T.StructType([T.StructField("letters", T.LongType()), T.StructField("loglik", T.ArrayType(T.DoubleType()))])
 
@@ -66,14 +67,16 @@ def train(texts: list[str], languages: list[str], known: list[str]) -> dict:
 def fit(documents: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", language: str = "lang", key: str = "doc_id") -> dict:
     """Models of all languages named in ``language``, from at most ``rows`` texts of each."""
     given = documents.filter(F.col(language).isNotNull() & F.col(text).isNotNull())
-    known = sorted(r[0] for r in given.select(language).distinct().limit(1000).collect())
-    texts, names = [], []
-    for name in known:
-        few = given.filter(F.col(language) == name).orderBy(F.xxhash64(key, F.lit(5)), key, text).limit(rows)
-        for row in few.select(text).collect():
-            texts.append(row[0])
-            names.append(name)
-    return train(texts, names, known)
+    counts = given.groupBy(language).count().orderBy(F.desc("count"), language).limit(LANGUAGES).collect()
+    known = {r[0]: r[1] for r in counts}
+    place = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1 << 30))
+    cut = F.lit(0)
+    for name, n in known.items():
+        cut = F.when(F.col(language) == name, min(1 << 30, 2 * rows * (1 << 30) // n)).otherwise(cut)
+    found = given.filter(place < cut).select(language, place.alias("_place"), text).collect()
+    found.sort(key=lambda r: (r["_place"], r[2]))
+    taken = {name: [r[2] for r in found if r[0] == name][:rows] for name in sorted(known)}
+    return train([t for x in taken.values() for t in x], [name for name, x in taken.items() for _ in x], sorted(known))
 
 
 def scorer(model: dict):
