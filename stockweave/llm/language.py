@@ -146,51 +146,56 @@ def host_priors(scored: DataFrame, k: int) -> DataFrame:
     return materialize(at.select("_host", "_domain", F.array(*[F.log(p) for p in prior]).alias("_prior")))
 
 
-def identify(
-    rows: DataFrame,
+def with_text_evidence(rows: DataFrame, model: dict, text: Column) -> DataFrame:
+    """Adds _e: letters and tempered log-likelihoods of the whole text."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    return rows.withColumn("_e", text_udf(SCHEMA, lambda: scorer(shared.value))(text))
+
+
+def fuse(
+    scored: DataFrame,
     model: dict,
-    text: Column,
     declared: Column | None = None,
     suffix: Column | None = None,
     host: Column | None = None,
     domain: Column | None = None,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """Adds predicted_lang, confidence and accepted, replacing columns of these names.
-
-    The text is read twice: once to sum posteriors per host, once for the answer.
-    """
-    k, languages = len(model["languages"]), model["languages"]
+    """Posterior from _e and the other evidence; adds predicted_lang, confidence and accepted, drops _e."""
+    languages = model["languages"]
+    k, names = len(languages), ("predicted_lang", "confidence", "accepted")
+    keep = [c for c in scored.columns if c not in (*names, "_e")]
     if k == 0:
-        return rows.withColumns({"predicted_lang": F.lit(None).cast("string"), "confidence": F.lit(0.0), "accepted": F.lit(False)})
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    udf = text_udf(SCHEMA, lambda: scorer(shared.value))
+        return scored.select(*keep, F.lit(None).cast("string").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(False).alias(names[2]))
     none = F.lit(None).cast("string")
-    named = {
-        "_host": F.coalesce(host if host is not None else none, F.lit("")),
-        "_domain": F.coalesce(domain if domain is not None else none, F.lit("")),
-    }
-    scored = rows.withColumns({"_e": udf(text), **named})
-    lettered = scored.filter(F.col("_e.letters") > 0)
+    at = scored.withColumns(
+        {
+            "_host": F.coalesce(host if host is not None else none, F.lit("")),
+            "_domain": F.coalesce(domain if domain is not None else none, F.lit("")),
+        }
+    )
+    lettered = at.filter(F.col("_e.letters") > 0)
     priors = host_priors(lettered.select("_host", "_domain", softmax(F.col("_e.loglik")).alias("_p")), k)
     nothing = F.array(*[F.lit(float(-np.log(k))) for _ in languages])
-    joined = scored.join(priors, ["_host", "_domain"], "left")
     log_post = added(
         F.col("_e.loglik"),
         claim(languages, declared if declared is not None else none, DECLARED_RIGHT),
         claim(languages, suffix if suffix is not None else none, SUFFIX_RIGHT),
         F.coalesce("_prior", nothing),
     )
-    out = joined.withColumn("_post", softmax(log_post))
+    out = at.join(priors, ["_host", "_domain"], "left").withColumn("_post", softmax(log_post))
     best = F.array_max("_post")
     name = F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position("_post", best).cast("int"))
-    return out.withColumns(
-        {
-            "predicted_lang": name,
-            "confidence": best,
-            "accepted": (F.col("_e.letters") > 0) & (best >= min_confidence),
-        }
-    ).select(*[c for c in rows.columns if c not in ("predicted_lang", "confidence", "accepted")], "predicted_lang", "confidence", "accepted")
+    accepted = (F.col("_e.letters") > 0) & (best >= min_confidence)
+    return out.select(*keep, name.alias(names[0]), best.alias(names[1]), accepted.alias(names[2]))
+
+
+def identify(rows: DataFrame, model: dict, text: Column, **evidence) -> DataFrame:
+    """Adds predicted_lang, confidence and accepted, replacing columns of these names.
+
+    The text is read twice: once to sum posteriors per host, once for the answer. ``evidence`` as in ``fuse``.
+    """
+    return fuse(with_text_evidence(rows, model, text), model, **evidence)
 
 
 def page_text(html: Column) -> Column:
@@ -216,21 +221,44 @@ def address_language(url: Column, languages: list[str]) -> Column:
     return F.when(path.isin(languages), path).when(country.isin(languages), country)
 
 
-def identify_pages(pages: DataFrame, model: dict, url: str = "url", html: str = "html", **options) -> DataFrame:
-    """``identify`` with the evidence of web pages; a host's domain is its last two names."""
+def page_evidence(pages: DataFrame, languages: list[str], url: str = "url", html: str = "html") -> dict[str, Column]:
+    """The evidence of web pages; a host's domain is its last two names."""
     host = address_host(F.col(url))
-    return identify(
-        pages,
-        model,
-        page_text(F.col(html)),
-        markup_language(F.col(html)),
-        address_language(F.col(url), model["languages"]),
-        host,
-        F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1),
-        **options,
-    )
+    return {
+        "declared": markup_language(F.col(html)),
+        "suffix": address_language(F.col(url), languages),
+        "host": host,
+        "domain": F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1),
+    }
+
+
+def identify_pages(pages: DataFrame, model: dict, url: str = "url", html: str = "html", **options) -> DataFrame:
+    """``identify`` of pages by their visible text."""
+    return identify(pages, model, page_text(F.col(html)), **page_evidence(pages, model["languages"], url, html), **options)
 
 
 def identify_documents(documents: DataFrame, model: dict, text: str = "text", lang: str = "lang", source: str = "source", **options) -> DataFrame:
     """``identify`` for documents: the declared language is a column, the source stands for the host."""
-    return identify(documents, model, F.col(text), F.lower(F.col(lang)), None, F.col(source), **options)
+    return identify(documents, model, F.col(text), declared=F.lower(F.col(lang)), host=F.col(source), **options)
+
+
+def identify_with_pages(documents: DataFrame, pages: DataFrame, model: dict, address_id: str = r"/(\d+)(?:[/.?#]|$)") -> DataFrame:
+    """doc_id and the answer for documents some of which have a page, whose address names the document.
+
+    A page's markup, address and host are evidence of its document; a document without page has its own
+    language column and source instead. Texts are read once, and only their evidence is joined.
+    """
+    scored = materialize(with_text_evidence(documents.select("doc_id", "lang", "source", "text"), model, F.col("text")).drop("text"))
+    seen = page_evidence(pages, model["languages"])
+    named = F.regexp_extract("url", address_id, 1).try_cast("long").alias("_doc")
+    per = pages.select(named, "page_id", *[c.alias(f"_{k}") for k, c in seen.items()]).filter("_doc is not null")
+    first = per.groupBy("_doc").agg(*[F.min_by(f"_{k}", "page_id").alias(f"_p_{k}") for k in seen])
+    both = scored.join(first, scored["doc_id"] == first["_doc"], "left")
+    return fuse(
+        both,
+        model,
+        declared=F.coalesce("_p_declared", F.lower("lang")),
+        suffix=F.col("_p_suffix"),
+        host=F.coalesce("_p_host", "source"),
+        domain=F.col("_p_domain"),
+    ).select("doc_id", "lang", "predicted_lang", F.round("confidence", 6).alias("confidence"), "accepted")

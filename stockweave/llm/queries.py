@@ -68,6 +68,12 @@ def op4(spark, sf_dir):
 
 @query("op5_language_id")
 def op5(spark, sf_dir):
+    documents = read(spark, sf_dir, "documents")
+    return language.identify_with_pages(documents, read(spark, sf_dir, "pages"), language.fit(documents))
+
+
+@query("page_language_id")
+def page_language(spark, sf_dir):
     model = language.fit(read(spark, sf_dir, "documents"))
     found = language.identify_pages(read(spark, sf_dir, "pages"), model)
     return found.select("page_id", "url", "predicted_lang", F.round("confidence", 6).alias("confidence"), "accepted")
