@@ -18,6 +18,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of whole texts that travel to a Python worker at once: bounds its memory.
+BATCH_ROWS = 512
+
+
+def small_batches() -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS; Spark's default is meant for narrow rows."""
+    spark, name = SparkSession.getActiveSession(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark is not None and not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def text_udf(schema: T.StructType, load: Callable[[], Callable[[list], dict]]):
     """A column function from texts (null: empty) to a struct.
 
@@ -26,6 +37,8 @@ def text_udf(schema: T.StructType, load: Callable[[], Callable[[list], dict]]):
     of the frame stay with Spark, whatever their names are.
     """
 
+    small_batches()
+
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = load()
         for texts in batches:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import WHITE, text_udf
+from .common import WHITE, small_batches, text_udf
 
 WORDS = 5
 HALF, M = 3, 9
@@ -178,6 +178,8 @@ def sketch_filter(percent: int):
 def linked(percent: int):
     """Confirms pairs on the full sets of both texts; a text of another class (its id is repeated) does not count."""
 
+    small_batches()
+
     @F.pandas_udf("boolean")
     def confirm(tx: pd.Series, ty: pd.Series, dx: pd.Series, dy: pd.Series) -> pd.Series:
         keep = lru_cache(maxsize=64)(lambda t: (s := shingles(t), digests(s)[0]))
