@@ -44,19 +44,18 @@ def train(texts: list[str], labels: list[int], prior: float, rounds: int = 60) -
     y = np.asarray(labels, dtype=np.float64)
     if len(y) == 0 or y.min() == y.max():
         return {"weights": np.zeros(BUCKETS, np.float32), "bias": float("-inf")}
-    ids = [np.unique(gram_ids(t)) for t in texts]
-    common = np.bincount(np.concatenate(ids), minlength=BUCKETS) >= LEAST_TEXTS
-    ids = [i[common[i]] for i in ids]
-    flat = np.concatenate(ids)
-    rows = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-    pos = 1 + np.bincount(flat[y[rows] == 1], minlength=BUCKETS)
-    neg = 1 + np.bincount(flat[y[rows] == 0], minlength=BUCKETS)
-    ratio = np.log(pos / (y.sum() + 2)) - np.log(neg / ((1 - y).sum() + 2))
-    telling = np.abs(ratio) >= LEAST_RATIO
-    rows, flat = rows[telling[flat]], flat[telling[flat]]
-    ends = np.searchsorted(rows, np.arange(len(ids) + 1))
-    used, flat = np.unique(flat, return_inverse=True)
-    value = ratio[used][flat]
+    # Counts first, so that only n-grams that carry weight are held for all texts.
+    seen = np.zeros((2, BUCKETS), np.int32)
+    for text, label in zip(texts, labels):
+        seen[label, np.unique(gram_ids(text))] += 1
+    ratio = np.log((1 + seen[1]) / (y.sum() + 2)) - np.log((1 + seen[0]) / ((1 - y).sum() + 2))
+    telling = (seen.sum(axis=0) >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_RATIO)
+    ids = [i[telling[i]].astype(np.int32) for i in (np.unique(gram_ids(t)) for t in texts)]
+    ends = np.cumsum([0] + [len(i) for i in ids])
+    rows = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(ends))
+    used, flat = np.unique(np.concatenate(ids), return_inverse=True)
+    del ids
+    value = ratio[used][flat].astype(np.float32)
     w, bias = np.full(len(used), 0.02), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, rounds + 1):
