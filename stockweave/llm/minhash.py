@@ -36,6 +36,7 @@ HALF, M = 3, 9
 BINS = 512
 BLOCK = 4096
 GROUP_ROWS = 256
+BROADCAST_IDS = 1_000_000  # 8 MB of ids
 SIGMAS = 5.0
 _FACTOR = 0x9E3779B97F4A7C15
 _BASE = 0x100000001B3
@@ -222,6 +223,12 @@ def components(edges: DataFrame) -> DataFrame:
     return materialize(roots)
 
 
+def sent_if_few(ids: DataFrame) -> DataFrame:
+    """Written distinct ids; up to BROADCAST_IDS of them are sent to the texts, more are met by a shuffle."""
+    ids = materialize(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def size_fits(x: str, y: str, percent: int) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
@@ -260,7 +267,7 @@ class Buckets:
         wide = pairs.distinct().join(side("u"), "_u").join(side("v"), "_v").filter(size_fits("_nu", "_nv", self.percent))
         near = materialize(wide.filter(sketch_filter(self.percent)("_su", "_sv", F.col("_nu") + F.col("_nv"))).drop("_su", "_sv"))
         wanted = near.select(F.col("_iu").alias("_id")).unionByName(near.select(F.col("_iv").alias("_id"))).distinct()
-        texts = materialize(self.texts.join(wanted, "_id", "left_semi"))
+        texts = materialize(self.texts.join(sent_if_few(wanted), "_id", "left_semi"))
         text = lambda x: texts.select(F.col("_id").alias(f"_i{x}"), F.col("_text").alias(f"_t{x}"))
         both = near.join(text("u"), "_iu").join(text("v"), "_iv")
         return materialize(both.filter(linked(self.percent)("_tu", "_tv", "_du", "_dv")).select("_u", "_v").distinct())
@@ -345,7 +352,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85, key: str = "doc_id"
 def drop_near_duplicates(documents: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stand for their group, with their own columns; rows repeating an id stay once."""
     found = materialize(near_duplicates(documents, percent, key, text))
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = sent_if_few(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
     kept = documents.join(gone, F.col(key) == F.col("_gone"), "left_anti")
     if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").take(1):
         named = kept.filter(F.col(key).isNotNull()).dropDuplicates([key])
