@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_udf
+from .common import bounded_sample, text_udf
 
 TRAIN_PAGES = 400  # bound of the sample
 COPIES, EPOCHS, CELLS = 6, 6, 16
@@ -354,7 +354,7 @@ def training_pages(pages: list[str], copies: int = COPIES, seed: int = 4) -> tup
 
 def fit(pages: DataFrame, rows: int = TRAIN_PAGES, html: str = "html", key: str = "page_id") -> dict | None:
     """Labeller from at most ``rows`` pages, in the order of a hash of their id."""
-    sample = pages.filter(F.col(html).isNotNull()).orderBy(F.xxhash64(key, F.lit(23)), key, html).limit(rows)
+    sample = bounded_sample(pages.filter(F.col(html).isNotNull()), [key], rows, 23)
     return train(*training_pages([r[0] for r in sample.select(html).collect()]))
 
 
