@@ -131,7 +131,7 @@ _BRANDS = (
 @query("write_mapping", _BRANDS)
 def mapping_text(spark, sf_dir):
     path = scratch_path(spark, "mapping")
-    write_mapping(fit_labels(table(spark, sf_dir, "part"), "p_brand"), path)
+    write_mapping(fit_labels(table(spark, sf_dir, "part"), "p_brand"), path, "object")
     text = read_report(spark, path)
     keys = F.explode(F.json_object_keys("value")).alias("value")
     return text.select(F.col("value").alias("doc"), keys).select(
@@ -143,8 +143,8 @@ def mapping_text(spark, sf_dir):
 @query("read_mapping", _BRANDS)
 def mapping_read(spark, sf_dir):
     path = scratch_path(spark, "mapping")
-    form = write_mapping(fit_labels(table(spark, sf_dir, "part"), "p_brand"), path)
-    return read_mapping(spark, path, form)
+    write_mapping(fit_labels(table(spark, sf_dir, "part"), "p_brand"), path)
+    return read_mapping(spark, path)
 
 
 # Quantity against its order's mean quantity stands for actual and prediction.

@@ -120,9 +120,10 @@ def _rows(spark, sf_dir, models):
 
 @query(
     "align_forecast",
-    f"""WITH {_SERIES}, {_NAIVE}
-SELECT a.item, a.d AS start, round(a.v, 9) AS target, round(p, 9) AS predictions
-FROM actual a JOIN naive n ON a.item = n.item AND a.step = n.step""",
+    f"""WITH {_SERIES}, {_NAIVE},
+truth AS MATERIALIZED (SELECT item, step, d, v FROM actual),
+path AS MATERIALIZED (SELECT item, step, p FROM naive)
+SELECT item, d AS start, round(v, 9) AS target, round(p, 9) AS predictions FROM truth JOIN path USING (item, step)""",
 )
 def aligned(spark, sf_dir):
     regular = held_out(spark, sf_dir)

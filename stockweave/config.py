@@ -19,6 +19,8 @@ class SeriesConfig:
     context: int = 28
     horizon: int = 28
     quantile: float = 0.5
+    stride: int = 1
+    season: int = 7
     unseen_code: int = 100
     view: str = "distributor_view"
     preferred_view: str = "Manufacturing"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
@@ -29,12 +31,15 @@ def _is_train() -> Column:
 def smoothing_level(value: Column, alpha: float) -> Column:
     """Aggregate: exponential smoothing level after the last training bin.
 
-    The recursion is a weighted sum, so it needs no order and combines map-side.
+    The recursion starts at the first bin with a value. It is a weighted sum, so it
+    needs no order and combines map-side: every value weighs alpha * decay, the first
+    one the rest of its decay as well.
     """
-    age = F.col("cut_pos") - 1 - F.col("pos")
-    decay = F.pow(F.lit(1.0 - alpha), age)
-    weight = F.when(F.col("pos") == 0, decay).otherwise(F.lit(alpha) * decay)
-    return F.sum(F.when(_is_train(), weight * value))
+    known = _is_train() & value.isNotNull()
+    decay = lambda pos: F.pow(F.lit(1.0 - alpha), F.col("cut_pos") - 1 - pos)
+    all_values = F.sum(F.when(known, F.lit(alpha) * decay(F.col("pos")) * value))
+    first_value = F.min_by(F.when(known, decay(F.col("pos")) * value), F.when(known, F.col("pos")))
+    return all_values + F.lit(1.0 - alpha) * first_value
 
 
 def history(
@@ -157,12 +162,22 @@ def forecast_rows(
 
 
 def backtest_rows(hist: DataFrame, key: str, models: Mapping[str, Column]) -> DataFrame:
-    """Each candidate's path beside the held-out actuals, one row per item, model and step."""
+    """Each candidate's path beside the held-out actuals, one row per item, model and step.
+
+    A step that some candidate leaves open is open for all of them, so their scores cover the same rows.
+    """
+    names = {name: f"_path{i}" for i, name in enumerate(models)}
+
+    def shared(own: str) -> Column:
+        filled = lambda j: reduce(and_, [F.get(c, j).isNotNull() for c in names.values()])
+        return F.transform(own, lambda x, j: F.when(filled(j), x))
+
     paths = F.array(
-        *[F.struct(F.lit(name).alias("model"), path.alias("path")) for name, path in models.items()]
+        *[F.struct(F.lit(name).alias("model"), shared(c).alias("path")) for name, c in names.items()]
     )
     return (
-        hist.select(key, "actual", "scale", F.inline(paths).alias("model", "path"))
+        hist.select(key, "actual", "scale", *[path.alias(names[name]) for name, path in models.items()])
+        .select(key, "actual", "scale", F.inline(paths).alias("model", "path"))
         .select(
             key,
             "scale",
@@ -212,6 +227,7 @@ class QuantileForecaster:
     quantiles: tuple[float, ...]
     context: int
     horizon: int
+    season: int = 7
 
 
 def _mean(values: Column) -> Column:
@@ -251,7 +267,7 @@ def training_rows(
     key: str,
     context: int = 28,
     horizon: int = 28,
-    stride: int = 7,
+    stride: int = 1,
     season: int = 7,
 ) -> DataFrame:
     """Context windows every ``stride`` bins with each of the following ``horizon`` values.
@@ -287,13 +303,15 @@ def fit_forecaster(
     quantiles: Sequence[float] = (0.5,),
     max_depth: int = 6,
     seed: int = 1729,
+    stride: int = 1,
+    season: int = 7,
 ) -> QuantileForecaster:
     """Fit the tree on all items; leaf quantiles are sketches, one row per leaf.
 
     Absolute-loss boosting would need many rounds and answer one quantile; leaf
     quantiles of one tree answer any (Meinshausen 2006).
     """
-    rows = training_rows(packed, key, context, horizon)
+    rows = training_rows(packed, key, context, horizon, stride, season)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     train = assembler.transform(rows).select("features", "label").persist()
     try:
@@ -310,25 +328,25 @@ def fit_forecaster(
         )
     finally:
         train.unpersist()
-    return QuantileForecaster(tree, leaf_quantiles, tuple(quantiles), context, horizon)
+    return QuantileForecaster(tree, leaf_quantiles, tuple(quantiles), context, horizon, season)
 
 
 def score_forecaster(
-    model: QuantileForecaster, contexts: DataFrame, key: str, season: int = 7
+    model: QuantileForecaster, contexts: DataFrame, key: str
 ) -> DataFrame:
     """Forecast records (key, quantiles map, error) for packed contexts.
 
     Contexts shorter than the model's window yield an ``error`` record.
     """
     full = F.size("target") >= model.context
-    window = _window(F.slice("target", -model.context, model.context), season)
+    window = _window(F.slice("target", -model.context, model.context), model.season)
     steps = (
         contexts.filter(full)
         .select(key, F.inline(F.array(window)))
         .select("*", F.explode(F.sequence(F.lit(1), F.lit(model.horizon))).alias("step"))
     )
     features = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        steps.withColumns(_features(model.context, season))
+        steps.withColumns(_features(model.context, model.season))
     )
     # The tree has at most 2^max_depth leaves.
     scored = model.tree.transform(features.select(key, "step", "scale", "features")).join(

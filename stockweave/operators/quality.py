@@ -79,7 +79,8 @@ def violation_status(violations: DataFrame) -> DataFrame:
 def fail_on_violation(violations: DataFrame, registering: bool = False) -> None:
     """Raise if there is any violation; registering a baseline never fails."""
     if not registering and not violations.isEmpty():
-        raise ConstraintViolation("Baseline model constraints have been violated.")
+        names = [r[0] for r in violations.select("metric_name").distinct().limit(20).collect()]
+        raise ConstraintViolation(f"metrics outside their limits: {', '.join(sorted(map(str, names)))}")
 
 
 def quality_gate(metrics: DataFrame, metric: str, limit: float) -> DataFrame:

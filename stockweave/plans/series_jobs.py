@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import SeriesConfig
 from ..functions.bins import bin_index
-from ..operators.clean import filter_if_present, prefer_value_totals
+from ..operators.clean import filter_if_present, prefer_value, prefer_value_totals
 from ..operators.encode import encode, fit_labels
 from ..operators.forecast import QuantileForecaster, fit_forecaster, score_forecaster
 from ..operators.metrics import regression_metrics
@@ -34,6 +34,10 @@ def clean_retail(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
     The preference comes first on purpose: a row of another period can evict
     rows of the wanted one.
     """
+    if cfg.view in df.columns and cfg.how != "sum":
+        # An average is over the observations, not over their totals.
+        kept = prefer_value(df, [cfg.item, cfg.ts], cfg.view, cfg.preferred_view)
+        return filter_if_present(kept, cfg.period, cfg.period_value).select(cfg.item, cfg.ts, cfg.units)
     if cfg.view in df.columns:
         return prefer_value_totals(
             df,
@@ -133,7 +137,7 @@ def train_series(
     packed, mapping = training_set(retail, ads, cfg, ads_units)
     train, validation = train_part(packed, cfg), validation_part(packed, cfg)
     contexts = context_part(train, cfg)
-    model = fit_forecaster(train, cfg.item, cfg.context, cfg.horizon, (cfg.quantile,))
+    model = fit_forecaster(train, cfg.item, cfg.context, cfg.horizon, (cfg.quantile,), stride=cfg.stride, season=cfg.season)
     forecasts = score_forecaster(model, contexts, cfg.item)
     rows = align_forecast(
         validation, forecasts, cfg.item, cfg.horizon, str(cfg.quantile), cfg.freq
@@ -170,7 +174,10 @@ def drift_set(
     find = median_cutoff if cutoff == "median" else midpoint_cutoff
     cut_row = find(observations, cfg.item, cfg.ts, cfg.freq)
     # One bin number.
-    cut_bin = cut_row.select(bin_index(F.col("cutoff"), cfg.freq)).first()[0]
+    found = cut_row.select(bin_index(F.col("cutoff"), cfg.freq)).first()
+    if found is None or found[0] is None:
+        raise ValueError("no observation to find a cutoff in")
+    cut_bin = found[0]
     regular = regularize(
         to_bins(observations, cfg.item, cfg.ts, {cfg.units: "mean"}, cfg.freq),
         cfg.item,

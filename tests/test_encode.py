@@ -68,12 +68,21 @@ def test_running_total_equals_prefix_sum(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [100, 3])
-def test_mapping_round_trip(spark, monkeypatch, limit):
-    monkeypatch.setattr("stockweave.sources.mappings.OBJECT_VALUES", limit)
+@pytest.mark.parametrize("form", ["lines", "object"])
+def test_mapping_round_trip(spark, form):
     rows = [(f"näme \"{i}\"", i) for i in range(5)]
     mapping = spark.createDataFrame(rows, "value string, code int")
     path = session.scratch_path(spark, "mapping")
-    form = write_mapping(mapping, path)
-    assert form == ("json" if limit == 100 else "parquet")
+    assert write_mapping(mapping, path, form) == form
     assert rows_of(read_mapping(spark, path, form), "code") == rows
+
+
+def test_large_mapping_comes_back_whole(spark):
+    n = 120_000
+    mapping = spark.range(n).selectExpr("concat('v', id) AS value", "CAST(id AS INT) AS code")
+    path = session.scratch_path(spark, "mapping")
+    write_mapping(mapping, path)
+    back = read_mapping(spark, path)
+    assert back.count() == n and back.exceptAll(mapping).isEmpty()
+    with pytest.raises(ValueError):
+        write_mapping(mapping, session.scratch_path(spark, "mapping"), "object")

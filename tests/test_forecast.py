@@ -138,3 +138,34 @@ def test_forecast_rows_pack_into_records(spark):
     record = pack_forecasts(rows, "item").first()
     assert record["quantiles"]["0.5"] == [r["prediction"] for r in rows.orderBy("step").collect()]
     assert record["error"] is None
+
+
+def _hist(spark, values, horizon=2):
+    from stockweave.operators.forecast import history
+
+    rows = [(item, i, v, len(vs) - horizon) for item, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "item string, pos int, v double, cut_pos int")
+    return history(df.withColumn("ts", F.timestamp_add("DAY", F.col("pos"), F.lit("2024-01-01").cast("timestamp"))), "item", "ts", "v", horizon=horizon)
+
+
+def test_smoothing_starts_at_the_first_value(spark):
+    series = {"a": [None] * 3 + [10.0] * 9, "b": [1.0, 5.0, 2.0, 8.0, 4.0, 4.0], "c": [None] * 6}
+
+    def recursion(values, alpha=0.3):
+        level = None
+        for v in values:
+            if v is not None:
+                level = v if level is None else alpha * v + (1 - alpha) * level
+        return level
+
+    got = {r["item"]: r["level"] for r in _hist(spark, series).collect()}
+    assert got["a"] == pytest.approx(10.0) and got["c"] is None
+    assert got["b"] == pytest.approx(recursion(series["b"][:4]))
+
+
+def test_candidates_are_scored_on_the_same_rows(spark):
+    from stockweave.operators.forecast import auto_forecast, candidates
+
+    series = {"long": [float(i % 7 + 1) for i in range(20)], "short": [3.0, 4.0, 5.0, 6.0, 7.0]}
+    scores, _ = auto_forecast(_hist(spark, series), "item", candidates(2))
+    assert {r["item_count"] for r in scores.collect()} == {2}

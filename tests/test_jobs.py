@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from bindings import ORACLES, QUERIES
 from bindings.jobs import CREATED, _ads, _campaign, _retail, _tabular_config
 from bindings.models import FEATURES, TARGET, TRIAL_ROUNDS, lines
 from stockweave.config import AutoForecastConfig, SeriesConfig
@@ -127,7 +128,7 @@ def test_target_dataset_has_the_declared_columns(spark, sf_dir):
 
 
 def test_queries_without_sql_return_rows(spark, sf_dir):
-    weaker = set(entry.queries()) - set(entry.oracle_sql())
+    weaker = set(QUERIES) - set(ORACLES)
     assert weaker == {
         "boosted_regressor",
         "job_series_drift",
@@ -137,3 +138,15 @@ def test_queries_without_sql_return_rows(spark, sf_dir):
         "param_search",
         "quantile_forecast_metrics",
     }
+
+
+def test_mean_mode_averages_observations_under_view_preference(spark):
+    from stockweave.plans.series_jobs import clean_retail, regular_sales
+
+    rows = [("a", "2024-01-01", 2.0, "Manufacturing"), ("a", "2024-01-01", 4.0, "Manufacturing"), ("a", "2024-01-01", 9.0, "Sourcing")]
+    df = spark.createDataFrame(rows, "item string, ts string, units double, distributor_view string")
+    df = df.withColumn("ts", F.to_timestamp("ts"))
+    assert clean_retail(df, SeriesConfig(how="mean")).count() == 2
+    for how, want in (("mean", 3.0), ("sum", 6.0)):
+        cfg = SeriesConfig(how=how, min_bins=1)
+        assert [r["units"] for r in regular_sales(df, None, cfg).collect()] == [want]

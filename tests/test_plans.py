@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from bindings import ORACLES
 from bindings.common import supply, visits
 from helpers import exchanges, plan_of
 from stockweave.operators.forecast import auto_forecast, candidates, history, hold_out
@@ -17,7 +18,7 @@ from stockweave.operators.split import oversample, random_split, series_split, t
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "CartesianProduct")
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     plan = plan_of(entry.queries()[name](spark, sf_dir))
     assert not [word for word in FORBIDDEN if word in plan]
