@@ -14,6 +14,7 @@ from stockweave.operators.forecast import (
     score_forecaster,
     seasonal_naive,
     smoothing,
+    training_rows,
     weighted_history,
 )
 from stockweave.operators.metrics import forecast_metrics, regression_metrics, seasonal_scale
@@ -178,13 +179,41 @@ def _quantile_records(spark, sf_dir):
     packed = materialize(series)
     train = packed.select("item", F.slice("target", F.lit(1), F.col("n_train")).alias("target"))
     model = fit_forecaster(train, "item", quantiles=(0.5, 0.9))
-    contexts = train.select("item", F.slice("target", -28, 28).alias("target"))
     actuals = packed.select(
         "item",
         F.timestamp_add("DAY", F.col("n_train"), F.col("first")).alias("start"),
-        F.slice("target", -HORIZON, HORIZON).alias("target"),
+        F.slice("target", F.col("n_train") + 1, HORIZON).alias("target"),
+    )
+    return score_forecaster(model, train, "item"), actuals
+
+
+@query(
+    "forecaster_training_rows",
+    f"""WITH {_SERIES},
+ends AS (
+  SELECT item, pos, v AS last_value, avg(abs(v)) OVER w AS mean, avg(v) OVER w AS typical, count(v) OVER w / 28.0::DOUBLE AS known,
+         avg(v) OVER (PARTITION BY item ORDER BY pos ROWS 6 PRECEDING) AS week, count(*) OVER (PARTITION BY item) AS n
+  FROM train WINDOW w AS (PARTITION BY item ORDER BY pos ROWS 27 PRECEDING)
+),
+windows AS (
+  SELECT *, CASE WHEN mean > 0 THEN mean ELSE 1.0::DOUBLE END AS scale, coalesce(typical, 0) AS usual FROM ends
+  WHERE pos + 1 >= least(28, ceil(n / 2)) AND pos + 1 <= greatest(n - 28, least(28, ceil(n / 2)))
+)
+SELECT w.item, step, count(*) AS n, round(sum(y.v / scale), 4) AS label, round(sum(coalesce(a.v, usual) / scale), 4) AS week_1,
+       round(sum(coalesce(b.v, usual) / scale), 4) AS week_2, round(sum(coalesce(week, usual) / scale), 4) AS recent_mean,
+       round(sum(coalesce(w.last_value, usual) / scale), 4) AS last_value, round(sum(known), 4) AS known
+FROM windows w CROSS JOIN steps JOIN train y ON y.item = w.item AND y.pos = w.pos + step
+LEFT JOIN train a ON a.item = w.item AND a.pos = w.pos - 6 + (step - 1) % 7
+LEFT JOIN train b ON b.item = w.item AND b.pos = w.pos - 13 + (step - 1) % 7
+WHERE y.v IS NOT NULL GROUP BY 1, 2""",
+)
+def forecaster_rows(spark, sf_dir):
+    """Inputs and labels of the model over all suppliers, summed per item and step."""
+    train = pack_series(held_out(spark, sf_dir).filter("pos < cut_pos"), "item", "ts", "units")
+    names = ("label", "week_1", "week_2", "recent_mean", "last_value", "known")
+    return training_rows(train, "item").groupBy("item", "step").agg(
+        F.count(F.lit(1)).alias("n"), *[F.round(F.sum(c), 4).alias(c) for c in names]
     )
-    return score_forecaster(model, contexts, "item"), actuals
 
 
 @query(

@@ -1,15 +1,20 @@
 """The five composite jobs end to end."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from stockweave.config import AutoForecastConfig, SeriesConfig, TabularConfig
 from stockweave.operators.encode import fit_labels
-from stockweave.operators.quality import statistics_report, violation_status
+from stockweave.operators.quality import ConstraintViolation
+from stockweave.operators.registry import approve_model, read_registry
 from stockweave.plans.auto_forecast_job import run_auto_forecast, target_dataset
 from stockweave.plans.series_jobs import (
+    approved_series,
     check_series_drift,
     context_part,
     drift_set,
+    publish_series,
     score_series_drift,
     train_part,
     train_series,
@@ -17,17 +22,22 @@ from stockweave.plans.series_jobs import (
     validation_part,
 )
 from stockweave.plans.tabular_jobs import (
+    approved_tabular,
     check_tabular_drift,
     drift_rows,
+    finish_tabular_drift,
+    publish_tabular,
     train_tabular,
     training_rows,
 )
 from stockweave.session import scratch_path
+from stockweave.sources.reports import json_metric, read_report
 
-from .common import grid_sql, line_sql, query, r6, table
+from .common import VISITS, grid_sql, line_sql, query, r6, table, visits
 from .forecasts import rounded
 
 CREATED = "2024-01-01"
+APPROVED_ON = "2024-02-01"
 
 
 def _retail(spark, sf_dir):
@@ -139,26 +149,98 @@ def series_drift_set(spark, sf_dir):
     )
 
 
-@query("job_series_train")
+def _published(spark, job, root):
+    """What a job left: a registry row exactly if the gate passed, the error of its report."""
+    passed = job.gate.first()["passed"]
+    reported = json_metric(read_report(spark, f"{root}/reports/evaluation")).first()["value"]
+    return {
+        "registered_as_gated": F.lit(read_registry(spark, f"{root}/registry").count() == int(passed)),
+        "report_matches": F.lit(reported == job.metrics.first()["rmse"]),
+    }
+
+
+def _n_rows(metrics):
+    return F.lit(metrics.first()["item_count"]).cast("bigint")
+
+
+@query(
+    "job_series_train",
+    f"""WITH {_CLEAN}
+SELECT count(DISTINCT item) AS eligible, count(DISTINCT item) AS scored, 0::BIGINT AS rejected,
+       count(*) FILTER (pos >= n_train AND pos < n_train + 28) AS n_rows, true AS registered_as_gated, true AS report_matches
+FROM series""",
+)
 def series_train(spark, sf_dir):
+    root = scratch_path(spark, "series-train")
     job = train_series(
-        _retail(spark, sf_dir), _ads(spark, sf_dir), SeriesConfig(), "models/series", CREATED
+        _retail(spark, sf_dir), _ads(spark, sf_dir), SeriesConfig(), f"{root}/model", CREATED
     )
-    return job.metrics.withColumn("passed", job.gate.select("passed").scalar())
+    publish_series(job, f"{root}/registry", f"{root}/reports")
+    return job.coverage.withColumns({"n_rows": _n_rows(job.metrics), **_published(spark, job, root)})
 
 
-@query("job_series_drift")
+@query(
+    "forecast_coverage",
+    f"""WITH {grid_sql(VISITS, 'avg')}, {line_sql()},
+parts AS (SELECT item, v, pos, floor(n_bins * 0.85::DOUBLE) AS n_train FROM series WHERE n_bins >= 29)
+SELECT count(DISTINCT item) AS eligible, count(DISTINCT item) AS scored, 0::BIGINT AS rejected,
+       count(v) FILTER (pos >= n_train AND pos < n_train + 28) AS n_rows FROM parts""",
+)
+def coverage(spark, sf_dir):
+    """Users of few bins are forecast too."""
+    rows = visits(spark, sf_dir).select("item", "ts", "units")
+    job = train_series(rows, None, SeriesConfig(how="mean"), "models/users", CREATED)
+    return job.coverage.withColumn("n_rows", _n_rows(job.metrics))
+
+
+_LATER = "SELECT l_suppkey AS item, l_shipdate AS ts, l_quantity AS units FROM lineitem WHERE NOT " + _FIRST
+
+
+@query(
+    "job_series_drift",
+    f"""WITH {grid_sql(_LATER, 'avg')},
+counts AS (SELECT d, count(*) AS n FROM raw GROUP BY 1),
+cut AS (SELECT min(d) AS c FROM (SELECT d, sum(n) OVER (ORDER BY d) AS u, sum(n) OVER () AS t FROM counts) WHERE u > t // 2),
+{line_sql("d >= (SELECT c FROM cut)")},
+steps AS (SELECT item, v, d - (SELECT c FROM cut) AS s FROM series),
+items AS (
+  SELECT item, count(v) FILTER (s >= 0 AND s < 28) AS n FROM steps
+  GROUP BY item HAVING count(*) FILTER (s < 0) > 0 AND count(*) FILTER (s >= 0) > 0
+)
+SELECT count(*) AS eligible, count(*) AS scored, 0::BIGINT AS rejected, CAST(sum(n) AS BIGINT) AS n_rows,
+       true AS failed, true AS rmse_reported FROM items""",
+)
 def series_drift(spark, sf_dir):
-    """A model trained on the years before 2000 meets the later observations."""
-    cfg = SeriesConfig(how="mean")
+    """The approved model of the years before 2000 meets later units three times as high.
+
+    The baseline comes from another run, over the years it was trained on. The run fails, its reports stay.
+    """
+    root = scratch_path(spark, "series-drift")
+    cfg = SeriesConfig(how="mean", rmse_gate=1000.0)
     rows = _retail(spark, sf_dir).select("item", "ts", "units")
     old = F.col("ts") < F.lit("2000-01-01").cast("timestamp_ntz")
-    job = train_series(rows.filter(old), None, cfg, "models/series", CREATED)
-    drift = score_series_drift(rows.filter(~old), job.mapping, job.model, cfg)
-    path = scratch_path(spark, "series-baseline")
-    found = check_series_drift(drift, path, register_baseline=True)
-    failed = violation_status(found).select("failed").scalar()
-    return statistics_report(drift.metrics).withColumn("failed", failed)
+    job = train_series(rows.filter(old), None, cfg, f"{root}/model", CREATED)
+    publish_series(job, f"{root}/registry", f"{root}/reports")
+    approve_model(spark, f"{root}/registry", f"{root}/model", APPROVED_ON)
+    item_type = rows.schema["item"].dataType.simpleString()
+    model, mapping = approved_series(spark, f"{root}/registry", item_type)
+    first = score_series_drift(rows.filter(old), mapping, model, cfg)
+    check_series_drift(first, f"{root}/baseline", register_baseline=True)
+    later = rows.filter(~old).withColumn("units", F.col("units") * 3)
+    drift = score_series_drift(later, mapping, model, cfg)
+    try:
+        check_series_drift(drift, f"{root}/baseline", reports=f"{root}/check")
+        failed = False
+    except ConstraintViolation:
+        failed = True
+    found = read_report(spark, f"{root}/check/violations").first()["value"]
+    return drift.coverage.withColumns(
+        {
+            "n_rows": _n_rows(drift.metrics),
+            "failed": F.lit(failed),
+            "rmse_reported": F.lit('"metric_name":"rmse"' in found),
+        }
+    )
 
 
 _FEATURES = ("asin_code", "ad_group_name_code", "targeting_type", "spend", "Cluster", "year", "month")
@@ -237,27 +319,57 @@ def tabular_drift_set(spark, sf_dir):
     return drift_rows(rows.filter(~early), cfg, mappings)
 
 
-@query("job_tabular_train")
+@query(
+    "job_tabular_train",
+    f"""WITH {_ENCODED.format(first='', later='')}
+SELECT count(*) AS n_rows, 2::BIGINT AS n_trials, true AS registered_as_gated, true AS report_matches FROM coded WHERE bucket >= 90""",
+)
 def tabular_train(spark, sf_dir):
-    job = train_tabular(_campaign(spark, sf_dir), _tabular_config(2), "models/tabular", CREATED)
-    return job.metrics.withColumn("passed", job.gate.select("passed").scalar())
+    root = scratch_path(spark, "tabular-train")
+    job = train_tabular(_campaign(spark, sf_dir), _tabular_config(2), f"{root}/model", CREATED)
+    publish_tabular(job, f"{root}/registry", f"{root}/reports")
+    return job.trials.agg(F.count(F.lit(1)).alias("n_trials")).withColumns(
+        {"n_rows": _n_rows(job.metrics), **_published(spark, job, root)}
+    )
+
+
+_BEFORE = "date < TIMESTAMP '2000-01-01'"
 
 
-@query("job_tabular_drift")
+@query(
+    "job_tabular_drift",
+    f"""WITH {_ENCODED.format(first='WHERE ' + _BEFORE, later='WHERE NOT ' + _BEFORE)},
+kept AS (SELECT * FROM coded WHERE spend < 500 OR NOT (SELECT count(*) FILTER (spend > 500) < 0.2::DOUBLE * count(*) FROM coded))
+SELECT count(*) AS n_rows, count(*) AS n_captured, true AS failed_as_found, true AS reported FROM kept""",
+)
 def tabular_drift(spark, sf_dir):
-    """A model of the years before 2000 meets the later rows; unseen codes drop out."""
-    cfg = _tabular_config(0)
+    """The approved model of the years before 2000 meets the later rows; unseen codes drop out."""
+    root = scratch_path(spark, "tabular-drift")
+    cfg = replace(_tabular_config(0), rmse_gate=1e9)
     rows = _campaign(spark, sf_dir)
     old = F.col("date") < F.lit("2000-01-01").cast("timestamp_ntz")
-    job = train_tabular(rows.filter(old), cfg, "models/tabular", CREATED)
+    job = train_tabular(rows.filter(old), cfg, f"{root}/model", CREATED)
+    publish_tabular(job, f"{root}/registry", f"{root}/reports")
+    approve_model(spark, f"{root}/registry", f"{root}/model", APPROVED_ON)
+    base = approved_tabular(spark, f"{root}/registry", cfg)
     drift = check_tabular_drift(
-        rows.filter(~old), cfg, job.mappings, job.profile, job.model, job.constraints
+        rows.filter(~old), cfg, base.mappings, base.profile, base.model, base.constraints
     )
-    findings = drift.findings.select(F.col("check").alias("kind"), F.col("column").alias("name"))
-    return findings.unionByName(
-        drift.violations.select(
-            F.col("constraint_check_type").alias("kind"), F.col("metric_name").alias("name")
-        )
+    try:
+        finish_tabular_drift(drift, f"{root}/check", APPROVED_ON)
+        failed = False
+    except ConstraintViolation:
+        failed = True
+    found = not (drift.findings.isEmpty() and drift.violations.isEmpty())
+    n_reported = F.json_array_length(F.get_json_object("value", "$.violations"))
+    reported = read_report(spark, f"{root}/check/violations").select(n_reported).first()[0]
+    captured = spark.read.parquet(f"{root}/check/captured")
+    return captured.agg(F.count(F.lit(1)).alias("n_captured")).withColumns(
+        {
+            "n_rows": _n_rows(drift.metrics),
+            "failed_as_found": F.lit(failed == found),
+            "reported": F.lit(reported == drift.violations.count()),
+        }
     )
 
 

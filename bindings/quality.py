@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stockweave.operators.metrics import regression_metrics
 from stockweave.operators.quality import (
+    ConstraintViolation,
     build_constraints,
     check_constraints,
     compare_baseline,
@@ -13,6 +14,8 @@ from stockweave.operators.quality import (
     violation_status,
 )
 from stockweave.operators.tabular import evaluate_regressor
+from stockweave.session import scratch_path
+from stockweave.sources.reports import load_baseline, save_baseline
 
 from .common import query, r6, table
 
@@ -125,12 +128,23 @@ def violations(spark, sf_dir):
 
 @query(
     "fail_on_violation",
-    f"WITH {_METRICS} SELECT count(*) AS n_violations, count(*) > 0 AS failed FROM compared WHERE violated",
+    f"""WITH {_METRICS}
+SELECT count(*) AS n_violations, count(*) > 0 AS failed, count(*) > 0 AS raised, false AS raised_registering
+FROM compared WHERE violated""",
 )
 def failed(spark, sf_dir):
+    """Violations, and whether the check raises without and with registering a baseline."""
     found = _violations(spark, sf_dir)
-    fail_on_violation(found, registering=True)
-    return violation_status(found)
+    raised = []
+    for registering in (False, True):
+        try:
+            fail_on_violation(found, registering)
+            raised.append(False)
+        except ConstraintViolation:
+            raised.append(True)
+    return violation_status(found).withColumns(
+        {"raised": F.lit(raised[0]), "raised_registering": F.lit(raised[1])}
+    )
 
 
 @query(
@@ -147,7 +161,11 @@ def gate(spark, sf_dir):
     f"WITH {_METRICS} SELECT metric AS metric_name, operator AS constraint_check_type FROM compared WHERE violated",
 )
 def model_check(spark, sf_dir):
-    return _violations(spark, sf_dir).select("metric_name", "constraint_check_type")
+    """Labels and predictions of the later lines against the stored baseline of the earlier ones."""
+    path = scratch_path(spark, "model-baseline")
+    save_baseline(build_constraints(_statistics(spark, sf_dir, old=True)), path)
+    found = check_constraints(_statistics(spark, sf_dir, old=False), load_baseline(spark, path))
+    return found.select("metric_name", "constraint_check_type")
 
 
 @query(

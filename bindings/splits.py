@@ -9,6 +9,7 @@ from stockweave.operators.split import (
     median_cutoff,
     midpoint_cutoff,
     midpoint_split,
+    number_rows,
     oversample,
     random_split,
     random_split_exact,
@@ -16,6 +17,7 @@ from stockweave.operators.split import (
     tail_context,
     union_parts,
 )
+from stockweave.session import materialize
 
 from .common import SUPPLY, VISITS, day, grid_sql, line_sql, query, supply, table, visits
 
@@ -149,6 +151,30 @@ def exact(spark, sf_dir):
     return random_split_exact(orders, "o_orderkey", 70, 20)
 
 
+_LINE = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+_LINE_TEXT = ", ".join(
+    f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'null')" for c in _LINE
+)
+_LINE_HASH = "CAST(concat('0x', substr(md5('1729|' || row_key), 1, 8)) AS BIGINT)"
+
+
+@query(
+    "random_split_rows",
+    f"""
+WITH numbered AS (
+  SELECT {', '.join(_LINE)},
+         sha256(concat_ws('|', {_LINE_TEXT})) || '-' || row_number() OVER (PARTITION BY {', '.join(_LINE)}) AS row_key FROM lineitem
+),
+ranked AS (SELECT *, row_number() OVER (ORDER BY {_LINE_HASH}, row_key) AS rn, count(*) OVER () AS n FROM numbered)
+SELECT {', '.join(_LINE)}, row_key, CASE WHEN rn <= floor(0.7::DOUBLE * n) THEN 'train'
+                                WHEN rn <= floor(0.9::DOUBLE * n) THEN 'validation' ELSE 'test' END AS split FROM ranked""",
+)
+def keyless(spark, sf_dir):
+    """Exact split of lines, which have no unique column."""
+    rows = materialize(number_rows(table(spark, sf_dir, "lineitem").select(*_LINE)))
+    return random_split_exact(rows, "row_key", 70, 20)
+
+
 @query(
     "oversample",
     f"""

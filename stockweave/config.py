@@ -37,7 +37,8 @@ class TabularConfig:
     features: tuple[str, ...]
     date: str = "date"
     encode: tuple[str, ...] = ("asin", "ad_group_name")
-    row_key: str = "row_id"
+    # A unique column; None numbers the rows by their content.
+    row_key: str | None = "row_id"
     train_percent: int = 70
     val_percent: int = 20
     seed: int = 1729

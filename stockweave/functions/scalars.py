@@ -48,6 +48,14 @@ def not_nan(value: Column) -> Column:
     return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
 
+def row_text(columns: list[str]) -> Column:
+    """One text for the values of a row: each with its length, so that different rows differ."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat_ws(
+        "|", *[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("null")) for t in texts]
+    )
+
+
 def key_hash(seed: int, *keys: str) -> Column:
     """First 32 bits of md5(seed|key|…) as a number: the same on every run and partitioning."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])

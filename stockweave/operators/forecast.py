@@ -9,7 +9,7 @@ from operator import and_
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.bins import bins_after
@@ -215,7 +215,7 @@ def pack_forecasts(rows: DataFrame, key: str, quantile: str = "0.5") -> DataFram
 
 # --- one model over all items -------------------------------------------------
 
-FEATURES = ("step", "week_1", "week_2", "recent_mean", "last_value")
+FEATURES = ("step", "week_1", "week_2", "recent_mean", "last_value", "known")
 
 
 @dataclass(frozen=True)
@@ -230,10 +230,21 @@ class QuantileForecaster:
     season: int = 7
 
 
+def _known(values: Column) -> Column:
+    return F.filter(values, lambda x: x.isNotNull())
+
+
 def _mean(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0))) / F.size(
-        values
-    )
+    """Mean of the known values; null if there is none."""
+    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+    return F.try_divide(total, F.size(_known(values)))
+
+
+def _context(end: Column, context: int) -> Column:
+    """The ``context`` values of ``target`` up to ``end``, led by nulls where the item is younger."""
+    have = F.least(end, F.lit(context))
+    missing = F.array_repeat(F.lit(None).cast("double"), F.lit(context) - have)
+    return F.concat(missing, F.slice("target", end - have + 1, have))
 
 
 def _window(ctx: Column, season: int, *more: Column) -> Column:
@@ -243,15 +254,20 @@ def _window(ctx: Column, season: int, *more: Column) -> Column:
         ctx.alias("ctx"),
         _mean(F.transform(ctx, F.abs)).alias("mean"),
         _mean(week).alias("week_mean"),
+        (F.size(_known(ctx)) / F.size(ctx)).alias("known"),
         *more,
     )
 
 
 def _features(context: int, season: int) -> dict[str, Column]:
-    """Scaled inputs from a window's columns and ``step``, which counts from 1."""
+    """Scaled inputs from a window's columns and ``step``, which counts from 1.
+
+    A bin without a value takes the window's mean; ``known`` tells how much of the window has one.
+    """
     phase = F.pmod(F.col("step") - 1, F.lit(season))
     scale = F.when(F.col("mean") > 0, F.col("mean")).otherwise(1.0)
-    scaled = lambda c: F.coalesce(c, F.lit(0.0)) / scale
+    typical = F.coalesce(_mean(F.col("ctx")), F.lit(0.0))
+    scaled = lambda c: F.coalesce(c, typical) / scale
     at = lambda back: F.element_at("ctx", (context - back + 1 + phase).cast("int"))
     return {
         "scale": scale,
@@ -272,22 +288,23 @@ def training_rows(
 ) -> DataFrame:
     """Context windows every ``stride`` bins with each of the following ``horizon`` values.
 
+    An item too short for a whole window and horizon gives one window of its first half
+    (the context at most), whose future is the rest, so every item of two bins or more teaches.
     Windows lie inside the packed training part, so none crosses the cut. A value
     becomes about ``horizon / stride`` rows, so the packed rows are spread first.
     """
-    last = F.size("target") - horizon
+    n = F.size("target")
+    first = F.least(F.lit(context), F.ceil(n / 2).cast("int"))
     windows = F.transform(
-        F.sequence(F.lit(context), last, F.lit(stride)),
+        F.sequence(first, F.greatest(n - horizon, first), F.lit(stride)),
         lambda end: _window(
-            F.slice("target", end - context + 1, context),
-            season,
-            F.slice("target", end + 1, horizon).alias("future"),
+            _context(end, context), season, F.slice("target", end + 1, horizon).alias("future")
         ),
     )
     return (
-        spread(packed.filter(last >= context).select(key, "target"), key)
+        spread(packed.filter(n >= 2).select(key, "target"), key)
         .select(key, F.inline(windows))
-        .select(key, "ctx", "mean", "week_mean", F.posexplode("future").alias("_i", "_y"))
+        .select(key, "ctx", "mean", "week_mean", "known", F.posexplode("future").alias("_i", "_y"))
         .filter(F.col("_y").isNotNull())
         .withColumn("step", F.col("_i") + 1)
         .withColumns(_features(context, season))
@@ -334,15 +351,16 @@ def fit_forecaster(
 def score_forecaster(
     model: QuantileForecaster, contexts: DataFrame, key: str
 ) -> DataFrame:
-    """Forecast records (key, quantiles map, error) for packed contexts.
+    """Forecast records (key, quantiles map, error) for packed contexts, of which the last values count.
 
-    Contexts shorter than the model's window yield an ``error`` record.
+    A short context is scored with its missing bins marked. One without any value
+    yields an ``error`` record.
     """
-    full = F.size("target") >= model.context
-    window = _window(F.slice("target", -model.context, model.context), model.season)
+    windows = contexts.select(key, _context(F.size("target"), model.context).alias("ctx"))
+    usable = F.coalesce(F.exists("ctx", lambda x: x.isNotNull()), F.lit(False))
     steps = (
-        contexts.filter(full)
-        .select(key, F.inline(F.array(window)))
+        windows.filter(usable)
+        .select(key, F.inline(F.array(_window(F.col("ctx"), model.season))))
         .select("*", F.explode(F.sequence(F.lit(1), F.lit(model.horizon))).alias("step"))
     )
     features = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
@@ -362,9 +380,33 @@ def score_forecaster(
     good = paths.select(
         key, F.create_map(*pairs).alias("quantiles"), F.lit(None).cast("string").alias("error")
     )
-    short = contexts.filter(~full).select(
+    empty = windows.filter(~usable).select(
         key,
         F.lit(None).cast("map<string,array<double>>").alias("quantiles"),
-        F.lit("context shorter than the model window").alias("error"),
+        F.lit("context without any value").alias("error"),
+    )
+    return good.unionByName(empty)
+
+
+_SETTINGS = "quantiles array<double>, context int, horizon int, season int"
+
+
+def save_forecaster(model: QuantileForecaster, path: str) -> None:
+    """The tree, its leaves and its settings below ``path``."""
+    spark = model.leaf_quantiles.sparkSession
+    model.tree.write().overwrite().save(f"{path}/tree")
+    model.leaf_quantiles.write.mode("overwrite").parquet(f"{path}/leaves")
+    row = ([float(q) for q in model.quantiles], model.context, model.horizon, model.season)
+    spark.createDataFrame([row], _SETTINGS).write.mode("overwrite").json(f"{path}/settings")
+
+
+def load_forecaster(spark: SparkSession, path: str) -> QuantileForecaster:
+    settings = spark.read.schema(_SETTINGS).json(f"{path}/settings").first()
+    return QuantileForecaster(
+        DecisionTreeRegressionModel.load(f"{path}/tree"),
+        spark.read.parquet(f"{path}/leaves"),
+        tuple(settings["quantiles"]),
+        settings["context"],
+        settings["horizon"],
+        settings["season"],
     )
-    return good.unionByName(short)

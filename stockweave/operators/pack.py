@@ -108,5 +108,23 @@ def align_forecast(
     )
 
 
+def forecast_coverage(
+    actuals: DataFrame, forecasts: DataFrame, key: str, quantile: str = "0.5"
+) -> DataFrame:
+    """One row (eligible, scored, rejected): items with actuals, those with a path, those without."""
+    path = F.try_element_at("quantiles", F.lit(quantile))
+    answered = forecasts.select(key, path.isNotNull().alias("_scored"))
+    scored = F.coalesce(F.col("_scored"), F.lit(False))
+    return (
+        actuals.select(key)
+        .join(answered, key, "left")
+        .agg(
+            F.count(F.lit(1)).alias("eligible"),
+            F.count_if(scored).alias("scored"),
+            F.count_if(~scored).alias("rejected"),
+        )
+    )
+
+
 def _optional(df: DataFrame, column: str) -> list[str]:
     return [column] if column in df.columns else []

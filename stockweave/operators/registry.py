@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Approval states of a registered model.
@@ -46,6 +46,34 @@ def register_model(entry: DataFrame, path: str) -> None:
     entry.write.mode("append").parquet(path)
 
 
+def register_if_passed(entry: DataFrame, gate: DataFrame, path: str) -> bool:
+    """Append the entry only when the gate passed; the table exists afterwards in both cases."""
+    passed = gate.first()["passed"]
+    register_model(entry.filter(F.lit(passed)), path)
+    return passed
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+
+
+def approve_model(spark: SparkSession, path: str, uri: str, approved: str) -> None:
+    """Append an approved row for a registered model; an unknown one raises."""
+    rows = read_registry(spark, path).filter(F.col("uri") == uri).limit(1)
+    if rows.isEmpty():
+        raise ValueError(f"{uri} is not registered")
+    when = F.lit(approved).cast("timestamp")
+    register_model(rows.withColumns({"status": F.lit(APPROVED), "created": when}), path)
+
+
+def approved_uri(spark: SparkSession, path: str, group: str) -> str:
+    """Where the newest approved model of a group lies."""
+    found = latest_approved(read_registry(spark, path), group).first()
+    if found is None:
+        raise ValueError(f"no approved model in group {group}")
+    return found["uri"]
+
+
 def latest_approved(registry: DataFrame, group: str | None = None) -> DataFrame:
     """Newest approved model per group."""
     approved = registry.filter(F.col("status") == APPROVED)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bins import bin_index, bin_label
-from ..functions.scalars import key_hash
+from ..functions.scalars import key_hash, row_text
+from ..session import spread
 from .ordering import running_total
 
 HASH_BITS = 32
@@ -79,8 +80,8 @@ def median_cutoff(df: DataFrame, key: str, ts: str, freq: str = "D") -> DataFram
 
     An item adds one row to every bin from its first to its last. The number of
     items per bin therefore only changes where one starts or has ended; between
-    two such bins the running number of rows is a line. The ordered sums see at
-    most one row per calendar bin.
+    two such bins the running number of rows is a line: ``bin * items - weighted`` rows
+    lie before a bin, with running sums of the changes and of the changes times their bin.
     """
     changes = (
         _spans(df, key, ts, freq)
@@ -94,21 +95,41 @@ def median_cutoff(df: DataFrame, key: str, ts: str, freq: str = "D") -> DataFram
         )
         .groupBy("_bin")
         .agg(F.sum("_change").alias("_change"))
+        .withColumn("_weight", F.col("_change") * F.col("_bin"))
     )
-    order = Window.orderBy("_bin")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    segments = (
-        changes.withColumns(
-            {"_items": F.sum("_change").over(upto), "_until": F.lead("_bin").over(order)}
-        )
-        .withColumn("_rows", F.coalesce(F.col("_items") * (F.col("_until") - F.col("_bin")), F.lit(0)))
-        .withColumns(
-            {"_end": F.sum("_rows").over(upto), "_all": F.sum("_rows").over(Window.partitionBy())}
-        )
+    items = running_total(changes, ["_bin"], "_change", "_items")
+    upto = running_total(items, ["_bin"], "_weight", "_weighted")
+    middle = upto.agg(F.shiftright(-F.sum("_weight"), 1)).scalar()
+    before = F.col("_bin") * F.col("_items") - F.col("_weighted")
+    line = F.struct("_bin", "_items", before.alias("_before"))
+    last = upto.filter((before <= middle) & (F.col("_items") > 0)).agg(F.max_by(line, "_bin").alias("_at"))
+    rest = F.floor((middle - F.col("_at._before")) / F.col("_at._items"))
+    return last.filter(F.col("_at").isNotNull()).select(
+        bin_label(F.col("_at._bin") + rest, freq).alias("cutoff")
     )
-    inside = F.floor(F.col("_all") / 2) - (F.col("_end") - F.col("_rows"))
-    return segments.filter((inside >= 0) & (inside < F.col("_rows"))).select(
-        bin_label(F.col("_bin") + F.floor(inside / F.col("_items")), freq).alias("cutoff")
+
+
+# Copies of a row that one task numbers.
+COPIES_PER_TASK = 4096
+
+
+def number_rows(df: DataFrame, name: str = "row_key") -> DataFrame:
+    """Adds a text that tells every row apart: the hash of its columns, a dash, its number among equal rows.
+
+    Equal rows are counted map-side and numbered by their count, so the result does not depend on
+    the partitioning, and a row that fills the table is spread over many tasks. Nulls are equal to
+    each other and differ from empty text. Map columns cannot be compared and raise.
+    """
+    columns = df.columns
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / COPIES_PER_TASK))
+    first = F.col("_block") * COPIES_PER_TASK + 1
+    numbers = F.sequence(first, F.least(first + COPIES_PER_TASK - 1, F.col("_n")))
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    blocked = counted.withColumn("_hash", F.sha2(row_text(columns), 256)).withColumn("_block", F.explode(blocks))
+    return (
+        spread(blocked, "_hash", "_block")
+        .withColumn("_number", F.explode(numbers))
+        .select(*columns, F.concat_ws("-", "_hash", "_number").alias(name))
     )
 
 

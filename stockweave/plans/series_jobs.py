@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SeriesConfig
 from ..functions.bins import bin_index
 from ..operators.clean import filter_if_present, prefer_value, prefer_value_totals
 from ..operators.encode import encode, fit_labels
-from ..operators.forecast import QuantileForecaster, fit_forecaster, score_forecaster
+from ..operators.forecast import (
+    QuantileForecaster,
+    fit_forecaster,
+    load_forecaster,
+    save_forecaster,
+    score_forecaster,
+)
 from ..operators.metrics import regression_metrics
-from ..operators.pack import align_forecast, ordered_values, pack_series
+from ..operators.pack import align_forecast, forecast_coverage, ordered_values, pack_series
 from ..operators.quality import (
     build_constraints,
     check_constraints,
@@ -21,11 +27,18 @@ from ..operators.quality import (
     quality_gate,
     statistics_report,
 )
-from ..operators.registry import registry_entry
+from ..operators.registry import approved_uri, register_if_passed, registry_entry
 from ..operators.series import regularize, resample, resample_with_related, to_bins
 from ..operators.split import median_cutoff, midpoint_cutoff, series_split
 from ..session import materialize
-from ..sources.reports import load_baseline, save_baseline
+from ..sources.mappings import read_mapping, write_mapping
+from ..sources.reports import (
+    evaluation_json,
+    load_baseline,
+    save_baseline,
+    write_check,
+    write_report,
+)
 
 
 def clean_retail(df: DataFrame, cfg: SeriesConfig) -> DataFrame:
@@ -106,9 +119,9 @@ def validation_part(packed: DataFrame, cfg: SeriesConfig) -> DataFrame:
 
 def context_part(train: DataFrame, cfg: SeriesConfig) -> DataFrame:
     """Last training values, fewer for a shorter series."""
-    back = F.least(F.lit(cfg.context), F.size("target"))
+    first = F.greatest(F.size("target") - cfg.context, F.lit(0)) + 1
     return train.select(
-        cfg.item, F.slice("target", -back, F.lit(cfg.context)).alias("target"), "cat"
+        cfg.item, F.slice("target", first, F.lit(cfg.context)).alias("target"), "cat"
     )
 
 
@@ -119,6 +132,7 @@ class SeriesTraining:
     train: DataFrame
     validation: DataFrame
     contexts: DataFrame
+    coverage: DataFrame
     metrics: DataFrame
     gate: DataFrame
     entry: DataFrame
@@ -138,26 +152,49 @@ def train_series(
     train, validation = train_part(packed, cfg), validation_part(packed, cfg)
     contexts = context_part(train, cfg)
     model = fit_forecaster(train, cfg.item, cfg.context, cfg.horizon, (cfg.quantile,), stride=cfg.stride, season=cfg.season)
-    forecasts = score_forecaster(model, contexts, cfg.item)
+    # One row per item, read by the coverage and by the metrics.
+    forecasts = materialize(score_forecaster(model, contexts, cfg.item))
     rows = align_forecast(
         validation, forecasts, cfg.item, cfg.horizon, str(cfg.quantile), cfg.freq
     )
-    metrics = regression_metrics(rows, mape_scale=100.0)
+    # One row, read by the report, the gate and the registry.
+    metrics = materialize(regression_metrics(rows, mape_scale=100.0))
     return SeriesTraining(
         model,
         mapping,
         train,
         validation,
         contexts,
+        forecast_coverage(validation, forecasts, cfg.item, str(cfg.quantile)),
         metrics,
         quality_gate(metrics, "rmse", cfg.rmse_gate),
         registry_entry(metrics, group, uri, created),
     )
 
 
+def publish_series(job: SeriesTraining, registry: str, reports: str) -> bool:
+    """Write the evaluation; save the model with its mapping and register it if the gate passed."""
+    write_report(evaluation_json(job.metrics), f"{reports}/evaluation")
+    if job.gate.first()["passed"]:
+        uri = job.entry.first()["uri"]
+        save_forecaster(job.model, uri)
+        write_mapping(job.mapping, f"{uri}/mapping")
+    return register_if_passed(job.entry, job.gate, registry)
+
+
+def approved_series(
+    spark: SparkSession, registry: str, item_type: str, group: str = "series"
+) -> tuple[QuantileForecaster, DataFrame]:
+    """The newest approved model and its mapping, whose values take the items' type."""
+    uri = approved_uri(spark, registry, group)
+    mapping = read_mapping(spark, f"{uri}/mapping")
+    return load_forecaster(spark, uri), mapping.withColumn("value", F.col("value").cast(item_type))
+
+
 @dataclass(frozen=True)
 class SeriesDrift:
     rows: DataFrame
+    coverage: DataFrame
     metrics: DataFrame
     statistics: DataFrame
     constraints: DataFrame
@@ -205,24 +242,45 @@ def score_series_drift(
     cfg: SeriesConfig,
     cutoff: str = "median",
 ) -> SeriesDrift:
-    """Recent series cut in two: the model sees the context before, the truth comes after."""
+    """Recent series cut in two: the model sees the context before, the truth comes after.
+
+    Items with bins on both sides are eligible; the coverage tells how many have a forecast.
+    """
     contexts, truth = drift_set(observations, mapping, cfg, cutoff)
-    forecasts = score_forecaster(model, contexts, cfg.item).filter(F.col("error").isNull())
+    forecasts = materialize(score_forecaster(model, contexts, cfg.item))
+    eligible = truth.join(contexts.select(cfg.item), cfg.item, "left_semi")
     rows = materialize(
         align_forecast(truth, forecasts, cfg.item, cfg.horizon, str(cfg.quantile), cfg.freq)
     )
-    metrics = regression_metrics(rows)
+    metrics = materialize(regression_metrics(rows))
     statistics = statistics_report(metrics)
-    return SeriesDrift(rows, metrics, statistics, build_constraints(statistics))
+    return SeriesDrift(
+        rows,
+        forecast_coverage(eligible, forecasts, cfg.item, str(cfg.quantile)),
+        metrics,
+        statistics,
+        build_constraints(statistics),
+    )
 
 
 def check_series_drift(
-    drift: SeriesDrift, baseline_path: str, register_baseline: bool = False
+    drift: SeriesDrift,
+    baseline_path: str,
+    register_baseline: bool = False,
+    reports: str | None = None,
 ) -> DataFrame:
-    """Register the current metrics as baseline, or compare with it and fail on a violation."""
+    """Register the current metrics as baseline, or compare with it and fail on a violation.
+
+    Rejected items fail the run. The three reports are written before it can fail.
+    """
     spark = drift.metrics.sparkSession
+    rejected = drift.coverage.first()["rejected"]
+    if rejected:
+        raise ValueError(f"{rejected} items have no forecast")
     if register_baseline:
         save_baseline(drift.constraints, baseline_path)
     violations = check_constraints(drift.statistics, load_baseline(spark, baseline_path))
+    if reports is not None:
+        write_check(drift.metrics, drift.constraints, violations, reports)
     fail_on_violation(violations, registering=register_baseline)
     return violations

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TabularConfig
@@ -26,13 +26,23 @@ from ..operators.profile import column_profile, data_check, distribution_distanc
 from ..operators.quality import (
     build_constraints,
     check_constraints,
+    fail_on_violation,
     quality_gate,
     statistics_report,
 )
-from ..operators.registry import registry_entry
-from ..operators.split import random_split
-from ..operators.tabular import fit_regressor, score_projection, search
+from ..operators.registry import approved_uri, register_if_passed, registry_entry
+from ..operators.split import number_rows, random_split
+from ..operators.tabular import fit_regressor, score, search
 from ..session import materialize
+from ..sources.mappings import read_mapping, write_mapping
+from ..sources.reports import (
+    evaluation_json,
+    load_baseline,
+    save_baseline,
+    write_check,
+    write_report,
+)
+from ..sources.tables import capture
 
 
 def encoded_rows(
@@ -61,7 +71,11 @@ def encoded_rows(
 def training_rows(df: DataFrame, cfg: TabularConfig) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Target, features and ``split`` of the encoded rows, and the fitted mappings."""
     rows, mappings = encoded_rows(df, cfg)
-    parts = random_split(rows, cfg.row_key, cfg.train_percent, cfg.val_percent, cfg.seed)
+    key = cfg.row_key
+    if key is None:
+        key = "_row_key"
+        rows = number_rows(rows, key)
+    parts = random_split(rows, key, cfg.train_percent, cfg.val_percent, cfg.seed)
     return parts.select(cfg.target, *cfg.features, "split"), mappings
 
 
@@ -70,10 +84,16 @@ def drift_rows(
 ) -> DataFrame:
     """Target and features of new rows: encoded with stored maps, outliers trimmed."""
     rows, _ = encoded_rows(df, cfg, mappings)
+    # The share of outliers and the filter both read these rows.
+    rows = materialize(rows)
     rows = outlier_gate(rows, cfg.outlier_column, cfg.outlier_limit, cfg.outlier_share)
     return select_features(rows, cfg.target, cfg.features)
 
 
+def _pairs(scored: DataFrame, cfg: TabularConfig) -> DataFrame:
+    return scored.select(F.col(cfg.target).cast("double").alias("label"), "prediction")
+
+
 @dataclass(frozen=True)
 class TabularTraining:
     model: PipelineModel
@@ -98,7 +118,7 @@ def train_tabular(
     # A weight of 8 stands for the eight copies of each training row.
     train = parts.filter("split = 'train'").withColumn("_weight", F.lit(float(cfg.oversample)))
     validation, test = parts.filter("split = 'validation'"), parts.filter("split = 'test'")
-    profile = column_profile(select_features(train, cfg.target, cfg.features))
+    profile = materialize(column_profile(select_features(train, cfg.target, cfg.features)))
     if cfg.trials:
         model, trials = search(
             train,
@@ -115,8 +135,9 @@ def train_tabular(
             fit_regressor(train, cfg.target, cfg.features, rounds=cfg.rounds, weight="_weight"),
             None,
         )
-    pairs = score_projection(model, test, cfg.target)
-    metrics = regression_metrics(pairs, "label", "prediction")
+    pairs = _pairs(score(model, test), cfg)
+    # One row, read by the report, the gate and the registry.
+    metrics = materialize(regression_metrics(pairs, "label", "prediction"))
     statistics = statistics_report(metrics)
     return TabularTraining(
         model,
@@ -132,12 +153,48 @@ def train_tabular(
     )
 
 
+def publish_tabular(job: TabularTraining, registry: str, reports: str) -> bool:
+    """Write the evaluation; save model, mappings and baselines and register it if the gate passed."""
+    write_report(evaluation_json(job.metrics), f"{reports}/evaluation")
+    if job.gate.first()["passed"]:
+        uri = job.entry.first()["uri"]
+        job.model.write().overwrite().save(f"{uri}/model")
+        job.profile.write.mode("overwrite").parquet(f"{uri}/profile")
+        save_baseline(job.constraints, f"{uri}/constraints")
+        for column, mapping in job.mappings.items():
+            write_mapping(mapping, f"{uri}/mappings/{column}")
+    return register_if_passed(job.entry, job.gate, registry)
+
+
+@dataclass(frozen=True)
+class ApprovedTabular:
+    model: PipelineModel
+    mappings: dict[str, DataFrame]
+    profile: DataFrame
+    constraints: DataFrame
+
+
+def approved_tabular(
+    spark: SparkSession, registry: str, cfg: TabularConfig, group: str = "tabular"
+) -> ApprovedTabular:
+    """The newest approved model with its mappings of texts and its stored baselines."""
+    uri = approved_uri(spark, registry, group)
+    return ApprovedTabular(
+        PipelineModel.load(f"{uri}/model"),
+        {c: read_mapping(spark, f"{uri}/mappings/{c}") for c in cfg.encode},
+        spark.read.parquet(f"{uri}/profile"),
+        load_baseline(spark, f"{uri}/constraints"),
+    )
+
+
 @dataclass(frozen=True)
 class TabularDrift:
     rows: DataFrame
+    scored: DataFrame
     findings: DataFrame
     pairs: DataFrame
     metrics: DataFrame
+    constraints: DataFrame
     violations: DataFrame
 
 
@@ -152,8 +209,18 @@ def check_tabular_drift(
     """Encode with stored maps, trim outliers, compare profile and metrics with the baselines."""
     rows = materialize(drift_rows(df, cfg, mappings))
     distances = distribution_distance(rows, baseline_profile)
-    findings = data_check(column_profile(rows), baseline_profile, distances)
-    pairs = score_projection(model, rows, cfg.target)
-    metrics = regression_metrics(pairs, "label", "prediction")
+    findings = materialize(data_check(column_profile(rows), baseline_profile, distances))
+    scored = score(model, rows)
+    pairs = _pairs(scored, cfg)
+    metrics = materialize(regression_metrics(pairs, "label", "prediction"))
     violations = check_constraints(statistics_report(metrics), constraints)
-    return TabularDrift(rows, findings, pairs, metrics, violations)
+    return TabularDrift(rows, scored, findings, pairs, metrics, constraints, violations)
+
+
+def finish_tabular_drift(drift: TabularDrift, reports: str, run_date: str) -> None:
+    """Capture the scored rows, write all reports, then fail on a violation or a finding."""
+    capture(drift.scored, f"{reports}/captured", run_date)
+    write_check(drift.metrics, drift.constraints, drift.violations, reports)
+    drift.findings.write.mode("overwrite").json(f"{reports}/findings")
+    found = drift.findings.select(F.concat_ws(" of ", "check", "column").alias("metric_name"))
+    fail_on_violation(drift.violations.select("metric_name").unionByName(found))

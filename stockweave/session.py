@@ -1,4 +1,4 @@
-"""Session settings, shared scratch space and size-checked broadcasts."""
+"""Session settings and shared scratch space."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Bound of what is sent to every executor: rows, and characters over all columns.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_CHARS = 64_000_000
 
 
 def build_session(app: str = "stockweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,7 +42,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = sc.getCheckpointDir()
     if current is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="stockweave-"))
         current = sc.getCheckpointDir()
@@ -66,8 +61,8 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash partitions by ``key``, two per core at least, ahead of a step that multiplies rows.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash partitions by ``keys``, two per core at least, ahead of a step that multiplies rows.
 
     The number is explicit, so adaptive execution does not merge partitions by
     their small size before the rows multiply.
@@ -77,25 +72,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
         2 * spark.sparkContext.defaultParallelism,
         int(spark.conf.get("spark.sql.shuffle.partitions")),
     )
-    return df.repartition(n, key)
+    return df.repartition(n, *keys)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_chars: int = BROADCAST_CHARS
-) -> DataFrame:
-    """Broadcast hint only when the measured frame fits; otherwise Spark plans a shuffled join."""
-    chars = F.lit(0)
-    for name in df.columns:
-        chars = chars + F.coalesce(F.length(F.col(name).cast("string")), F.lit(0))
-    size = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")
-    )
-    measured = size.first()
-    if measured["rows"] <= max_rows and measured["chars"] <= max_chars:
-        return F.broadcast(df)
-    return df

@@ -13,7 +13,7 @@ def read_observations(
     """A file or directory of observations; CSV has a header.
 
     Give a schema for large CSV input: without one, Spark reads the files twice
-    to infer it. Date columns then stay text until ``parse_utc``.
+    to infer it, and reads a column of dates as timestamps.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "csv":

@@ -6,10 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_of, rows_of
-from stockweave import session
-from stockweave.operators import encode as encode_module
 from stockweave.operators.encode import encode, fit_labels, label_encode
 from stockweave.operators.ordering import running_total
+from stockweave.session import scratch_path
 from stockweave.sources.mappings import read_mapping, write_mapping
 
 
@@ -33,11 +32,17 @@ def test_nulls_get_no_code(spark):
     assert rows_of(encoded, F.col("v").asc_nulls_last()) == [("a", 0), ("b", 1), (None, None)]
 
 
-@pytest.mark.parametrize("bound", [10, 0])
-def test_unseen_values_with_and_without_broadcast(spark, monkeypatch, bound):
-    monkeypatch.setattr(
-        encode_module, "broadcast_if_small", lambda df: session.broadcast_if_small(df, bound)
-    )
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_unseen_values_with_and_without_broadcast(spark, threshold):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        _unseen_values(spark)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def _unseen_values(spark):
     mapping = spark.createDataFrame([("a", 0), ("b", 1)], "value string, code int")
     df = spark.createDataFrame([("a",), ("z",), ("b",)], "item string")
     filled = encode(df, mapping, "item", "code", default=100)
@@ -46,14 +51,12 @@ def test_unseen_values_with_and_without_broadcast(spark, monkeypatch, bound):
     assert rows_of(strict.select("item", "code"), "item") == [("a", 0), ("b", 1), ("z", None)]
 
 
-def test_broadcast_bound_counts_rows_and_characters(spark):
-    df = spark.createDataFrame([("x" * 50, i) for i in range(20)], "value string, code int")
-    other = spark.range(5).select(F.col("id").cast("string").alias("value"))
-    hinted = lambda small: "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    assert hinted(session.broadcast_if_small(df))
-    assert not hinted(session.broadcast_if_small(df, max_rows=19))
-    assert not hinted(session.broadcast_if_small(df, max_chars=500))
-    assert "BroadcastHashJoin" in plan_of(other.join(session.broadcast_if_small(df), "value", "left"))
+def test_a_fitted_mapping_is_written_and_sized(spark):
+    """Its file size lets Spark broadcast it, and no use numbers the values again."""
+    df = spark.createDataFrame([(f"v{i % 9}",) for i in range(90)], "v string")
+    encoded, mapping = label_encode(df, "v", "code")
+    assert "Window" not in plan_of(mapping)
+    assert "BroadcastHashJoin" in plan_of(encoded)
 
 
 def test_running_total_equals_prefix_sum(spark):
@@ -72,7 +75,7 @@ def test_running_total_equals_prefix_sum(spark):
 def test_mapping_round_trip(spark, form):
     rows = [(f"näme \"{i}\"", i) for i in range(5)]
     mapping = spark.createDataFrame(rows, "value string, code int")
-    path = session.scratch_path(spark, "mapping")
+    path = scratch_path(spark, "mapping")
     assert write_mapping(mapping, path, form) == form
     assert rows_of(read_mapping(spark, path, form), "code") == rows
 
@@ -80,9 +83,9 @@ def test_mapping_round_trip(spark, form):
 def test_large_mapping_comes_back_whole(spark):
     n = 120_000
     mapping = spark.range(n).selectExpr("concat('v', id) AS value", "CAST(id AS INT) AS code")
-    path = session.scratch_path(spark, "mapping")
+    path = scratch_path(spark, "mapping")
     write_mapping(mapping, path)
     back = read_mapping(spark, path)
     assert back.count() == n and back.exceptAll(mapping).isEmpty()
     with pytest.raises(ValueError):
-        write_mapping(mapping, session.scratch_path(spark, "mapping"), "object")
+        write_mapping(mapping, scratch_path(spark, "mapping"), "object")

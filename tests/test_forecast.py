@@ -13,6 +13,8 @@ from stockweave.operators.forecast import (
     backtest_rows,
     candidates,
     fit_forecaster,
+    load_forecaster,
+    save_forecaster,
     forecast_rows,
     history,
     hold_out,
@@ -22,8 +24,9 @@ from stockweave.operators.forecast import (
     training_rows,
     weighted_history,
 )
-from stockweave.operators.pack import align_forecast, pack_series
+from stockweave.operators.pack import align_forecast, forecast_coverage, pack_series
 from stockweave.operators.series import regularize, to_bins
+from stockweave.session import scratch_path
 
 BASE = dt.datetime(2024, 1, 1)
 
@@ -99,8 +102,15 @@ def test_training_rows_follow_the_windows(spark):
     values = [float(i + 1) for i in range(70)]
     packed = spark.createDataFrame([("a", values), ("short", values[:40])], "item string, target array<double>")
     rows = training_rows(packed, "item", context=28, horizon=28, stride=7).collect()
-    assert {r["item"] for r in rows} == {"a"}
+    short = [r for r in rows if r["item"] == "short"]
+    rows = [r for r in rows if r["item"] == "a"]
     assert len(rows) == 3 * 28
+    # 40 bins: one window of the first 20, the other 20 are its future.
+    assert len(short) == 20 and {r["known"] for r in short} == {20 / 28}
+    assert sorted(r["step"] for r in short) == list(range(1, 21))
+    step8 = next(r for r in short if r["step"] == 8)
+    assert step8["label"] == pytest.approx(28 / 10.5) and step8["week_1"] == pytest.approx(14 / 10.5)
+    assert {r["known"] for r in rows} == {1.0}
     first = next(r for r in rows if r["step"] == 1 and r["last_value"] * 14.5 == 28)
     assert first["label"] == pytest.approx(29 / 14.5)
     assert first["week_1"] == pytest.approx(22 / 14.5)
@@ -109,26 +119,31 @@ def test_training_rows_follow_the_windows(spark):
     assert set(FEATURES) < set(rows[0].asDict())
 
 
-def test_quantile_model_is_calibrated_deterministic_and_reports_short_contexts(spark):
+def test_quantile_model_is_calibrated_deterministic_and_covers_short_items(spark):
     data = {f"i{k}": [10 + 5 * (d % 7) + random.Random(k * 999 + d).random() * 10 for d in range(200)] for k in range(8)}
     data["short"] = series(40, 1)
     regular, _ = hist_of(spark, data, horizon=28)
     train = pack_series(regular.filter("pos < cut_pos"), "item", "ts", "units")
     model = fit_forecaster(train, "item", quantiles=(0.5, 0.9))
-    contexts = train.select(
-        "item", F.slice("target", -F.least(F.lit(28), F.size("target")), F.lit(28)).alias("target")
-    )
+    none = spark.createDataFrame([("empty", []), ("null", None), ("nulls", [None] * 30)], "item string, target array<double>")
+    contexts = train.select("item", "target").unionByName(none)
     records = score_forecaster(model, contexts, "item")
     errors = {r["item"]: r["error"] for r in records.collect()}
-    assert errors["short"] and all(v is None for k, v in errors.items() if k != "short")
+    assert {k for k, v in errors.items() if v is not None} == {"empty", "null", "nulls"}
+    assert len(records.filter("item = 'short'").first()["quantiles"]["0.5"]) == 28
+    assert forecast_coverage(contexts, records, "item").first() == (12, 9, 3)
     actuals = pack_series(regular.filter("pos >= cut_pos"), "item", "ts", "units")
     for q in (0.5, 0.9):
-        rows = align_forecast(actuals, records.filter("error IS NULL"), "item", 28, str(q))
+        rows = align_forecast(actuals, records.filter("error IS NULL AND item <> 'short'"), "item", 28, str(q))
         share = rows.agg(F.avg((F.col("target") <= F.col("predictions")).cast("double"))).first()[0]
         assert rows.count() == 8 * 28
         assert abs(share - q) < 0.1
     again = score_forecaster(fit_forecaster(train, "item", quantiles=(0.5, 0.9)), contexts, "item")
+    path = scratch_path(spark, "forecaster")
+    save_forecaster(model, path)
+    loaded = score_forecaster(load_forecaster(spark, path), contexts, "item")
     key = lambda r: r["item"]
+    assert sorted(records.collect(), key=key) == sorted(loaded.collect(), key=key)
     assert sorted(records.collect(), key=key) == sorted(again.collect(), key=key)
 
 

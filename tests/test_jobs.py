@@ -1,5 +1,7 @@
 """The composite jobs end to end on the small tables."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,16 +10,21 @@ from bindings import ORACLES, QUERIES
 from bindings.jobs import CREATED, _ads, _campaign, _retail, _tabular_config
 from bindings.models import FEATURES, TARGET, TRIAL_ROUNDS, lines
 from stockweave.config import AutoForecastConfig, SeriesConfig
-from stockweave.operators.quality import ConstraintViolation
+from stockweave.operators.quality import ConstraintViolation, quality_gate
+from stockweave.operators.registry import approve_model, read_registry
 from stockweave.operators.tabular import SEARCH_RANGES, draw_settings, search
 from stockweave.plans.auto_forecast_job import run_auto_forecast, target_dataset
 from stockweave.plans.series_jobs import (
+    SeriesDrift,
+    approved_series,
     check_series_drift,
+    publish_series,
     score_series_drift,
     train_series,
 )
-from stockweave.plans.tabular_jobs import check_tabular_drift, train_tabular
+from stockweave.plans.tabular_jobs import check_tabular_drift, train_tabular, training_rows
 from stockweave.session import scratch_path
+from stockweave.sources.reports import json_metric, read_report
 from stockweave.sources.series_json import read_series_json, write_series_json
 
 
@@ -90,6 +97,51 @@ def test_tabular_training_and_drift(spark, sf_dir):
     assert none.rows.isEmpty()
 
 
+@pytest.mark.parametrize("limit, passes", [(1000.0, True), (0.0, False)])
+def test_only_a_passed_gate_registers_and_saves(spark, trained, limit, passes):
+    root = scratch_path(spark, "publish")
+    entry = trained.entry.withColumn("uri", F.lit(f"{root}/model"))
+    job = replace(trained, entry=entry, gate=quality_gate(trained.metrics, "rmse", limit))
+    assert publish_series(job, f"{root}/registry", f"{root}/reports") is passes
+    assert read_registry(spark, f"{root}/registry").count() == int(passes)
+    assert json_metric(read_report(spark, f"{root}/reports/evaluation")).first()["value"] == trained.metrics.first()["rmse"]
+    with pytest.raises(ValueError):
+        approved_series(spark, f"{root}/registry", "bigint")
+    if passes:
+        approve_model(spark, f"{root}/registry", f"{root}/model", "2024-02-01")
+        model, mapping = approved_series(spark, f"{root}/registry", "bigint")
+        assert model.season == 7 and mapping.count() == trained.mapping.count()
+    else:
+        with pytest.raises(ValueError):
+            approve_model(spark, f"{root}/registry", f"{root}/model", "2024-02-01")
+
+
+def test_short_items_are_trained_and_scored(spark):
+    bins = {"a": 200, "b": 32, "c": 29, "d": 28}
+    rows = [(k, "2024-01-01", i, float(i % 7 + 1)) for k, n in bins.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "item string, d string, i int, units double")
+    df = df.select("item", F.timestamp_add("DAY", "i", F.to_timestamp("d")).alias("ts"), "units")
+    job = train_series(df, None, SeriesConfig(), "models/short", CREATED)
+    # 28 bins are below the least history; 32 and 29 bins leave 5 to validate.
+    assert job.coverage.first() == (3, 3, 0)
+    assert job.metrics.first()["item_count"] == 28 + 5 + 5
+
+
+def test_rejected_items_fail_the_drift_check(spark, trained):
+    lost = spark.createDataFrame([(3, 2, 1)], "eligible long, scored long, rejected long")
+    drift = SeriesDrift(None, lost, trained.metrics, None, None)
+    with pytest.raises(ValueError):
+        check_series_drift(drift, "unused")
+
+
+def test_rows_without_a_key_are_split(spark, sf_dir):
+    cfg = replace(_tabular_config(0), row_key=None)
+    rows, _ = training_rows(_campaign(spark, sf_dir).drop("row_id"), cfg)
+    assert rows.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    share = rows.filter("split = 'train'").count() / rows.count()
+    assert abs(share - 0.7) < 0.05
+
+
 def test_search_draws_in_range_and_returns_the_best(spark, sf_dir):
     for settings in draw_settings(20, 3):
         assert all(lo <= settings[k] <= hi for k, (lo, hi) in SEARCH_RANGES.items())
@@ -130,11 +182,6 @@ def test_target_dataset_has_the_declared_columns(spark, sf_dir):
 def test_queries_without_sql_return_rows(spark, sf_dir):
     weaker = set(QUERIES) - set(ORACLES)
     assert weaker == {
-        "boosted_regressor",
-        "job_series_drift",
-        "job_series_train",
-        "job_tabular_drift",
-        "job_tabular_train",
         "param_search",
         "quantile_forecast_metrics",
     }

@@ -18,6 +18,7 @@ from stockweave.operators.series import resample
 from stockweave.operators.split import (
     head_horizon,
     median_cutoff,
+    number_rows,
     midpoint_cutoff,
     oversample,
     random_split,
@@ -165,3 +166,19 @@ def test_alignment_cuts_dates_and_pairs_by_item(spark):
     assert {(r["target"], r["predictions"], r["cat"]) for r in of("b")} == {(2.0, 20.0, 1)}
     assert min(r["start"] for r in of("b")) == BASE + dt.timedelta(days=5)
     assert max(r["start"] for r in of("a")) == BASE + dt.timedelta(days=9)
+
+
+def test_numbered_rows_do_not_depend_on_partitions(spark, monkeypatch):
+    from stockweave.operators import split
+
+    monkeypatch.setattr(split, "COPIES_PER_TASK", 7)
+    rows = [("a", None)] * 50 + [("a", "")] * 3 + [(None, "a")] * 2 + [("null", "null")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    keys = lambda n: sorted(r["row_key"] for r in number_rows(df.repartition(n)).collect())
+    assert keys(1) == keys(5)
+    assert len(set(keys(3))) == len(rows)
+    back = number_rows(df).select("x", "y").exceptAll(df)
+    assert back.isEmpty() and number_rows(df).count() == len(rows)
+    assert number_rows(df.limit(0)).isEmpty()
+    exact = random_split_exact(number_rows(df), "row_key", 70, 20).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in exact} == {"train": 39, "validation": 11, "test": 6}
