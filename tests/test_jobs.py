@@ -13,7 +13,7 @@ from stockweave.config import AutoForecastConfig, SeriesConfig
 from stockweave.operators.quality import ConstraintViolation, quality_gate
 from stockweave.operators.registry import approve_model, read_registry
 from stockweave.operators.tabular import SEARCH_RANGES, draw_settings, search
-from stockweave.plans.auto_forecast_job import run_auto_forecast, target_dataset
+from stockweave.plans.auto_forecast_job import publish_auto_forecast, run_auto_forecast, target_dataset
 from stockweave.plans.series_jobs import (
     SeriesDrift,
     approved_series,
@@ -165,6 +165,11 @@ def test_auto_forecast_scores_only_known_bins(spark, sf_dir):
     job = run_auto_forecast(rows, cfg, "m", CREATED)
     assert job.best.first()["wape"] == min(r["wape"] for r in before)
     assert job.gate.first()["passed"] == (job.best.first()["rmse"] <= 30)
+    root = scratch_path(spark, "publish-auto")
+    passed = publish_auto_forecast(job, f"{root}/registry", f"{root}/reports")
+    assert read_registry(spark, f"{root}/registry").count() == int(passed)
+    reported = json_metric(read_report(spark, f"{root}/reports/evaluation")).first()["value"]
+    assert reported == job.best.first()["rmse"]
 
 
 def test_target_dataset_has_the_declared_columns(spark, sf_dir):
