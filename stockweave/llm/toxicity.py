@@ -22,6 +22,7 @@ SIZES = (3, 4, 5)
 TRAIN_ROWS = 6000  # bound of the labelled sample
 LEAST_SHARE = 1 / 500  # an n-gram of a smaller share of the sample (or of one text) carries no weight: its ratio is chance
 LEAST_RATIO = 0.25  # nor does one that is about as frequent in both classes
+ERRORS = 3.0  # nor one whose ratio lies within this many standard errors of none, which small samples are full of
 SCHEMA = T.StructType([T.StructField("score", T.DoubleType())])
 
 
@@ -49,7 +50,8 @@ def train(texts: list[str], labels: list[int], prior: float, rounds: int = 60) -
     for text, label in zip(texts, labels):
         seen[label, np.unique(gram_ids(text))] += 1
     ratio = np.log((1 + seen[1]) / (y.sum() + 2)) - np.log((1 + seen[0]) / ((1 - y).sum() + 2))
-    telling = (seen.sum(axis=0) >= max(2, LEAST_SHARE * len(y))) & (np.abs(ratio) >= LEAST_RATIO)
+    least = np.maximum(LEAST_RATIO, ERRORS * np.sqrt(1 / (1 + seen[0]) + 1 / (1 + seen[1])))
+    telling = (seen.sum(axis=0) >= max(2, LEAST_SHARE * len(y))) & (np.abs(ratio) >= least)
     ids = [i[telling[i]].astype(np.int32) for i in (np.unique(gram_ids(t)) for t in texts)]
     ends = np.cumsum([0] + [len(i) for i in ids])
     rows = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(ends))

@@ -256,9 +256,9 @@ def auc(y, s):
     return (rank[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
 
 
-@pytest.mark.parametrize("name, label, parts, held, least", [("op7_quality", "quality", 3, 1, 0.9), ("op9_toxicity", "toxic", 4, 2, 0.85)])
+@pytest.mark.parametrize("name, label, parts, held, least", [("op7_quality", "quality", 3, 1, 0.9), ("op9_toxicity", "toxic", 4, 2, 0.95)])
 def test_held_out_labels(spark, name, label, parts, held, least):
-    sf = "/root/testdata/sf0.1"  # smaller ones have too few labels; toxicity measured 0.88 here, 0.75 on sf0.01
+    sf = "/root/testdata/sf0.1"  # smaller ones have too few labels; toxicity measured 0.98 here, 0.89 on sf0.01
     rows = {r["doc_id"]: r for r in QUERIES[name](spark, sf).collect()}
     for i, r in rows.items():
         assert r["held_out"] == (zlib.crc32(str(i).encode()) % parts == held) and 0 <= r["score"] <= 1
