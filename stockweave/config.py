@@ -68,5 +68,7 @@ class AutoForecastConfig:
     horizon: int = 24
     context: int = 28
     season: int = 7
+    # Whether the quantile model over all items is a candidate beside the statistical ones.
+    global_model: bool = True
     metric: str = "wape"
     rmse_gate: float = 30.0

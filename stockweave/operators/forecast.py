@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.bins import bins_after
 from ..session import materialize, spread
 from .metrics import forecast_metrics
-from .pack import ordered_values
+from .pack import ordered_values, pack_series
 from .registry import top_model
 
 
@@ -388,6 +388,20 @@ def score_forecaster(
     return good.unionByName(empty)
 
 
+def with_global_path(
+    hist: DataFrame, regular: DataFrame, key: str, ts: str, value: str, context: int = 28, horizon: int = 28, season: int = 7
+) -> tuple[DataFrame, QuantileForecaster]:
+    """``hist`` with ``global_path``, the median path of one model fitted on all training bins of ``regular``.
+
+    Only bins before the cut are packed, so the held-out ones teach nothing; a context
+    without any value has a null path.
+    """
+    packed = materialize(pack_series(regular.filter(_is_train()), key, ts, value))
+    model = fit_forecaster(packed, key, context, horizon, season=season)
+    median = F.element_at("quantiles", str(model.quantiles[0])).alias("global_path")
+    return hist.join(score_forecaster(model, packed, key).select(key, median), key, "left"), model
+
+
 _SETTINGS = "quantiles array<double>, context int, horizon int, season int"
 
 

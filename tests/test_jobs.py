@@ -13,7 +13,8 @@ from stockweave.config import AutoForecastConfig, SeriesConfig
 from stockweave.operators.quality import ConstraintViolation, quality_gate
 from stockweave.operators.registry import approve_model, read_registry
 from stockweave.operators.tabular import SEARCH_RANGES, draw_settings, search
-from stockweave.plans.auto_forecast_job import publish_auto_forecast, run_auto_forecast, target_dataset
+from stockweave.operators.forecast import load_forecaster, score_forecaster
+from stockweave.plans.auto_forecast_job import GLOBAL, publish_auto_forecast, run_auto_forecast, target_dataset
 from stockweave.plans.series_jobs import (
     SeriesDrift,
     approved_series,
@@ -154,7 +155,7 @@ def test_search_draws_in_range_and_returns_the_best(spark, sf_dir):
 
 
 def test_auto_forecast_scores_only_known_bins(spark, sf_dir):
-    cfg = AutoForecastConfig(cutoff="2000-12-31")
+    cfg = AutoForecastConfig(cutoff="2000-12-31", global_model=False)
     rows = _retail(spark, sf_dir).select("item", "ts", "units")
     late = F.col("ts") >= F.lit("2000-12-31").cast("timestamp_ntz")
     changed = rows.withColumn("units", F.when(late, F.col("units") * 100).otherwise(F.col("units")))
@@ -162,16 +163,53 @@ def test_auto_forecast_scores_only_known_bins(spark, sf_dir):
     before = sorted(run_auto_forecast(rows, cfg, "m", CREATED).scores.collect(), key=key)
     after = sorted(run_auto_forecast(changed, cfg, "m", CREATED).scores.collect(), key=key)
     assert before == after
-    job = run_auto_forecast(rows, cfg, "m", CREATED)
+    root = scratch_path(spark, "publish-auto")
+    job = run_auto_forecast(rows, cfg, f"{root}/model", CREATED)
     assert job.best.first()["wape"] == min(r["wape"] for r in before)
     assert job.gate.first()["passed"] == (job.best.first()["rmse"] <= 30)
-    root = scratch_path(spark, "publish-auto")
     passed = publish_auto_forecast(job, f"{root}/registry", f"{root}/reports")
     assert read_registry(spark, f"{root}/registry").count() == int(passed)
     reported = json_metric(read_report(spark, f"{root}/reports/evaluation")).first()["value"]
     assert reported == job.best.first()["rmse"]
 
 
+def test_model_over_all_items_competes_and_is_saved(spark):
+    # Value 10 with a 50 on every fifth day: a season of 7 misses it, the median model answers 10.
+    day = "CAST(timestamp'2023-01-01' + make_dt_interval(d) AS timestamp) AS ts"
+    value = "IF((d + i) % 5 = 0, 50.0D, 10.0D) + i AS units"
+    rows = spark.range(6).withColumnRenamed("id", "i").selectExpr("i", "explode(sequence(0, 399)) AS d")
+    rows = rows.selectExpr("concat('item', i) AS item", day, value)
+    root = scratch_path(spark, "publish-global")
+    cfg = AutoForecastConfig(cutoff="2024-02-05", rmse_gate=100.0)
+    job = run_auto_forecast(rows, cfg, f"{root}/best", CREATED)
+    scores = {r["model"]: r for r in job.scores.collect()}
+    assert set(scores) == {"seasonal_naive", "smoothing", "weighted_history", GLOBAL}
+    assert {r["item_count"] for r in scores.values()} == {6 * cfg.horizon}
+    # The score is that of the paths beside the held-out bins.
+    pairs = [
+        (y, p)
+        for r in job.history.collect()
+        for y, p in zip(r["actual"], r["global_path"])
+    ]
+    wape = sum(abs(y - p) for y, p in pairs) / sum(abs(y) for y, _ in pairs)
+    assert scores[GLOBAL]["wape"] == pytest.approx(wape)
+    # Held-out bins teach nothing: other values in them leave the paths as they are.
+    paths = {r["item"]: r["global_path"] for r in job.history.collect()}
+    late = F.col("ts") >= F.lit("2024-01-12").cast("timestamp")
+    other = rows.withColumn("units", F.when(late, F.col("units") * 100).otherwise(F.col("units")))
+    for r in run_auto_forecast(other, cfg, "m", CREATED).history.collect():
+        assert max(r["actual"]) > 1000 and r["global_path"] == pytest.approx(paths[r["item"]])
+    best = job.best.first()["model"]
+    assert scores[best]["wape"] == min(r["wape"] for r in scores.values())
+    assert publish_auto_forecast(job, f"{root}/registry", f"{root}/reports")
+    assert spark.read.parquet(f"{root}/best/best").first()["model"] == best
+    assert best == GLOBAL
+    kept = load_forecaster(spark, f"{root}/best/model")
+    again = score_forecaster(kept, job.history.selectExpr("item", "context AS target"), "item")
+    for r in again.collect():
+        assert r["quantiles"]["0.5"] == pytest.approx(paths[r["item"]])
+
+
 def test_target_dataset_has_the_declared_columns(spark, sf_dir):
     cfg = AutoForecastConfig(cutoff="2000-12-31")
     out = target_dataset(_retail(spark, sf_dir).select("item", "ts", "units"), cfg)
@@ -187,6 +225,7 @@ def test_target_dataset_has_the_declared_columns(spark, sf_dir):
 def test_queries_without_sql_return_rows(spark, sf_dir):
     weaker = set(QUERIES) - set(ORACLES)
     assert weaker == {
+        "job_auto_forecast_global",
         "param_search",
         "quantile_forecast_metrics",
     }
