@@ -5,13 +5,14 @@ bits, stored in a small file beside the vectors. For a query, a cell gives a low
 its part of the score, so a scan of the cells alone gives bounds of all scores. Exact vectors are then
 read in the order of their upper bounds until no unread bound can reach the k-th exact score.
 
-Equal vectors are one entry with their k + 1 smallest ids (no more can be in an answer), and equal queries
-are searched once; so a vector held by a third of all rows is one entry. Query blocks meet cell blocks
+Equal vectors are one entry with their k + 1 smallest different ids (no more can be in an answer) and the number of
+rows of each, and equal queries are searched once; so a vector held by a third of all rows is one entry. Query blocks meet cell blocks
 on a grid: each side is copied along one direction, no task holds more than a block of either.
 
 Cases: null vectors, vectors with null or non-finite components and null ids take no part; a vector of
-another length than the query's is no candidate of it; repeated ids count once per row; fewer than k
-candidates give fewer rows; ties go to the smaller id; an empty table gives no rows; components must
+another length than the query's is no candidate of it; repeated ids count once per row on both sides, as pairs of
+rows do in a join (an id twice among the queries and twice among the candidates gives four equal answers), whether
+their vectors are equal or not, and no row of the query's own id is an answer; fewer than k candidates give fewer rows; ties go to the smaller id; an empty table gives no rows; components must
 stay below 2**31 / 256 in size; other columns are ignored, whatever their names.
 """
 
@@ -39,18 +40,24 @@ def integers(rows: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def distinct_vectors(ints: DataFrame, keep: int) -> DataFrame:
-    """_v, _ids: each distinct vector with its ``keep`` smallest ids, ascending.
+    """_v, _ids: each distinct vector with its ``keep`` smallest different ids, ascending, each with its number of rows.
 
-    The rank limit is applied before the shuffle as well, so copies do not pile up.
+    Rows are counted per id before the cut. The rank limit is applied before the shuffle as well, so copies do not pile up.
     """
     order = Window.partitionBy("_v").orderBy("_id")
-    first = ints.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= keep)
-    return first.groupBy("_v").agg(F.array_sort(F.collect_list("_id")).alias("_ids"))
+    counted = ints.groupBy("_v", "_id").agg(F.count(F.lit(1)).alias("_n"))
+    first = counted.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= keep)
+    return first.groupBy("_v").agg(F.array_sort(F.collect_list(F.struct("_id", "_n"))).alias("_ids"))
 
 
 def cells(entries: DataFrame) -> DataFrame:
-    """The approximation file: _u (entry) and its cells."""
-    return entries.select("_u", F.transform("_v", lambda c: F.shiftright(c, SHIFT)).alias("_c"))
+    """The approximation file: _u (entry), its cells and the id of an entry that only one id holds."""
+    return entries.select("_u", "_only", F.transform("_v", lambda c: F.shiftright(c, SHIFT)).alias("_c"))
+
+
+def flagged(rows: DataFrame, name: str) -> DataFrame:
+    """Nullable ids for pandas, which would make them floating: 0 and a flag instead of null."""
+    return rows.withColumn(f"{name}_set", F.col(name).isNotNull()).withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
 
 
 def bounded_scores(queries: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,12 +70,16 @@ def bounded_scores(queries: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np
 
 
 def scan(keep: int):
-    """For one grid field: entries whose upper bound reaches the keep-th lower bound of their query."""
+    """For one grid field: entries whose upper bound reaches the keep-th lower bound of their query.
+
+    Entries that only the query's own id holds are left out before.
+    """
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
             cell_ids, sizes = right["_u"].to_numpy(), right["_c"].map(len).to_numpy()
+            only, single = right["_only"].to_numpy(), right["_only_set"].to_numpy()
             for size, group in left.groupby(left["_v"].map(len)):
                 same = sizes == size
                 if not same.any():
@@ -76,10 +87,12 @@ def scan(keep: int):
                 low = np.stack(right["_c"].to_numpy()[same]).astype(np.int64).reshape(same.sum(), size)
                 vectors = np.stack(group["_v"].to_numpy()).astype(np.float64).reshape(len(group), size)
                 lower, upper = bounded_scores(vectors, low)
+                own = (group["_x"].to_numpy()[:, None] == only[same]) & group["_x_set"].to_numpy()[:, None] & single[same]
+                lower[own] = -np.inf
                 n = min(keep, lower.shape[1])
                 floor = np.partition(lower, lower.shape[1] - n, axis=1)[:, lower.shape[1] - n]
-                q, c = np.nonzero(upper >= floor[:, None])
-                out.append(pd.DataFrame({"_q": group["_u"].to_numpy()[q], "_u": cell_ids[same][c], "_low": lower[q, c], "_up": upper[q, c]}))
+                q, c = np.nonzero((upper >= floor[:, None]) & ~own)
+                out.append(pd.DataFrame({"_q": group["_q"].to_numpy()[q], "_u": cell_ids[same][c], "_low": lower[q, c], "_up": upper[q, c]}))
         empty = pd.DataFrame({"_q": pd.Series(dtype="int64"), "_u": pd.Series(dtype="int64"), "_low": pd.Series(dtype=float), "_up": pd.Series(dtype=float)})
         return pd.concat(out) if out else empty
 
@@ -93,41 +106,47 @@ def dot(a: str, b: str):
 def top_k(rows: DataFrame, query_ids, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score for every row for which ``query_ids(id column)`` holds."""
     ints = integers(rows, key, vector)
-    entries = materialize(distinct_vectors(ints, k + 1).select(F.get("_ids", F.lit(0)).alias("_u"), "_v", "_ids"))
-    wanted = ints.filter(query_ids(F.col("_id")))
-    asked = materialize(wanted.join(entries.select(F.col("_u").alias("_e"), F.col("_v").alias("_w")), F.col("_v") == F.col("_w")).select("_id", F.col("_e").alias("_u")))
-    queries = materialize(entries.join(asked.select("_u").distinct(), "_u", "left_semi").select("_u", "_v"))
+    named = distinct_vectors(ints, k + 1).withColumn("_only", F.when(F.size("_ids") == 1, F.get("_ids", F.lit(0))["_id"]))
+    entries = materialize(named.select(F.monotonically_increasing_id().alias("_u"), "_v", "_ids", "_only"))
+    # _x: the query's id if some entry is held by it alone, which then is no candidate. Other queries share their entry's search.
+    alone = entries.filter(F.col("_only").isNotNull()).select(F.col("_only").alias("_x")).distinct()
+    wanted = ints.filter(query_ids(F.col("_id"))).groupBy("_id", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    met = wanted.join(entries.select("_u", F.col("_v").alias("_w")), F.col("_v") == F.col("_w")).select("_id", "_n", "_u")
+    met = materialize(met.join(alone, F.col("_id") == F.col("_x"), "left"))
+    queries = met.select("_u", "_x").distinct().join(entries.select("_u", "_v"), "_u")
+    queries = materialize(queries.select(F.monotonically_increasing_id().alias("_q"), "_u", "_x", "_v"))
+    numbers = queries.select("_q", F.col("_u").alias("_e"), F.col("_x").alias("_y"))
+    asked = met.join(numbers, (F.col("_u") == F.col("_e")) & F.col("_x").eqNullSafe(F.col("_y"))).select("_id", "_n", "_q")
     n, m = entries.count(), queries.count()
     cell_blocks, query_blocks = max(1, -(-n // CELL_BLOCK)), max(1, -(-m // QUERY_BLOCK))
     block = lambda c, count, seed: F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(count)).cast("int")
-    left = queries.withColumn("_j", block("_u", query_blocks, 1)).withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(cell_blocks - 1))))
-    right = cells(entries).withColumn("_i", block("_u", cell_blocks, 2)).withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    left = flagged(queries.drop("_u"), "_x").withColumn("_j", block("_q", query_blocks, 1)).withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(cell_blocks - 1))))
+    right = flagged(cells(entries), "_only").withColumn("_i", block("_u", cell_blocks, 2)).withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     bounds = materialize(
-        left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(scan(k + 1), "_q long, _u long, _low double, _up double")
+        left.groupBy("_i", "_j").cogroup(right.groupBy("_i", "_j")).applyInPandas(scan(k), "_q long, _u long, _low double, _up double")
     )
-    # Only bounds that reach the (k+1)-th lower bound over all blocks matter: k answers and the query itself.
+    # Only bounds that reach the k-th lower bound over all blocks matter: every entry holds a row of another id than the query's.
     by_low = Window.partitionBy("_q").orderBy(F.desc("_low"), "_u")
-    floor = bounds.withColumn("_r", F.row_number().over(by_low)).filter(F.col("_r") <= k + 1).groupBy("_q").agg(F.min("_low").alias("_floor"))
+    floor = bounds.withColumn("_r", F.row_number().over(by_low)).filter(F.col("_r") <= k).groupBy("_q").agg(F.min("_low").alias("_floor"))
     near = bounds.join(floor, "_q").filter(F.col("_up") >= F.col("_floor"))
     ordered = materialize(near.withColumn("_r", F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("_up"), "_u"))))
 
     def exact(pairs: DataFrame) -> DataFrame:
         seen = pairs.join(entries.select("_u", "_v", "_ids"), "_u")
-        return seen.join(queries.select(F.col("_u").alias("_q"), F.col("_v").alias("_w")), "_q").select("_q", "_u", "_ids", dot("_v", "_w").alias("_score"))
+        return seen.join(queries.select("_q", F.col("_v").alias("_w")), "_q").select("_q", "_u", "_ids", dot("_v", "_w").alias("_score"))
 
-    first = materialize(exact(ordered.filter(F.col("_r") <= k + 1)))
-    # The (k+1)-th exact score so far: an unread entry whose upper bound is below it cannot answer.
+    first = materialize(exact(ordered.filter(F.col("_r") <= k)))
+    # The k-th exact score so far: an unread entry whose upper bound is below it cannot answer.
     reached = first.groupBy("_q").agg(F.min("_score").alias("_least"))
-    rest = exact(ordered.filter(F.col("_r") > k + 1).join(reached, "_q").filter(F.col("_up") >= F.col("_least")))
+    rest = exact(ordered.filter(F.col("_r") > k).join(reached, "_q").filter(F.col("_up") >= F.col("_least")))
     found = first.unionByName(rest).select("_q", "_score", F.explode("_ids").alias("_hit"))
+    found = found.groupBy("_q", "_score", F.col("_hit._id").alias("_hit")).agg(F.sum("_hit._n").alias("_c"))
+    # At each score stands at most one id to be left out, and another one: 2 k of them hold k others.
     best = Window.partitionBy("_q").orderBy(F.desc("_score"), "_hit")
-    few = found.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k + 1)
-    answers = asked.join(few, asked["_u"] == few["_q"]).filter(F.col("_hit") != F.col("_id"))
-    final = Window.partitionBy("_id").orderBy("_r")
-    return (
-        answers.groupBy("_id", "_hit", "_score")
-        .agg(F.min("_r").alias("_r"))
-        .withColumn("rank", F.row_number().over(final))
-        .filter(F.col("rank") <= k)
-        .select(F.col("_id").alias("query_id"), "rank", F.col("_hit").alias("vec_id"), F.col("_score").alias("score"))
-    )
+    few = found.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= 2 * k).drop("_r")
+    answers = asked.join(few, "_q").filter(F.col("_hit") != F.col("_id"))
+    counted = answers.groupBy("_id", "_hit", "_score").agg(F.sum(F.col("_n") * F.col("_c")).alias("_rows"))
+    final = Window.partitionBy("_id").orderBy(F.desc("_score"), "_hit").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counted.withColumn("_before", F.coalesce(F.sum("_rows").over(final), F.lit(0))).filter(F.col("_before") < k)
+    ranks = F.sequence((F.col("_before") + 1).cast("int"), F.least(F.col("_before") + F.col("_rows"), F.lit(k)).cast("int"))
+    return ranked.select(F.col("_id").alias("query_id"), F.explode(ranks).alias("rank"), F.col("_hit").alias("vec_id"), F.col("_score").alias("score"))

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -245,6 +246,45 @@ def test_vector_edges_equal_brute_force(spark):
     assert vector_files.top_k(frame.limit(0), lambda c: c % 50 == 0).count() == 0
 
 
+def brute_top(vectors):
+    """Every pair of rows of different ids, ranked per query id."""
+    good = [(i, np.floor(256 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in vectors]
+    out = []
+    for x in {i for i, _ in good if i % 50 == 0}:
+        hits = sorted((-int(q @ v), j) for i, q in good if i == x for j, v in good if j != x and len(v) == len(q))[:5]
+        out += [(x, r, j, -s) for r, (s, j) in enumerate(hits, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("case", ["doubled", "hot id", "ids of several vectors", "huge ids"])
+def test_repeated_ids_count_once_per_row(spark, case):
+    rng = np.random.default_rng(2)
+    vectors = [(i, [float(x) for x in rng.normal(0, 0.3, 8)]) for i in range(120)]
+    if case == "doubled":
+        vectors += vectors + [(1000 + i, vectors[0][1]) for i in range(60)] * 2
+    elif case == "hot id":
+        vectors += [(7, vectors[50][1])] * 6 + [(i, vectors[50][1]) for i in (8, 9, 10)] + [(100, vectors[50][1])] * 7
+    elif case == "ids of several vectors":
+        large = [[float(x) for x in rng.normal(0.5, 0.3, 8)] for _ in range(20)]
+        vectors += [(50, v) for v in large] + [(0, v) for v in large[:12]] + [(3, v) for v in large[:6]] + [(100, large[0])]
+    else:
+        vectors = [(2**60 + i, v) for i, v in vectors] + [(2**60 + i, vectors[1][1]) for i in range(40)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in vector_files.top_k(frame, lambda c: c % 50 == 0).collect())
+    assert got == brute_top(vectors)
+
+
+def test_doubled_vectors_equal_sql(spark, sf_dir):
+    import duckdb
+
+    rows = common.read_table(spark, sf_dir, "embeddings").limit(400).toPandas()
+    embeddings = pd.concat([rows, rows])
+    got = vector_files.top_k(spark.createDataFrame(embeddings[["vec_id", "embedding"]].assign(embedding=embeddings["embedding"].map(list)), "vec_id long, embedding array<float>"), lambda c: c % 50 == 0)
+    view = duckdb.connect()
+    view.register("embeddings", embeddings)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(view.sql(ORACLES["op6_exact_top_k"]).fetchall())
+
+
 # ------------------------------------------------------------ 7 and 9 classifiers
 
 
