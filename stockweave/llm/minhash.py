@@ -309,16 +309,20 @@ def unresolved_pairs(buckets: Buckets, crowded: DataFrame, roots: DataFrame) ->
     hub_root = rooted.filter("_node = _hub").select("_k", F.col("_root").alias("_hub_root"))
     rest = rooted.filter("_node <> _hub")
     seekers = materialize(rest.join(hub_root, "_k").filter("_root <> _hub_root").drop("_hub_root", "_hub"))
-    others = rest.drop("_hub").join(seekers.select("_k").distinct(), "_k", "left_semi")
     extra = buckets.classes.select("_node", "n", "a", "b", "sketch")
-    blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    own = lambda seed: F.pmod(F.xxhash64("_node", F.lit(seed)), blocks).cast("int")
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    # Many small fields share a group, so the number of groups follows the number of rows.
-    group = F.pmod(F.xxhash64("_k", "_i", "_j"), F.lit(max(1, seekers.count() // GROUP_ROWS)))
+    # A bucket's field is cut into blocks of its seekers (_i) and of its others (_j): each side is copied once per
+    # block of the other side, so the others only as often as their bucket's seekers fill blocks.
+    sizes = materialize(seekers.groupBy("_k").agg(F.count(F.lit(1)).alias("_seekers"), (F.max("_size") - 1).alias("_others")))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    own = lambda count, seed: F.pmod(F.xxhash64("_node", F.lit(seed)), blocks(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), blocks(count) - 1))
+    # Many small fields share a group, so the number of groups follows the copied rows of both sides.
+    copied = sizes.agg(F.sum(F.col("_seekers") * blocks("_others")).alias("l"), F.sum(F.col("_others") * blocks("_seekers")).alias("r")).first()
+    groups = max(1, (copied["l"] or 0) // GROUP_ROWS, (copied["r"] or 0) // (4 * GROUP_ROWS))
+    group = F.pmod(F.xxhash64("_k", "_i", "_j"), F.lit(groups))
     columns = ["_f", "_k", "_i", "_j", "_t", "_node", "_root", "n", "a", "b", "sketch"]
-    left = seekers.join(extra, "_node").withColumn("_i", own(1)).withColumn("_j", every).withColumn("_f", group).select(*columns)
-    right = others.join(extra, "_node").withColumn("_j", own(2)).withColumn("_i", every).withColumn("_f", group)
+    left = seekers.join(sizes, "_k").join(extra, "_node").withColumn("_i", own("_seekers", 1)).withColumn("_j", every("_others")).withColumn("_f", group).select(*columns)
+    right = rest.drop("_hub").join(sizes, "_k").join(extra, "_node").withColumn("_j", own("_others", 2)).withColumn("_i", every("_seekers")).withColumn("_f", group)
     right = right.select(*[F.col(c).alias(f"{c}2") for c in columns])  # both sides come from the same tables
     return (
         left.groupBy("_f")

@@ -156,6 +156,37 @@ def test_near_duplicate_edges(spark):
     assert minhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def hot_bucket(spark, n, seekers):
+    """One bucket of n classes in one table, all but the last ``seekers`` linked to the hub."""
+    from types import SimpleNamespace
+
+    key = [F.array(*[F.lit(k).cast("long")] * minhash.M) for k in (1, 2)]
+    classes = spark.range(n).select(F.col("id").alias("_node"), F.lit(9).cast("long").alias("n"), key[0].alias("a"), key[1].alias("b"), F.lit(bytes([1] * minhash.BINS)).alias("sketch"))
+    crowded = spark.range(n).select(F.lit(5).cast("long").alias("_k"), F.lit(0).alias("_t"), F.col("id").alias("_node"), F.lit(0).cast("long").alias("_hub"), F.lit(n).cast("long").alias("_size"))
+    roots = spark.range(n - seekers).select(F.col("id").alias("_node"), F.lit(0).cast("long").alias("_root"))
+    return SimpleNamespace(classes=classes, percent=85), crowded, roots
+
+
+def test_hot_bucket_is_cut_into_bounded_groups(spark, monkeypatch):
+    def sizes(percent):
+        return lambda seekers, others: pd.DataFrame({"_u": [len(seekers)], "_v": [len(others)]})
+
+    monkeypatch.setattr(minhash, "BLOCK", 64)
+    monkeypatch.setattr(minhash, "GROUP_ROWS", 16)
+    monkeypatch.setattr(minhash, "across", sizes)
+    found = minhash.unresolved_pairs(*hot_bucket(spark, 2000, 20)).collect()
+    assert max(r["_v"] for r in found) <= 8 * 64 and max(r["_u"] for r in found) <= 8 * 20
+    assert sum(r["_v"] for r in found) == 1999  # 20 seekers fill one block, so the others are copied once
+
+
+@pytest.mark.parametrize("seekers", [7, 90])
+def test_every_pair_of_a_cut_bucket_is_met(spark, monkeypatch, seekers):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "GROUP_ROWS", 4)
+    got = {tuple(r) for r in minhash.unresolved_pairs(*hot_bucket(spark, 150, seekers)).collect()}
+    assert got == {(i, j) for j in range(150 - seekers, 150) for i in range(1, j)}
+
+
 def test_chains_become_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "_u long, _v long")
     roots = minhash.components(edges).collect()
