@@ -1,17 +1,20 @@
 """Benchmark decontamination by the q-gram lemma over diagonal bands.
 
-Benchmark items are normalised (lower case, white space runs to one blank) and cut into segments of
-``SEGMENT`` to 2 * SEGMENT - 1 characters. A segment of length m with at most e = floor(RATE * m) edits
-shares at least m - Q + 1 - Q * e of its q-grams with the text region it matches, all of them on
+Benchmark items are normalised (lower case, white space runs to one blank) and cut into adjacent segments of
+``SEGMENT`` to 2 * SEGMENT - 1 characters, which cover them, and into overlapping windows of SEGMENT characters, a new
+one every ``STEP``, the last one flush with the item's end. So every run of SEGMENT + STEP - 1 characters of an item
+holds a whole window. A segment of length m with at most e = floor(RATE * m) edits
+shares at least m - q + 1 - q * e of its q-grams with the text region it matches, all of them on
 diagonals that differ by at most e from each other's start. The hits of a text are therefore counted in
 overlapping bands of 2 * (e + 1) diagonals, one starting every e + 1; only bands that reach the bound
-are verified by a banded alignment of the segment with the region.
+are verified by a banded alignment of the segment with the region. q is ``Q``; short segments for which
+that bound is not positive have an index of their own with a smaller q.
 
 The benchmark's q-gram index is broadcast block by block, each of at most ``BLOCK_CHARS`` characters;
 a larger benchmark takes more passes, and no item is left out.
 
 Cases: null or empty texts match nothing; items shorter than Q match nothing, items shorter than
-SEGMENT are one segment; null or repeated items and repeated documents are fine; an empty benchmark or
+SEGMENT + STEP are one segment; null or repeated items and repeated documents are fine; an empty benchmark or
 an empty table gives no match; other columns are ignored, whatever their names.
 """
 
@@ -27,8 +30,9 @@ from .common import text_udf
 
 Q = 8
 SEGMENT = 64
+STEP = SEGMENT // 2
 RATE = 0.1
-BLOCK_CHARS = 4_000_000  # bound of what one pass broadcasts
+BLOCK_CHARS = 2_000_000  # bound of what one pass broadcasts, each character in up to three segments
 BITS = 22
 MATCH = T.StructType(
     [
@@ -46,15 +50,18 @@ def normal(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def gram_codes(points: np.ndarray) -> np.ndarray:
+def gram_codes(points: np.ndarray, q: int = Q) -> np.ndarray:
     """64-bit code of every q-gram."""
-    if len(points) < Q:
+    if len(points) < q:
         return np.zeros(0, np.uint64)
-    # Codes of 2, 4 and 8 characters, each from two of the half length.
-    codes = points.astype(np.uint64)
-    for width, factor in ((1, 0x100000001B3), (2, 0xC2B2AE3D27D4EB4F), (4, 0x9E3779B97F4A7C15)):
-        codes = codes[:-width] * np.uint64(factor) + codes[width:]
-        codes ^= codes >> np.uint64(31)
+    # Codes of doubled width, each from two of the half width; a last one of overlapping halves gives any q.
+    codes, width = points.astype(np.uint64), 1
+    for factor in (0x100000001B3, 0xC2B2AE3D27D4EB4F, 0x9E3779B97F4A7C15):
+        step = min(width, q - width)
+        if step:
+            codes = codes[:-step] * np.uint64(factor) + codes[step:]
+            codes ^= codes >> np.uint64(31)
+            width += step
     return codes * np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -62,8 +69,8 @@ def points_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
-def segments(items: list[tuple[int, str]], length: int = SEGMENT) -> list[tuple[int, int, str]]:
-    """(item, start, characters): consecutive pieces of near equal length covering each item."""
+def segments(items: list[tuple[int, str]], length: int = SEGMENT, step: int = STEP) -> list[tuple[int, int, str]]:
+    """(item, start, characters): pieces of near equal length covering each item, then its overlapping windows."""
     out = []
     for item, text in items:
         n = len(text)
@@ -71,36 +78,45 @@ def segments(items: list[tuple[int, str]], length: int = SEGMENT) -> list[tuple[
             continue
         pieces = max(1, n // length)
         cuts = [n * k // pieces for k in range(pieces + 1)]
-        out += [(item, a, text[a:b]) for a, b in zip(cuts, cuts[1:])]
+        spans = list(zip(cuts, cuts[1:]))
+        if n >= length + step:
+            spans += [(a, a + length) for a in (*range(0, n - length, step), n - length)]
+        out += [(item, a, text[a:b]) for a, b in dict.fromkeys(spans)]
     return out
 
 
-def build_index(items: list[tuple[int, str]], rate: float = RATE) -> dict:
-    """q-gram codes → postings (segment, position), sorted by code, and a bitmap of the codes."""
-    cut = segments(items)
-    codes = [gram_codes(points_of(s)) for _, _, s in cut]
+def postings(q: int, numbers: np.ndarray, points: list[np.ndarray]) -> dict:
+    """q-gram codes → postings (segment, position) of the numbered segments, sorted by code, and a bitmap of the codes."""
+    codes = [gram_codes(points[s], q) for s in numbers]
     flat = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
-    segment = np.repeat(np.arange(len(cut)), [len(c) for c in codes]) if codes else np.zeros(0, np.int64)
+    segment = np.repeat(numbers, [len(c) for c in codes]) if codes else np.zeros(0, np.int64)
     position = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.zeros(0, np.int64)
     order = np.argsort(flat, kind="stable")
     unique, first, count = np.unique(flat[order], return_index=True, return_counts=True)
     bitmap = np.zeros(1 << BITS, bool)
     bitmap[unique >> np.uint64(64 - BITS)] = True
-    size = np.array([len(s) for _, _, s in cut], np.int64)
+    return {"q": q, "unique": unique, "first": first, "count": count, "segment": segment[order], "position": position[order], "bitmap": bitmap}
+
+
+def build_index(items: list[tuple[int, str]], rate: float = RATE) -> dict:
+    """The segments of the items, and their postings by Q and, where its bound is not positive, by a smaller q."""
+    cut = segments(items)
+    points = [points_of(s) for _, _, s in cut]
+    size = np.array([len(p) for p in points], np.int64)
     edits = (rate * size).astype(np.int64)
+    # The largest q whose bound is positive; short segments share the smallest of theirs.
+    most = np.minimum(Q, size // (edits + 1))
+    short = most < Q
+    least = max(1, int(most[short].min())) if short.any() else Q
+    q = np.where(short, least, Q)
     return {
         "item": np.array([i for i, _, _ in cut], np.int64),
         "start": np.array([a for _, a, _ in cut], np.int64),
-        "text": [points_of(s) for _, _, s in cut],
+        "text": points,
         "size": size,
         "edits": edits,
-        "need": np.maximum(1, size - Q + 1 - Q * edits),
-        "unique": unique,
-        "first": first,
-        "count": count,
-        "segment": segment[order],
-        "position": position[order],
-        "bitmap": bitmap,
+        "need": np.maximum(1, size - q + 1 - q * edits),
+        "parts": [postings(g, np.flatnonzero(q == g), points) for g in sorted({Q, least}, reverse=True)],
     }
 
 
@@ -109,7 +125,11 @@ def banded(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int
 
     The alignment may start and end anywhere in the region, whose length limits the band.
     """
-    n = len(region)
+    n, m = len(region), len(pattern)
+    if n >= m:  # verbatim passages need no alignment
+        whole = np.flatnonzero((np.lib.stride_tricks.sliding_window_view(region, m) == pattern).all(axis=1))
+        if len(whole):
+            return 0, int(whole[0]) + m
     row = np.zeros(n + 1, np.int64)
     at = np.arange(n + 1)
     for i, c in enumerate(pattern, 1):
@@ -126,19 +146,23 @@ def banded(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int
 def find(index: dict, text: str) -> list[tuple[int, int, int, int, int]]:
     """Matches of one text: item, segment start, region start and end in the normalised text, edits."""
     points = points_of(normal(text))
-    codes = gram_codes(points)
-    at = np.flatnonzero(index["bitmap"][codes >> np.uint64(64 - BITS)])
-    if len(at) == 0 or len(index["unique"]) == 0:
+    return sorted({m for part in index["parts"] for m in found_by(index, part, points)})
+
+
+def found_by(index: dict, part: dict, points: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    codes = gram_codes(points, part["q"])
+    at = np.flatnonzero(part["bitmap"][codes >> np.uint64(64 - BITS)])
+    if len(at) == 0 or len(part["unique"]) == 0:
         return []
-    place = np.minimum(np.searchsorted(index["unique"], codes[at]), len(index["unique"]) - 1)
-    real = index["unique"][place] == codes[at]
+    place = np.minimum(np.searchsorted(part["unique"], codes[at]), len(part["unique"]) - 1)
+    real = part["unique"][place] == codes[at]
     at, place = at[real], place[real]
     if len(at) == 0:
         return []
-    n = index["count"][place]
-    post = np.repeat(index["first"][place] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+    n = part["count"][place]
+    post = np.repeat(part["first"][place] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
     at = np.repeat(at, n)
-    segment, position = index["segment"][post], index["position"][post]
+    segment, position = part["segment"][post], part["position"][post]
     enough = np.bincount(segment, minlength=len(index["need"])) >= index["need"]
     if not enough.any():
         return []
@@ -165,7 +189,7 @@ def find(index: dict, text: str) -> list[tuple[int, int, int, int, int]]:
             old = out.get((s, (begin + stop) // m))
             if old is None or edits < old[4]:
                 out[s, (begin + stop) // m] = (int(index["item"][s]), int(index["start"][s]), max(begin, begin + stop - m), begin + stop, edits)
-    return sorted(set(out.values()))
+    return list(out.values())
 
 
 def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", chars: int = BLOCK_CHARS):

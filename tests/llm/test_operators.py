@@ -407,6 +407,32 @@ def test_matches_equal_brute_force(texts):
         assert bool(decontaminate.find(index, text)) == want
 
 
+def test_every_long_run_of_an_item_is_found():
+    rng = np.random.default_rng(9)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    reach = decontaminate.SEGMENT + decontaminate.STEP - 1
+    for n in (reach, 100, 127, 128, 250):
+        item = "".join(rng.choice(letters, n))
+        index = decontaminate.build_index([(7, item)])
+        for at in range(n - reach + 1):
+            assert decontaminate.find(index, "0123456789 " * 3 + item[at : at + reach] + " 0123456789" * 3), (n, at)
+
+
+def test_short_items_equal_brute_force():
+    rng = np.random.default_rng(10)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    for n in (8, 10, 12, 15, 16, 20, 23, 30, 31, 40, 63):
+        item = "".join(rng.choice(letters, n))
+        index = decontaminate.build_index([(7, item), (8, "0" * 70)])
+        for shift in range(n):
+            for edits in range(1, 5):  # evenly spread edits leave the fewest common q-grams
+                own = list(item)
+                for k in range(edits):
+                    own[(shift + k * n // edits) % n] = "+"
+                text = "".join(own)
+                assert (7 in {m[0] for m in decontaminate.find(index, text)}) == (edits_within(item, text) <= n // 10), (n, text)
+
+
 def test_contaminated_documents(spark, sf_dir, texts):
     items = [decontaminate.normal(r["text"]) for r in common.read_table(spark, sf_dir, "benchmark").collect()]
     whole = {i for i, t in texts.items() if any(x in decontaminate.normal(t or "") for x in items)}
