@@ -10,7 +10,8 @@ taken as main text or as furniture by the meaning of their own tags, and set int
 (other wrappers, class names, orders, comments, forms, notices), whose labels are then known.
 
 Cases: null or empty pages and pages of scripts or furniture only give the empty text; unclosed tags end
-with the next block or page; character references are decoded, also without semicolon, as HTML defines;
+with the next block or page, also those of elements whose contents are not shown (only script and style run to the end
+of the page); a head ends at its end tag, at body or at the first element or text that cannot stand in it; character references are decoded, also without semicolon, as HTML defines;
 a page without any tag is one block; long pages are labelled whole; repeated rows give the same text;
 an empty table gives an empty result; other columns are ignored, whatever their names.
 """
@@ -40,9 +41,15 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr".split()
 )
+HIDDEN = frozenset("noscript template svg math iframe object".split())
+HEAD = frozenset("head title base basefont bgsound link meta noframes noscript template".split())
+BLOCK = frozenset(
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
+    "h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
+)
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|head)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
@@ -63,6 +70,21 @@ SIDE_NAMES = (
 )
 
 
+def ends(tokens: list[re.Match]) -> dict[int, int]:
+    """Token of each hidden element that has an end tag → token of that end tag; the innermost open one of a name ends."""
+    opened: dict[str, list[int]] = {}
+    out = {}
+    for k, m in enumerate(tokens):
+        name = (m["name"] or "").lower()
+        if name in HIDDEN:
+            if not m["end"]:
+                if not m["attributes"].rstrip().endswith("/"):
+                    opened.setdefault(name, []).append(k)
+            elif opened.get(name):
+                out[opened[name].pop()] = k
+    return out
+
+
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
     """(path words, text with single blanks, share of linked characters) of each block in page order."""
     out: list[tuple[tuple[str, ...], str, float]] = []
@@ -80,14 +102,24 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             out.append((words, text, inside / total))
         piece.clear()
 
+    done, until, unseen, in_head = 0, -1, False, False
+
     def close(at: int) -> None:
-        nonlocal linked
+        nonlocal linked, unseen, in_head
         linked -= sum(name == "a" for name, _ in stack[at:])
         del stack[at:]
-
-    done = 0
-    for m in TOKEN.finditer(page):
-        if m.start() > done:
+        unseen = unseen and any(s[0] in HIDDEN for s in stack)
+        in_head = in_head and any(s[0] == "head" for s in stack)
+
+    tokens = list(TOKEN.finditer(page))
+    closed = ends(tokens)
+    for k, m in enumerate(tokens):
+        if k <= until:  # inside an element that is not shown, up to its end tag
+            done = m.end()
+            continue
+        if in_head and m.start() > done and stack[-1][0] != "title" and not page[done : m.start()].isspace():
+            close(next(at for at, s in enumerate(stack) if s[0] == "head"))  # text ends the head as well
+        if m.start() > done and not unseen and not in_head:
             piece_text = entities.unescape(page[done : m.start()])
             if not piece and not piece_text.isspace():
                 path_at = [s for s in stack if s[0] not in INLINE]
@@ -99,7 +131,20 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             if m["raw"] and piece:
                 piece.append((" ", False))
             continue
-        if name not in INLINE:
+        if in_head and (name not in HEAD if not m["end"] else name in ("head", "body", "html", "br")):
+            close(next(at for at, s in enumerate(stack) if s[0] == "head"))
+        if unseen and name in BLOCK:  # an element without end tag ends with the next block
+            close(next(at for at, s in enumerate(stack) if s[0] in HIDDEN))
+        if name in HIDDEN:
+            if piece:
+                piece.append((" ", False))
+            if k in closed:
+                until = closed[k]
+            elif not m["end"] and not m["attributes"].rstrip().endswith("/") and not in_head:
+                stack.append((name, ()))
+                unseen = True
+            continue
+        if name not in INLINE and not unseen:
             flush()
         elif name in ("br", "wbr", "img") and piece:
             piece.append((" " if name == "br" else "", False))
@@ -119,7 +164,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
                 names = " ".join("".join(x) for x in NAMED.findall(m["attributes"])).lower()
                 stack.append((name, tuple(WORD.findall(names))))
                 linked += name == "a"
-    if done < len(page):
+                in_head = in_head or name == "head"
+    if done < len(page) and not unseen and not (in_head and stack[-1][0] == "title"):
         rest = entities.unescape(page[done:])
         if not piece:
             path_at = [s for s in stack if s[0] not in INLINE]

@@ -45,6 +45,21 @@ def test_blocks_follow_tags():
     assert [t for _, t, _ in html_blocks.blocks("plain &lt;text")] == ["plain <text"]
 
 
+@pytest.mark.parametrize("start", ["<head>", "<head><title>t</title><meta charset=x>", "<html><head><style>x</style><link rel=y><title>t</title>"])
+@pytest.mark.parametrize("body", ["<body><p>a</p><p>b</p></body>", "<p>a</p><p>b</p>", "</head><body><p>a<p>b", "<div><span>a</span></div><p>b"])
+def test_head_ends_at_the_body(start, body):
+    assert [t for _, t, _ in html_blocks.blocks(start + "\n" + body)] == ["a", "b"]
+
+
+@pytest.mark.parametrize("name", sorted(html_blocks.HIDDEN))
+def test_hidden_elements_end(name):
+    texts = lambda page: [t for _, t, _ in html_blocks.blocks(page)]
+    assert texts(f"<article><p>a</p><{name} class=x>no<p>b</p></article><p>c</p>") == ["a", "b", "c"]
+    assert texts(f"<article><p>a</p><{name}>no</article><p>c</p><{name}>no<p>d</p></{name}><p>e</p>") == ["a", "c", "e"]
+    assert texts(f"<p>a <{name}><p>no</p><div>no</div></{name}> b</p><{name}/><p>c") == ["a b", "c"]
+    assert texts(f"<p>a <b>x <{name}>no</b> y</p><p>b</p>") == ["a x y", "b"]
+
+
 def test_pages_give_their_articles(spark, sf_dir):
     rows = QUERIES["op1_html_extraction"](spark, sf_dir).collect()
     pages = {r["page_id"]: r["html"] for r in common.read_table(spark, sf_dir, "pages").collect()}
