@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import use_utc
-from . import decontaminate, html_blocks, language, minhash, mixing, pii, quality_cnn, token_counts, toxicity, vector_files
+from . import (
+    decontaminate,
+    html_blocks,
+    language,
+    minhash,
+    mixing,
+    pii,
+    prefix_trie,
+    quality_cnn,
+    ranked_search,
+    simhash,
+    token_counts,
+    toxicity,
+    vector_files,
+)
 from .common import read_table as read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +129,18 @@ def op9(spark, sf_dir):
 @query("op10_decontamination")
 def op10(spark, sf_dir):
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op11_simhash_near_dedup", simhash.near_duplicates_sql())
+def op11(spark, sf_dir):
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op12_prefix_trie", prefix_trie.family_trie_sql())
+def op12(spark, sf_dir):
+    return prefix_trie.family_trie(read(spark, sf_dir, "conversations"))
+
+
+@query("op13_ranked_search", ranked_search.RANKED_SQL)
+def op13(spark, sf_dir):
+    return ranked_search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
