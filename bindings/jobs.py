@@ -267,8 +267,8 @@ def _campaign(spark, sf_dir):
     )
 
 
-def _tabular_config(trials: int):
-    return TabularConfig("units", _FEATURES, rounds=5, trials=trials)
+def _tabular_config(trials: int = 5):
+    return TabularConfig("units", _FEATURES, trials=trials)
 
 
 _ENCODED = """
@@ -322,11 +322,11 @@ def tabular_drift_set(spark, sf_dir):
 @query(
     "job_tabular_train",
     f"""WITH {_ENCODED.format(first='', later='')}
-SELECT count(*) AS n_rows, 2::BIGINT AS n_trials, true AS registered_as_gated, true AS report_matches FROM coded WHERE bucket >= 90""",
+SELECT count(*) AS n_rows, 5::BIGINT AS n_trials, true AS registered_as_gated, true AS report_matches FROM coded WHERE bucket >= 90""",
 )
 def tabular_train(spark, sf_dir):
     root = scratch_path(spark, "tabular-train")
-    job = train_tabular(_campaign(spark, sf_dir), _tabular_config(2), f"{root}/model", CREATED)
+    job = train_tabular(_campaign(spark, sf_dir), _tabular_config(), f"{root}/model", CREATED)
     publish_tabular(job, f"{root}/registry", f"{root}/reports")
     return job.trials.agg(F.count(F.lit(1)).alias("n_trials")).withColumns(
         {"n_rows": _n_rows(job.metrics), **_published(spark, job, root)}

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TabularConfig
 from ..functions.scalars import STATUS_CODES, TARGETING_CODES
+from ..operators.boosting import BoostedTrees, TreeSettings, fit_boosted, load_boosted
 from ..operators.clean import (
     calendar_features,
     cast_columns,
@@ -32,7 +32,7 @@ from ..operators.quality import (
 )
 from ..operators.registry import approved_uri, register_if_passed, registry_entry
 from ..operators.split import number_rows, random_split
-from ..operators.tabular import fit_regressor, score, search
+from ..operators.tabular import GAMMA, SUBSAMPLE, score, search
 from ..session import materialize
 from ..sources.mappings import read_mapping, write_mapping
 from ..sources.reports import (
@@ -96,7 +96,7 @@ def _pairs(scored: DataFrame, cfg: TabularConfig) -> DataFrame:
 
 @dataclass(frozen=True)
 class TabularTraining:
-    model: PipelineModel
+    model: BoostedTrees
     mappings: dict[str, DataFrame]
     profile: DataFrame
     trials: DataFrame | None
@@ -131,10 +131,9 @@ def train_tabular(
             seed=cfg.seed,
         )
     else:
-        model, trials = (
-            fit_regressor(train, cfg.target, cfg.features, rounds=cfg.rounds, weight="_weight"),
-            None,
-        )
+        settings = TreeSettings(gamma=GAMMA, subsample=SUBSAMPLE)
+        model = fit_boosted(train, cfg.target, cfg.features, [settings], cfg.rounds, "_weight", cfg.seed)[0]
+        trials = None
     pairs = _pairs(score(model, test), cfg)
     # One row, read by the report, the gate and the registry.
     metrics = materialize(regression_metrics(pairs, "label", "prediction"))
@@ -158,7 +157,7 @@ def publish_tabular(job: TabularTraining, registry: str, reports: str) -> bool:
     write_report(evaluation_json(job.metrics), f"{reports}/evaluation")
     if job.gate.first()["passed"]:
         uri = job.entry.first()["uri"]
-        job.model.write().overwrite().save(f"{uri}/model")
+        job.model.save(job.metrics.sparkSession, f"{uri}/model")
         job.profile.write.mode("overwrite").parquet(f"{uri}/profile")
         save_baseline(job.constraints, f"{uri}/constraints")
         for column, mapping in job.mappings.items():
@@ -168,7 +167,7 @@ def publish_tabular(job: TabularTraining, registry: str, reports: str) -> bool:
 
 @dataclass(frozen=True)
 class ApprovedTabular:
-    model: PipelineModel
+    model: BoostedTrees
     mappings: dict[str, DataFrame]
     profile: DataFrame
     constraints: DataFrame
@@ -180,7 +179,7 @@ def approved_tabular(
     """The newest approved model with its mappings of texts and its stored baselines."""
     uri = approved_uri(spark, registry, group)
     return ApprovedTabular(
-        PipelineModel.load(f"{uri}/model"),
+        load_boosted(spark, f"{uri}/model"),
         {c: read_mapping(spark, f"{uri}/mappings/{c}") for c in cfg.encode},
         spark.read.parquet(f"{uri}/profile"),
         load_baseline(spark, f"{uri}/constraints"),
@@ -203,7 +202,7 @@ def check_tabular_drift(
     cfg: TabularConfig,
     mappings: Mapping[str, DataFrame],
     baseline_profile: DataFrame,
-    model: PipelineModel,
+    model: BoostedTrees,
     constraints: DataFrame,
 ) -> TabularDrift:
     """Encode with stored maps, trim outliers, compare profile and metrics with the baselines."""

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from bindings import ORACLES, QUERIES
 from bindings.jobs import CREATED, _ads, _campaign, _retail, _tabular_config
-from bindings.models import FEATURES, TARGET, TRIAL_ROUNDS, lines
+from bindings.models import FEATURES, TARGET, lines
 from stockweave.config import AutoForecastConfig, SeriesConfig
 from stockweave.operators.quality import ConstraintViolation, quality_gate
 from stockweave.operators.registry import approve_model, read_registry
-from stockweave.operators.tabular import SEARCH_RANGES, draw_settings, search
+from stockweave.operators.metrics import regression_metrics
+from stockweave.operators.tabular import SEARCH_RANGES, score_projection, search
 from stockweave.operators.forecast import load_forecaster, score_forecaster
 from stockweave.plans.auto_forecast_job import GLOBAL, publish_auto_forecast, run_auto_forecast, target_dataset
 from stockweave.plans.series_jobs import (
@@ -85,7 +86,7 @@ def test_unseen_items_share_a_code_but_stay_apart(spark, sf_dir, trained):
 
 
 def test_tabular_training_and_drift(spark, sf_dir):
-    cfg = _tabular_config(0)
+    cfg = replace(_tabular_config(0), rounds=20)
     job = train_tabular(_campaign(spark, sf_dir), cfg, "models/2", CREATED)
     assert job.metrics.first()["item_count"] == job.pairs.count() > 0
     same = check_tabular_drift(
@@ -143,15 +144,21 @@ def test_rows_without_a_key_are_split(spark, sf_dir):
     assert abs(share - 0.7) < 0.05
 
 
-def test_search_draws_in_range_and_returns_the_best(spark, sf_dir):
-    for settings in draw_settings(20, 3):
-        assert all(lo <= settings[k] <= hi for k, (lo, hi) in SEARCH_RANGES.items())
+def test_search_stays_in_range_and_repeats(spark, sf_dir):
     rows = lines(spark, sf_dir).withColumn("w", F.lit(8.0))
     train, validation = rows.filter("split = 'train'"), rows.filter("split = 'validation'")
-    _, one = search(train, validation, TARGET, FEATURES, trials=2, rounds=TRIAL_ROUNDS, weight="w")
-    _, two = search(train, validation, TARGET, FEATURES, trials=2, rounds=TRIAL_ROUNDS, weight="w")
-    assert one.count() == 2
-    assert [r["rmse"] for r in one.collect()] == pytest.approx([r["rmse"] for r in two.collect()])
+    model, one = search(train, validation, TARGET, FEATURES, trials=3, parallel=2, rounds=4, weight="w")
+    _, two = search(train.repartition(3), validation, TARGET, FEATURES, trials=3, parallel=2, rounds=4, weight="w")
+    found = one.orderBy("trial").collect()
+    assert [r["trial"] for r in found] == [0, 1, 2]
+    for r in found:
+        assert all(lo <= r[k] <= hi for k, (lo, hi) in SEARCH_RANGES.items())
+    assert [r["rmse"] for r in found] == pytest.approx([r["rmse"] for r in two.orderBy("trial").collect()])
+    pairs = score_projection(model, validation, TARGET)
+    assert regression_metrics(pairs, "label", "prediction").first()["rmse"] == pytest.approx(min(r["rmse"] for r in found))
+    # Earlier trials guide the search and are not run again.
+    _, more = search(train, validation, TARGET, FEATURES, trials=1, rounds=1, weight="w", known=one)
+    assert more.count() == 1
 
 
 def test_auto_forecast_scores_only_known_bins(spark, sf_dir):
