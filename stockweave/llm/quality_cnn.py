@@ -6,8 +6,11 @@ every ``STEP``-th byte. Their maxima over ``HALF`` bytes are joined in pairs, wh
 its maxima and means over all chunks are combined into one probability. Low maxima of most
 filters show a chunk of few different words, so repetition is visible, not only odd symbols.
 
+A score is a function of its text alone: filters at a text's end read zeros, and the fitted net is rounded to a grid on
+which sums are exact, so neighbours, order and partitioning change no bit.
+
 Cases: null or empty text is one chunk of padding and gets a score as any other; long texts are
-read to the end in groups of bounded size; repeated rows score alike; without labels of both
+read to the end in pieces of bounded size, with the score of the whole; repeated rows score alike; without labels of both
 classes every text scores 0.5; other columns are ignored, whatever their names.
 """
 
@@ -49,32 +52,53 @@ def initial(seed: int = 7) -> dict:
     }
 
 
+def exact(net: dict) -> dict:
+    """The net on a grid so coarse that every sum of a score up to the chunks' layer is exact.
+
+    Sums of exact terms do not depend on their order, so a text scores the same to the last bit whatever the
+    size of the group and the library's blocking of a product.
+    """
+    on = lambda x, bits: np.clip(np.round(x * 2.0**bits), -(2.0 ** (bits + 2)), 2.0 ** (bits + 2)) / 2.0**bits
+    small = {"e": on(net["e"], 6), "w": on(net["w"], 8), "b": on(net["b"], 14)}
+    return {k: x.astype(np.float32) for k, x in small.items()} | {k: on(net[k], 12).astype(float) for k in "hc"} | {k: net[k].astype(float) for k in "od"}
+
+
 def windows(net: dict, data: np.ndarray) -> np.ndarray:
-    """One row of WIDTH * DIM values per filter position; the last one reads into zero padding."""
-    padded = np.concatenate([data, np.zeros(WIDTH - STEP, np.uint8)])
-    flat = np.ascontiguousarray(net["e"][padded]).reshape(-1)
-    n, item = len(data) // STEP, flat.itemsize
+    """One row of WIDTH * DIM values per filter position."""
+    flat = np.ascontiguousarray(net["e"][data]).reshape(-1)
+    n, item = (len(data) - WIDTH) // STEP + 1, flat.itemsize
     return as_strided(flat, (n, WIDTH * DIM), (STEP * DIM * item, item))
 
 
-def forward(net: dict, parts: list[np.ndarray]) -> dict:
-    """All layers for a group of texts."""
-    data = np.concatenate(parts)
+def forward(net: dict, parts: list[np.ndarray], after: np.ndarray = np.zeros(WIDTH - STEP, np.uint8)) -> dict:
+    """All layers for a group of texts.
+
+    The last filter of a text reads the bytes ``after`` (zeros, or what follows a piece of a longer
+    text), never those of its neighbour.
+    """
+    data = np.concatenate([x for p in parts for x in (p, after)])
     rows = windows(net, data)
-    act = np.maximum(rows @ net["w"] + net["b"], 0).reshape(-1, PER_HALF, FILTERS)
-    half = act.max(axis=1)
     count = np.array([len(p) // HALF for p in parts])
+    # Positions that begin in ``after`` belong to no text.
+    place = np.arange(count.sum() * PER_HALF) + np.repeat(np.arange(len(parts)), count * PER_HALF) * (len(after) // STEP)
+    act = np.maximum(rows[place] @ net["w"] + net["b"], 0).reshape(-1, PER_HALF, FILTERS)
+    half = act.max(axis=1)
     first = np.concatenate([[0], np.cumsum(count)[:-1]])
     keep = np.ones(len(half), bool)
     keep[first + count - 1] = False  # a chunk starts at every half but a text's last
     at = np.flatnonzero(keep)
-    chunk = np.maximum(half[at], half[at + 1])
+    chunk = np.maximum(half[at], half[at + 1]).astype(net["h"].dtype)
     hidden = np.maximum(chunk @ net["h"] + net["c"], 0)
     n = count - 1
     starts = np.concatenate([[0], np.cumsum(n)[:-1]])
     top, mean = np.maximum.reduceat(hidden, starts), np.add.reduceat(hidden, starts) / n[:, None]
-    z = np.concatenate([top, mean], axis=1) @ net["o"] + net["d"]
-    return {"data": data, "rows": rows, "act": act, "half": half, "at": at, "chunk": chunk, "hidden": hidden, "n": n, "starts": starts, "top": top, "mean": mean, "p": 1 / (1 + np.exp(-np.clip(z, -30, 30)))}
+    z = answer(net, top, mean)
+    return {"data": data, "rows": rows, "place": place, "act": act, "half": half, "at": at, "chunk": chunk, "hidden": hidden, "n": n, "starts": starts, "top": top, "mean": mean, "p": 1 / (1 + np.exp(-np.clip(z, -30, 30)))}
+
+
+def answer(net: dict, top: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """The last layer, summed row by row: its rounding does not depend on the number of rows."""
+    return (np.concatenate([top, mean], axis=1) * net["o"]).sum(axis=1) + net["d"]
 
 
 def gradients(net: dict, f: dict, y: np.ndarray) -> dict:
@@ -95,14 +119,13 @@ def gradients(net: dict, f: dict, y: np.ndarray) -> dict:
     np.add.at(ghalf, f["at"] + 1, np.where(left, 0, gc))
     ghalf *= f["half"] > 0
     k, j = np.nonzero(ghalf)
-    where = k * PER_HALF + f["act"].argmax(axis=1)[k, j]
+    where = f["place"][k * PER_HALF + f["act"].argmax(axis=1)[k, j]]
     value = ghalf[k, j]
     read = f["rows"][where]
     g["w"] = np.stack([value[j == x] @ read[j == x] for x in range(FILTERS)], axis=1)
     g["b"] = np.bincount(j, weights=value, minlength=FILTERS).astype(np.float32)
     back = (value[:, None] * net["w"].T[j]).reshape(-1, WIDTH, DIM)
-    padded = np.concatenate([f["data"], np.zeros(WIDTH - STEP, np.uint8)])
-    byte = padded[where[:, None] * STEP + np.arange(WIDTH)].reshape(-1)
+    byte = f["data"][where[:, None] * STEP + np.arange(WIDTH)].reshape(-1)
     flat = back.reshape(-1, DIM)
     g["e"] = np.stack([np.bincount(byte, weights=flat[:, d], minlength=256) for d in range(DIM)], axis=1)
     return g
@@ -131,7 +154,7 @@ def train(texts: list[str], labels: list[int], prior: float, epochs: int = 10, b
                 net[k] = (net[k] - now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
     share = float(y.mean())
     net["d"] = net["d"] + np.float32(np.log(prior / (1 - prior)) - np.log(share / (1 - share)))
-    return net
+    return exact(net)
 
 
 def scorer(net: dict | None):
@@ -152,23 +175,25 @@ def scorer(net: dict | None):
 
 
 def probabilities(net: dict, parts: list[np.ndarray]) -> np.ndarray:
-    """Scores of a group; one very long text is pooled piece by piece."""
-    if len(parts) == 1 and len(parts[0]) > 4 * GROUP_BYTES:
-        return np.array([long_probability(net, parts[0])])
-    return forward(net, parts)["p"].astype(float)
+    """Scores of a group; a very long text is pooled piece by piece, wherever it stands."""
+    out, short = np.zeros(len(parts)), [k for k, p in enumerate(parts) if len(p) <= 4 * GROUP_BYTES]
+    if short:
+        out[short] = forward(net, [parts[k] for k in short])["p"]
+    for k in sorted(set(range(len(parts))) - set(short)):
+        out[k] = long_probability(net, parts[k])
+    return out
 
 
 def long_probability(net: dict, data: np.ndarray) -> float:
-    top, total, n = np.zeros(HIDDEN, np.float32), np.zeros(HIDDEN), 0
-    last = len(data) - HALF
-    for at in range(0, last, GROUP_BYTES):
-        # One half more, which the next piece starts with: the same chunks as of the whole.
-        # The filter at a piece's end reads zeros instead of the next bytes.
-        piece = data[at : min(at + GROUP_BYTES + HALF, len(data))]
-        f = forward(net, [piece])
+    """The score of a whole text from pieces that share a half and read into the next piece, as the whole would."""
+    top, total, n = np.zeros(HIDDEN), np.zeros(HIDDEN), 0
+    padded = np.concatenate([data, np.zeros(WIDTH - STEP, np.uint8)])
+    for at in range(0, len(data) - HALF, GROUP_BYTES):
+        end = min(at + GROUP_BYTES + HALF, len(data))
+        f = forward(net, [data[at:end]], padded[end : end + WIDTH - STEP])
         top, total, n = np.maximum(top, f["top"][0]), total + f["hidden"].sum(axis=0), n + len(f["hidden"])
-    z = float(np.concatenate([top, total / n]) @ net["o"] + net["d"][0])
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    z = answer(net, top[None], (total / n)[None])
+    return float(1 / (1 + np.exp(-np.clip(z, -30, 30)))[0])
 
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, parts: int = 3, held: int = 1) -> dict | None:
