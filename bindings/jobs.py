@@ -32,6 +32,7 @@ from stockweave.plans.tabular_jobs import (
 )
 from stockweave.session import scratch_path
 from stockweave.sources.reports import json_metric, read_report
+from stockweave.sources.tables import captured
 
 from .common import VISITS, grid_sql, line_sql, query, r6, table, visits
 from .forecasts import rounded
@@ -363,8 +364,8 @@ def tabular_drift(spark, sf_dir):
     found = not (drift.findings.isEmpty() and drift.violations.isEmpty())
     n_reported = F.json_array_length(F.get_json_object("value", "$.violations"))
     reported = read_report(spark, f"{root}/check/violations").select(n_reported).first()[0]
-    captured = spark.read.parquet(f"{root}/check/captured")
-    return captured.agg(F.count(F.lit(1)).alias("n_captured")).withColumns(
+    rows = captured(spark, f"{root}/check/captured")
+    return rows.agg(F.count(F.lit(1)).alias("n_captured")).withColumns(
         {
             "n_rows": _n_rows(drift.metrics),
             "failed_as_found": F.lit(failed == found),

@@ -119,7 +119,7 @@ def _violations(spark, sf_dir):
     "check_constraints",
     f"""WITH {_METRICS}
 SELECT operator AS constraint_check_type, metric AS metric_name,
-       'Metric ' || metric || ' with ' || CAST(value AS VARCHAR) || ' was ' || operator || ' ''' || CAST(threshold AS VARCHAR) || '''' AS description
+       metric || ' is ' || CAST(value AS VARCHAR) || ', which breaks the rule ' || operator || ' ' || CAST(threshold AS VARCHAR) AS description
 FROM compared WHERE violated""",
 )
 def violations(spark, sf_dir):

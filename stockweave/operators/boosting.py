@@ -33,6 +33,7 @@ BINS = 64
 NODE_ROWS = 65_536
 KEPT_TREES = 10
 SPAN = 1 << 20
+EQUAL = 1e-9  # relative difference of gains that counts as a tie
 
 
 @dataclass(frozen=True)
@@ -127,7 +128,9 @@ def best_splits(g: np.ndarray, h: np.ndarray, s: TreeSettings) -> tuple[np.ndarr
     least = max(s.min_child_weight, 1e-9)
     gain[(hl < least) | (ha - hl < least)] = -np.inf
     gain = gain.reshape(len(g), -1)
-    at = gain.argmax(axis=1)
+    # The first of all splits that are best up to rounding: other orders of summing choose the same.
+    most = gain.max(axis=1, keepdims=True)
+    at = (gain >= most - np.abs(np.where(np.isfinite(most), most, 0)) * EQUAL).argmax(axis=1)
     return gain[np.arange(len(g)), at], *np.divmod(at, g.shape[2])
 
 
@@ -246,8 +249,10 @@ def level_sums(state: DataFrame, now: Round) -> DataFrame:
 def grow_level(state: DataFrame, now: Round) -> dict:
     """The best split of each open node: (model, node) to a row with its sums; nodes without rows are missing."""
     gains = split_gains(level_sums(state, now), now.settings)
-    rank = F.struct(F.when(F.col("allowed"), F.col("gain")).otherwise(F.lit(float("-inf"))).alias("gain"), (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"))
-    best = gains.groupBy("model", "node").agg(F.max_by(F.struct("feature", "bin", "gl", "hl", "nl", "gr", "hr", "nr", "ga", "ha"), rank).alias("s"), F.max(rank)["gain"].alias("gain"))
+    gains = gains.withColumn("gain", F.when(F.col("allowed"), F.col("gain")).otherwise(F.lit(float("-inf"))))
+    most = F.max("gain").over(Window.partitionBy("model", "node"))
+    first = gains.withColumn("most", most).filter((F.col("gain") == F.col("most")) | (F.col("gain") >= F.col("most") - F.abs("most") * EQUAL))
+    best = first.groupBy("model", "node").agg(F.min(F.struct("feature", "bin", "gl", "hl", "nl", "gr", "hr", "nr", "ga", "ha")).alias("s"), F.max("gain").alias("gain"))
     return {(r["model"], r["node"]): r for r in best.select("model", "node", "gain", "s.*").collect()}
 
 

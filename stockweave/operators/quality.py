@@ -52,7 +52,7 @@ def compare_baseline(statistics: DataFrame, constraints: DataFrame) -> DataFrame
 
 def check_constraints(statistics: DataFrame, constraints: DataFrame) -> DataFrame:
     """Violations as rows (constraint_check_type, description, metric_name)."""
-    text = "Metric %s with %s was %s '%s'"
+    text = "%s is %s, which breaks the rule %s %s"
     return (
         compare_baseline(statistics, constraints)
         .filter("violated")
@@ -76,9 +76,9 @@ def violation_status(violations: DataFrame) -> DataFrame:
     return violations.agg(n.alias("n_violations"), (n > 0).alias("failed"))
 
 
-def fail_on_violation(violations: DataFrame, registering: bool = False) -> None:
-    """Raise if there is any violation; registering a baseline never fails."""
-    if not registering and not violations.isEmpty():
+def fail_on_violation(violations: DataFrame) -> None:
+    """Raise if there is any violation."""
+    if not violations.isEmpty():
         names = [r[0] for r in violations.select("metric_name").distinct().limit(20).collect()]
         raise ConstraintViolation(f"metrics outside their limits: {', '.join(sorted(map(str, names)))}")
 

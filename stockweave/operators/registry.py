@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Approval states of a registered model.
 PENDING = "PendingManualApproval"
 APPROVED = "Approved"
@@ -15,7 +17,7 @@ REGISTRY_SCHEMA = (
 
 
 def top_model(trials: DataFrame, metric: str, k: int = 1) -> DataFrame:
-    """The ``k`` trials with the lowest metric; NaN and missing metrics lose."""
+    """The ``k`` trials with the lowest metric; NaN and missing metrics lose, ties go to the first model or trial."""
     return (
         trials.filter(F.col(metric).isNotNull() & ~F.isnan(metric))
         .orderBy(F.col(metric), *[c for c in ("model", "trial") if c in trials.columns])
@@ -42,24 +44,33 @@ def registry_entry(
 
 
 def register_model(entry: DataFrame, path: str) -> None:
-    """Append to the registry table."""
-    entry.write.mode("append").parquet(path)
+    """Write registry rows, one per (group, uri, status): a repeated registration replaces its row."""
+    key = F.sha2(F.to_json(F.struct("model_group", "uri", "status")), 256)
+    (
+        entry.withColumn("entry", F.concat(F.lit("e"), key))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("entry")
+        .parquet(path)
+    )
 
 
 def register_if_passed(entry: DataFrame, gate: DataFrame, path: str) -> bool:
-    """Append the entry only when the gate passed; the table exists afterwards in both cases."""
+    """Write the entry only when the gate passed; the table exists afterwards in both cases."""
     passed = gate.first()["passed"]
     register_model(entry.filter(F.lit(passed)), path)
     return passed
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(path).drop("entry")
 
 
 def approve_model(spark: SparkSession, path: str, uri: str, approved: str) -> None:
-    """Append an approved row for a registered model; an unknown one raises."""
-    rows = read_registry(spark, path).filter(F.col("uri") == uri).limit(1)
+    """Write an approved row for a registered model; an unknown one raises."""
+    rows = read_registry(spark, path).filter(F.col("uri") == uri).orderBy(F.desc("status")).limit(1)
+    # One row, written elsewhere first: the registry is read and then written.
+    rows = materialize(rows)
     if rows.isEmpty():
         raise ValueError(f"{uri} is not registered")
     when = F.lit(approved).cast("timestamp")

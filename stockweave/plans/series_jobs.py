@@ -269,18 +269,22 @@ def check_series_drift(
     register_baseline: bool = False,
     reports: str | None = None,
 ) -> DataFrame:
-    """Register the current metrics as baseline, or compare with it and fail on a violation.
+    """Register the current metrics as baseline, or compare with the stored one and fail on a violation.
 
-    Rejected items fail the run. The three reports are written before it can fail.
+    Rejected items fail the run and register nothing. All three reports are written before it can fail.
     """
     spark = drift.metrics.sparkSession
     rejected = drift.coverage.first()["rejected"]
+    if rejected and reports is None:
+        raise ValueError(f"{rejected} items have no forecast")
+    # A baseline is not compared with itself: it has no violation.
+    baseline = drift.constraints.limit(0) if register_baseline else load_baseline(spark, baseline_path)
+    violations = check_constraints(drift.statistics, baseline)
+    if reports is not None:
+        write_check(drift.metrics, drift.constraints, violations, reports)
     if rejected:
         raise ValueError(f"{rejected} items have no forecast")
     if register_baseline:
         save_baseline(drift.constraints, baseline_path)
-    violations = check_constraints(drift.statistics, load_baseline(spark, baseline_path))
-    if reports is not None:
-        write_check(drift.metrics, drift.constraints, violations, reports)
-    fail_on_violation(violations, registering=register_baseline)
+    fail_on_violation(violations)
     return violations

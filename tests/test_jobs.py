@@ -136,6 +136,21 @@ def test_rejected_items_fail_the_drift_check(spark, trained):
         check_series_drift(drift, "unused")
 
 
+def test_reports_are_written_before_a_rejected_item_fails(spark, sf_dir, trained):
+    """An item whose bins are all null has no forecast."""
+    rows = _retail(spark, sf_dir).select("item", "ts", "units")
+    none = rows.filter("item = 1").withColumns({"item": F.lit(7777).cast(rows.schema["item"].dataType), "units": F.lit(None).cast("double")})
+    drift = score_series_drift(rows.unionByName(none), trained.mapping, trained.model, SeriesConfig(how="mean"))
+    assert drift.coverage.first()["rejected"] == 1
+    root = scratch_path(spark, "rejected")
+    with pytest.raises(ValueError, match="1 items"):
+        check_series_drift(drift, f"{root}/baseline", register_baseline=True, reports=f"{root}/reports")
+    for name in ("statistics", "constraints", "violations"):
+        assert read_report(spark, f"{root}/reports/{name}").count() == 1
+    with pytest.raises(Exception):
+        read_report(spark, f"{root}/baseline").count()
+
+
 def test_rows_without_a_key_are_split(spark, sf_dir):
     cfg = replace(_tabular_config(0), row_key=None)
     rows, _ = training_rows(_campaign(spark, sf_dir).drop("row_id"), cfg)

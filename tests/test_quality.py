@@ -21,6 +21,8 @@ from stockweave.operators.registry import (
     APPROVED,
     PENDING,
     latest_approved,
+    approve_model,
+    read_registry,
     register_model,
     registry_entry,
     top_model,
@@ -107,7 +109,7 @@ def test_violations_follow_the_operator(spark):
     worse = check_constraints(stats(spark, mape=0.5, mse=1.0, rmse=2.5, r2=0.25), base)
     rows = {r["metric_name"]: r for r in worse.collect()}
     assert set(rows) == {"rmse", "r2"}
-    assert rows["rmse"]["description"] == "Metric rmse with 2.5 was GreaterThanThreshold '1.0'"
+    assert rows["rmse"]["description"] == "rmse is 2.5, which breaks the rule GreaterThanThreshold 1.0"
     assert rows["r2"]["constraint_check_type"] == "LessThanThreshold"
 
 
@@ -125,7 +127,6 @@ def test_failing_and_registering(spark):
     assert tuple(violation_status(bad).first()) == (1, True)
     with pytest.raises(ConstraintViolation):
         fail_on_violation(bad)
-    fail_on_violation(bad, registering=True)
     fail_on_violation(check_constraints(stats(spark, rmse=1.0), base))
 
 
@@ -179,8 +180,13 @@ def test_registry(spark):
         ("m/3", "2024-04-01", PENDING),
     ]:
         register_model(registry_entry(metrics, "g", uri, created, status), path)
-    registry = spark.read.parquet(path)
-    assert registry.count() == 3
+    # A repeated registration replaces its row, and only that.
+    register_model(registry_entry(metrics, "g", "m/1", "2024-02-01", APPROVED), path)
+    approve_model(spark, path, "m/3", "2024-01-15")
+    approve_model(spark, path, "m/3", "2024-01-16")
+    registry = read_registry(spark, path)
+    assert registry.count() == 4
+    assert [str(r["created"]) for r in registry.filter("uri = 'm/3'").orderBy("status").collect()] == ["2024-01-16 00:00:00", "2024-04-01 00:00:00"]
     assert latest_approved(registry, "g").first()["uri"] == "m/2"
     assert latest_approved(registry, "other").isEmpty()
 

@@ -15,7 +15,7 @@ from stockweave.sources.series_json import (
     write_forecasts,
     write_series_json,
 )
-from stockweave.sources.tables import capture, read_observations, with_inference_id, write_dataset
+from stockweave.sources.tables import capture, captured, published_runs, read_observations, with_inference_id, write_dataset
 
 
 def test_csv_with_and_without_schema(spark):
@@ -70,7 +70,21 @@ def test_captured_rows_append_by_date(spark):
     path = scratch_path(spark, "capture")
     capture(df, path, "2024-01-01")
     capture(df, path, "2024-01-02")
-    back = spark.read.parquet(path)
+    capture(df.limit(1), path, "2024-01-02")
+    capture(df, path, "2024-01-02")  # the attempt before is replaced
+    capture(df, path, "2024-01-02", run_id="007")
+    back = captured(spark, path).filter("run_id = 'run-0'")
+    assert back.count() == 6 and captured(spark, path).count() == 9
+    assert sorted((str(r["run_date"]), r["run_id"], r["n_rows"]) for r in published_runs(spark, path).collect()) == [
+        ("2024-01-01", "run-0", 3),
+        ("2024-01-02", "run-0", 3),
+        ("2024-01-02", "run-007", 3),
+    ]
+    # Rows without a manifest belong to a run that never finished; a run without rows hides older ones.
+    with_inference_id(df).withColumns({"run_date": F.lit("2024-01-03"), "run_id": F.lit("run-0")}).write.mode("append").partitionBy("run_date", "run_id").parquet(path)
+    assert captured(spark, path).count() == 9
+    capture(df.limit(0), path, "2024-01-02", run_id="007")
+    back = captured(spark, path)
     assert back.count() == 6
     assert back.select("inference_id").distinct().count() == 3
     again = with_inference_id(df).select("inference_id")
