@@ -163,12 +163,13 @@ def first_level(rows: DataFrame, target: str, features: Sequence[str], settings:
     heavy = F.col(weight).cast("double") if weight else F.lit(1.0)
     base = F.sum(F.col(target) * heavy) / F.sum(heavy)
     mean = rows.filter(F.col(target).isNotNull()).agg(base.alias("b")).first()["b"]
-    cells = F.array(
-        *[
-            F.struct(F.lit(i).alias("feature"), F.array_size(F.filter(F.array(*[F.lit(float(x)) for x in c]), lambda x, v=v: x < F.col(v).cast("double"))).alias("bin"))
-            for i, (v, c) in enumerate(zip(features, cuts))
-        ]
-    )
+
+    def cell(i: int) -> Column:
+        x = F.nanvl(F.col(features[i]).cast("double"), F.lit(None).cast("double"))
+        below = F.filter(F.array(*[F.lit(float(c)) for c in cuts[i]]), lambda c: c < x)
+        return F.struct(F.lit(i).alias("feature"), F.array_size(below).alias("bin"))
+
+    cells = F.array(*[cell(i) for i in range(len(features))])
     sums = rows.filter(F.col(target).isNotNull()).select(((F.lit(mean) - F.col(target)) * heavy).alias("g"), heavy.alias("h"), F.explode(cells).alias("c"))
     sums = sums.groupBy("c.feature", "c.bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
     gains = split_gains(sums.withColumns({"model": F.lit(0), "node": F.lit(1)}), [settings]).filter("allowed")
