@@ -10,6 +10,7 @@ from stockweave.operators.forecast import (
     forecast_rows,
     history,
     hold_out,
+    item_levels,
     pack_forecasts,
     score_forecaster,
     seasonal_naive,
@@ -19,11 +20,18 @@ from stockweave.operators.forecast import (
 )
 from stockweave.operators.metrics import forecast_metrics, regression_metrics, seasonal_scale
 from stockweave.operators.pack import align_forecast, ordered_values, pack_series
+from stockweave.operators.quantile_forest import (
+    fit_forest_forecaster,
+    leaf_quantiles,
+    leaf_sketch,
+    merge_sketches,
+    score_forest_forecaster,
+)
 from stockweave.operators.registry import top_model
 from stockweave.operators.series import regularize, to_bins
 from stockweave.session import materialize
 
-from .common import HOLDOUT, SUPPLY, day, grid_sql, line_sql, query, r6, supply
+from .common import HOLDOUT, SUPPLY, day, grid_sql, line_sql, query, r6, supply, table
 
 HORIZON = 28
 
@@ -242,3 +250,81 @@ def quantile_metrics(spark, sf_dir):
     """Regression metrics of the median path over all suppliers."""
     records, actuals = _quantile_records(spark, sf_dir)
     return regression_metrics(align_forecast(actuals, records, "item", HORIZON, "0.5"))
+
+
+def _packed_train(spark, sf_dir):
+    """Packed training bins of all suppliers with the start of each series, and the held-out actuals."""
+    series = held_out(spark, sf_dir).groupBy("item").agg(
+        F.min("ts").alias("start"), F.max("cut_pos").alias("n_train"), ordered_values(F.col("pos"), F.col("units")).alias("target")
+    )
+    packed = materialize(series)
+    actuals = packed.select(
+        "item",
+        F.timestamp_add("DAY", F.col("n_train"), F.col("start")).alias("start"),
+        F.slice("target", F.col("n_train") + 1, HORIZON).alias("target"),
+    )
+    return packed.select("item", "start", F.slice("target", F.lit(1), F.col("n_train")).alias("target")), actuals
+
+
+@query(
+    "item_levels",
+    f"""WITH {_SERIES},
+days AS (SELECT d, sum(v) AS x, count(v) AS k FROM train GROUP BY d),
+totals AS (SELECT d, coalesce(sum(x) OVER w / nullif(sum(k) OVER w, 0), 0) AS every FROM days WINDOW w AS (ORDER BY d))
+SELECT t.item, CAST(pos + 1 AS INTEGER) AS "end", t.d AS last,
+       round((coalesce(sum(v) OVER w, 0) + 10 * every) / (count(v) OVER w + 10), 6) AS level
+FROM train t JOIN totals USING (d) WINDOW w AS (PARTITION BY item ORDER BY pos)""",
+)
+def levels(spark, sf_dir):
+    """What an item's code stands for after each bin."""
+    packed, _ = _packed_train(spark, sf_dir)
+    out = item_levels(packed, "item")
+    return out.select("item", "end", F.to_date("last").alias("last"), F.round("level", 6).alias("level"))
+
+
+_LEAVES = ["CAST(floor(l_quantity / 10) AS INTEGER)", "CAST(round(l_discount * 100) AS INTEGER)", "CAST(round(l_tax * 100) AS INTEGER)"]
+
+
+@query(
+    "leaf_quantiles",
+    f"""
+WITH members AS (SELECT [{', '.join(_LEAVES)}] AS leaves, CAST(least(floor(l_extendedprice / 1000), 99) AS INTEGER) AS cell FROM lineitem),
+each AS (SELECT unnest([0, 1, 2]) AS tree, unnest(leaves) AS leaf, cell FROM members),
+shares AS (
+  SELECT tree, leaf, cell, count(*) / sum(count(*)) OVER (PARTITION BY tree, leaf)::DOUBLE AS share FROM each GROUP BY tree, leaf, cell
+),
+rows AS (SELECT DISTINCT leaves, CAST(leaves AS VARCHAR) AS id FROM members),
+mixed AS (
+  SELECT id, cell, sum(share) / 3 AS share
+  FROM (SELECT id, unnest([0, 1, 2]) AS tree, unnest(leaves) AS leaf FROM rows) JOIN shares USING (tree, leaf) GROUP BY id, cell
+),
+ends AS (SELECT *, sum(share) OVER (PARTITION BY id ORDER BY cell) AS upto FROM mixed)
+SELECT replace(id, ', ', ',') AS id, min(cell) FILTER (upto >= 0.1 - 1e-9) AS q10, min(cell) FILTER (upto >= 0.5 - 1e-9) AS q50,
+       min(cell) FILTER (upto >= 0.9 - 1e-9) AS q90
+FROM ends GROUP BY id""",
+)
+def given_leaves(spark, sf_dir):
+    """Quantiles of prices, in thousands, from three given trees; the sketch is merged from two halves."""
+    leaves = F.array(*[F.expr(x) for x in _LEAVES])
+    cell = F.least(F.floor(F.col("l_extendedprice") / 1000), F.lit(99)).cast("int")
+    members = table(spark, sf_dir, "lineitem").select(leaves.alias("leaves"), cell.alias("cell"), "l_orderkey")
+    halves = [leaf_sketch(members.filter(F.col("l_orderkey") % 2 == k)) for k in (0, 1)]
+    rows = members.select("leaves", F.concat(F.lit("["), F.array_join("leaves", ","), F.lit("]")).alias("id")).distinct()
+    out = leaf_quantiles(rows, merge_sketches(*halves), ["id"], [0.1, 0.5, 0.9])
+    return out.select("id", *[F.col("cells")[i].alias(f"q{q}") for i, q in enumerate((10, 50, 90))])
+
+
+@query("quantile_forest_coverage")
+def forest_coverage(spark, sf_dir):
+    """Share of held-out bins at or below each quantile of the forest, and the error of its median."""
+    packed, actuals = _packed_train(spark, sf_dir)
+    model = fit_forest_forecaster(packed, "item")
+    records = materialize(score_forest_forecaster(model, packed, "item"))
+    out = None
+    for q in ("0.1", "0.5", "0.9"):
+        pairs = align_forecast(actuals, records, "item", HORIZON, q)
+        below = F.avg((F.col("target") <= F.col("predictions")).cast("double")).alias("covered")
+        row = pairs.agg(F.count("target").alias("n_bins"), below, F.sqrt(F.avg((F.col("target") - F.col("predictions")) ** 2)).alias("rmse"))
+        row = row.withColumn("quantile", F.lit(float(q)))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -278,6 +278,62 @@ def _features(context: int, season: int) -> dict[str, Column]:
     }
 
 
+LEVEL = "item_level"
+CHUNK = 64
+
+
+def _sum_of(values: Column) -> Column:
+    """Sum of the known values of an array."""
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+
+
+def _chunk_totals(values: Column) -> Column:
+    """Sums of all values in front of each chunk of CHUNK values: a running sum at any place is then short."""
+    chunks = F.transform(F.sequence(F.lit(0), F.floor(F.size(values) / CHUNK).cast("int")), lambda c: _sum_of(F.slice(values, c * CHUNK + 1, F.lit(CHUNK))))
+    return F.transform(F.sequence(F.lit(0), F.size(chunks) - 1), lambda c: _sum_of(F.slice(chunks, F.lit(1), c)))
+
+
+def _upto(totals: str, values: Column, end: Column) -> Column:
+    """Sum of the first ``end`` values."""
+    chunk = F.floor(end / CHUNK).cast("int")
+    return F.get(totals, chunk) + _sum_of(F.slice(values, chunk * CHUNK + 1, end - chunk * CHUNK))
+
+
+def _counted(values: Column) -> Column:
+    return F.transform(values, lambda x: x.isNotNull().cast("double"))
+
+
+def _with_totals(packed: DataFrame) -> DataFrame:
+    return packed.withColumn("_ones", _counted(F.col("target"))).withColumns(
+        {"_sums": _chunk_totals(F.col("target")), "_counts": _chunk_totals(F.col("_ones"))}
+    )
+
+
+def _levels(rows: DataFrame, packed: DataFrame, prior: float, freq: str) -> DataFrame:
+    """``rows`` with ``level``, from their start, end, ``_s`` and ``_n`` (sum and number of the item's values so far).
+
+    An item's mean so far is drawn towards the mean of all items so far, as if ``prior`` values had that mean. The
+    calendar bounds the table of totals, one row per bin.
+    """
+    bins = packed.select("start", F.posexplode("target").alias("_i", "_x")).groupBy(bins_after(F.col("start"), F.col("_i"), freq).alias("_last"))
+    so_far = Window.orderBy("_last").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = bins.agg(F.sum("_x").alias("_x"), F.count("_x").alias("_k")).select(
+        "_last", F.coalesce(F.try_divide(F.sum("_x").over(so_far), F.sum("_k").over(so_far)), F.lit(0.0)).alias("_all")
+    )
+    level = (F.col("_s") + F.lit(float(prior)) * F.col("_all")) / (F.col("_n") + F.lit(float(prior)))
+    return rows.withColumn("_last", bins_after(F.col("start"), F.col("end") - 1, freq)).join(totals, "_last").withColumn("level", level).drop("_s", "_n", "_all")
+
+
+def item_levels(packed: DataFrame, key: str, prior: float = 10.0, freq: str = "D") -> DataFrame:
+    """(key, end, last bin, level) after each bin: what is known of an item's code by then, and of no later value."""
+    ends = F.transform(
+        F.sequence(F.lit(1), F.size("target")),
+        lambda end: F.struct(end.alias("end"), _upto("_sums", F.col("target"), end).alias("_s"), _upto("_counts", F.col("_ones"), end).alias("_n")),
+    )
+    rows = _with_totals(packed.filter(F.size("target") > 0)).select(key, "start", F.inline(ends))
+    return _levels(rows, packed, prior, freq).select(key, "end", F.col("_last").alias("last"), "level")
+
+
 def training_rows(
     packed: DataFrame,
     key: str,
@@ -285,6 +341,8 @@ def training_rows(
     horizon: int = 28,
     stride: int = 1,
     season: int = 7,
+    prior: float | None = None,
+    freq: str = "D",
 ) -> DataFrame:
     """Context windows every ``stride`` bins with each of the following ``horizon`` values.
 
@@ -292,23 +350,32 @@ def training_rows(
     (the context at most), whose future is the rest, so every item of two bins or more teaches.
     Windows lie inside the packed training part, so none crosses the cut. A value
     becomes about ``horizon / stride`` rows, so the packed rows are spread first.
+    With ``prior`` the rows have ``item_level``, the scaled level of ``item_levels`` at the window's end.
     """
+    levels = [] if prior is None else [LEVEL]
     n = F.size("target")
     first = F.least(F.lit(context), F.ceil(n / 2).cast("int"))
     windows = F.transform(
         F.sequence(first, F.greatest(n - horizon, first), F.lit(stride)),
         lambda end: _window(
-            _context(end, context), season, F.slice("target", end + 1, horizon).alias("future")
+            _context(end, context),
+            season,
+            F.slice("target", end + 1, horizon).alias("future"),
+            *([] if prior is None else [end.alias("end"), _upto("_sums", F.col("target"), end).alias("_s"), _upto("_counts", F.col("_ones"), end).alias("_n")]),
         ),
     )
+    if prior is None:
+        wide = spread(packed.filter(n >= 2).select(key, "target"), key).select(key, F.inline(windows))
+    else:
+        items = spread(packed.filter(n >= 2).select(key, "start", "target"), key)
+        wide = _levels(_with_totals(items).select(key, "start", F.inline(windows)), packed, prior, freq)
     return (
-        spread(packed.filter(n >= 2).select(key, "target"), key)
-        .select(key, F.inline(windows))
-        .select(key, "ctx", "mean", "week_mean", "known", F.posexplode("future").alias("_i", "_y"))
+        wide.select(key, "ctx", "mean", "week_mean", "known", *(["level"] if levels else []), F.posexplode("future").alias("_i", "_y"))
         .filter(F.col("_y").isNotNull())
         .withColumn("step", F.col("_i") + 1)
         .withColumns(_features(context, season))
-        .select(key, *FEATURES, (F.col("_y") / F.col("scale")).alias("label"))
+        .withColumns({LEVEL: F.col("level") / F.col("scale")} if levels else {})
+        .select(key, *FEATURES, *levels, (F.col("_y") / F.col("scale")).alias("label"))
     )
 
 
@@ -356,36 +423,50 @@ def score_forecaster(
     A short context is scored with its missing bins marked. One without any value
     yields an ``error`` record.
     """
-    windows = contexts.select(key, _context(F.size("target"), model.context).alias("ctx"))
+    steps, empty = scoring_steps(contexts, key, model.context, model.horizon, model.season)
+    features = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(steps)
+    # The tree has at most 2^max_depth leaves.
+    scored = model.tree.transform(features.select(key, "step", "scale", "features")).join(
+        F.broadcast(model.leaf_quantiles), "leaf"
+    )
+    return forecast_records(scored, key, model.quantiles).unionByName(empty)
+
+
+def scoring_steps(
+    contexts: DataFrame, key: str, context: int, horizon: int, season: int, *more: str
+) -> tuple[DataFrame, DataFrame]:
+    """Inputs of every step to forecast, and ``error`` records of contexts without any value.
+
+    Columns named in ``more`` are kept beside the inputs.
+    """
+    windows = contexts.select(key, *more, _context(F.size("target"), context).alias("ctx"))
     usable = F.coalesce(F.exists("ctx", lambda x: x.isNotNull()), F.lit(False))
     steps = (
         windows.filter(usable)
-        .select(key, F.inline(F.array(_window(F.col("ctx"), model.season))))
-        .select("*", F.explode(F.sequence(F.lit(1), F.lit(model.horizon))).alias("step"))
-    )
-    features = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        steps.withColumns(_features(model.context, model.season))
+        .select(key, *more, F.inline(F.array(_window(F.col("ctx"), season))))
+        .select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+        .withColumns(_features(context, season))
     )
-    # The tree has at most 2^max_depth leaves.
-    scored = model.tree.transform(features.select(key, "step", "scale", "features")).join(
-        F.broadcast(model.leaf_quantiles), "leaf"
+    empty = windows.filter(~usable).select(
+        key,
+        F.lit(None).cast("map<string,array<double>>").alias("quantiles"),
+        F.lit("context without any value").alias("error"),
     )
+    return steps, empty
+
+
+def forecast_records(scored: DataFrame, key: str, quantiles: Sequence[float]) -> DataFrame:
+    """One record per item from its steps' scaled ``levels``, one level per quantile."""
     paths = scored.groupBy(key).agg(
         *[
             ordered_values(F.col("step"), F.col("levels")[i] * F.col("scale")).alias(f"_q{i}")
-            for i in range(len(model.quantiles))
+            for i in range(len(quantiles))
         ]
     )
-    pairs = [x for i, q in enumerate(model.quantiles) for x in (F.lit(str(q)), F.col(f"_q{i}"))]
-    good = paths.select(
+    pairs = [x for i, q in enumerate(quantiles) for x in (F.lit(str(q)), F.col(f"_q{i}"))]
+    return paths.select(
         key, F.create_map(*pairs).alias("quantiles"), F.lit(None).cast("string").alias("error")
     )
-    empty = windows.filter(~usable).select(
-        key,
-        F.lit(None).cast("map<string,array<double>>").alias("quantiles"),
-        F.lit("context without any value").alias("error"),
-    )
-    return good.unionByName(empty)
 
 
 def with_global_path(

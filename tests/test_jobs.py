@@ -250,6 +250,7 @@ def test_queries_without_sql_return_rows(spark, sf_dir):
         "job_auto_forecast_global",
         "param_search",
         "quantile_forecast_metrics",
+        "quantile_forest_coverage",
     }
 
 
