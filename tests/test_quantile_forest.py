@@ -142,7 +142,7 @@ def test_no_later_value_enters_a_training_row(spark):
 def test_forest_forecasts_tell_items_apart(spark):
     # Contexts of zeros look alike; only the item's level knows how much comes on its rare days.
     rows = spark.range(6).selectExpr("concat('i', id) AS item", "id", "explode(sequence(0, 299)) AS d")
-    rows = rows.selectExpr("item", "timestamp_add(DAY, d, timestamp'2023-01-01') AS ts", "IF(pmod(xxhash64(id, d), 4) = 0, 10.0D * (id + 1), 1.0D) AS units")
+    rows = rows.selectExpr("item", "CAST(timestamp'2023-01-01' + make_dt_interval(d) AS timestamp) AS ts", "IF(pmod(xxhash64(item, d), 4) = 0, 10.0D * (CAST(substr(item, 2) AS INT) + 1), 1.0D) AS units")
     packed = pack_series(rows.filter("ts < timestamp'2023-10-14'"), "item", "ts", "units")
     model = fit_forest_forecaster(packed, "item", context=14, horizon=14, stride=3, trees=5)
     none = spark.createDataFrame([("none", [None] * 20)], "item string, target array<double>").select("item", F.to_timestamp(F.lit("2023-01-01")).alias("start"), "target")
