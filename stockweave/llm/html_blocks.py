@@ -47,13 +47,10 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+OPENING = re.compile(r"</?[a-zA-Z][a-zA-Z0-9:-]*")
+SPECIAL = re.compile(r"[>\"']")
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -70,7 +67,85 @@ SIDE_NAMES = (
 )
 
 
-def ends(tokens: list[re.Match]) -> dict[int, int]:
+class Token:
+    """A tag, or a comment or declaration (without name); a script or style is one token with its contents."""
+
+    __slots__ = ("parts", "first", "last")
+
+    def __init__(self, first: int, last: int, name: str = "", end: str = "", attributes: str = "", raw: str = ""):
+        self.first, self.last = first, last
+        self.parts = {"name": name, "end": end, "attributes": attributes, "raw": raw}
+
+    def __getitem__(self, part: str) -> str:
+        return self.parts[part]
+
+    def start(self) -> int:
+        return self.first
+
+    def end(self) -> int:
+        return self.last
+
+
+def scan(page: str) -> list[Token]:
+    """All tokens of a page, in time that grows with its length alone.
+
+    A ``>`` inside a quoted value ends no tag. Where a quote never closes, so that no ``>`` would end the tag, quotes are
+    given up for this tag and it ends at its next ``>``. Once that has happened, places outside of quotes from which a
+    page's end was reached are kept, and no later tag follows them again. A ``<`` that no ``>`` follows is text.
+    """
+    out: list[Token] = []
+    at, last_close, lost, broken = 0, page.rfind(">"), set(), False
+
+    def closes(place: int) -> bool:
+        """Whether a ``>`` outside of quotes follows, with the places on the way kept if none does."""
+        seen = []
+        while (m := SPECIAL.search(page, place)) and m.start() not in lost:
+            if m[0] == ">":
+                return True
+            seen.append(m.start())
+            place = page.find(m[0], m.end()) + 1
+            if place == 0:
+                break
+        lost.update(seen)
+        return False
+
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = len(page) if end < 0 else end + 3
+            out.append(Token(at, end))
+            at = end
+            continue
+        if at > last_close:
+            break
+        if page[at + 1 : at + 2] in ("!", "?"):
+            end = page.find(">", at) + 1
+            out.append(Token(at, end))
+            at = end
+            continue
+        opening = OPENING.match(page, at)
+        if opening is None:
+            at += 1
+            continue
+        m = TAG.match(page, at) if not broken or closes(opening.end()) else None
+        if m is None:
+            if not broken:
+                broken = True
+                closes(opening.end())
+            end = page.find(">", opening.end()) + 1
+            closing, name, attributes = ("/" if page[at + 1] == "/" else ""), opening[0].lstrip("</"), page[opening.end() : end - 1]
+        else:
+            end, (closing, name, attributes) = m.end(), m.groups()
+        raw = name.lower() if not closing and name.lower() in RAW_END else ""
+        if raw:
+            shut = RAW_END[raw].search(page, end)
+            end = shut.end() if shut else len(page)
+        out.append(Token(at, end, name if not raw else "", closing, attributes, raw))
+        at = end
+    return out
+
+
+def ends(tokens: list[Token]) -> dict[int, int]:
     """Token of each hidden element that has an end tag → token of that end tag; the innermost open one of a name ends."""
     opened: dict[str, list[int]] = {}
     out = {}
@@ -111,7 +186,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         unseen = unseen and any(s[0] in HIDDEN for s in stack)
         in_head = in_head and any(s[0] == "head" for s in stack)
 
-    tokens = list(TOKEN.finditer(page))
+    tokens = scan(page)
     closed = ends(tokens)
     for k, m in enumerate(tokens):
         if k <= until:  # inside an element that is not shown, up to its end tag

@@ -1,7 +1,9 @@
 """Each operator against brute force, and the edge cases its docstring defines."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -45,6 +47,53 @@ def test_blocks_follow_tags():
     assert [t for _, t, _ in html_blocks.blocks("plain &lt;text")] == ["plain <text"]
 
 
+def test_broken_tags_leave_no_markup():
+    texts = lambda page: [t for _, t, _ in html_blocks.blocks(page)]
+    assert texts('<article><p title="oops>text of it</p><p>more</p></article>') == ["text of it", "more"]
+    assert texts("<p class='a>b' id=\"x>y\">one</p><p data-x='>two</p><p>three</p>") == ["one", "two", "three"]
+    assert texts('<p title="oops>a</p><p class="b">c</p>') == ["a", "c"] or texts('<p title="oops>a</p><p class="b">c</p>') == ["c"]
+    assert texts("1 < 2 and x <y") == ["1 < 2 and x <y"]
+    assert texts("<p>a<!doctype x><?php b ?>c</p><!-- <p>no") == ["ac"]
+    assert texts("<p>a</p><script src='x>y'>no <p>no</p></script ><style>no") == ["a"]
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<a x='", "<a \"'", "<!", "<", "<p ", "<a \"b' c", "<a '><b \"", "<script ", "</", "<a x='>\"", "<!--", "<p title=\"oops>"])
+def test_a_megabyte_of_broken_tags_takes_little_time(piece):
+    for page in (piece * (1_000_000 // len(piece)), piece * (500_000 // len(piece)) + "<p>end</p>"):
+        begin = time.process_time()
+        html_blocks.scan(page)
+        assert time.process_time() - begin < 4
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_broken_tags_end_as_stated(seed):
+    """Against following every tag's quotes to the end of the page."""
+    draw = random.Random(seed)
+    for _ in range(400):
+        page = "".join(draw.choices(["<a", "<b ", '"', "'", ">", " x=", "t", "</a", "<!"], k=draw.randrange(25)))
+        want, at = [], 0
+        while (at := page.find("<", at)) >= 0:
+            m = re.match(r"</?[a-z]+", page[at:])
+            if m or page.startswith("<!", at):
+                quote, end = "", None
+                for k in range(at + (len(m[0]) if m else 0), len(page)):
+                    c = page[k]
+                    if quote:
+                        quote = "" if c == quote else quote
+                    elif c in "\"'" and m:
+                        quote = c
+                    elif c == ">":
+                        end = k + 1
+                        break
+                end = end or page.find(">", at) + 1
+                if end:
+                    want.append((at, end))
+                    at = end
+                    continue
+            at += 1
+        assert [(t.start(), t.end()) for t in html_blocks.scan(page)] == want, page
+
+
 @pytest.mark.parametrize("start", ["<head>", "<head><title>t</title><meta charset=x>", "<html><head><style>x</style><link rel=y><title>t</title>"])
 @pytest.mark.parametrize("body", ["<body><p>a</p><p>b</p></body>", "<p>a</p><p>b</p>", "</head><body><p>a<p>b", "<div><span>a</span></div><p>b"])
 def test_head_ends_at_the_body(start, body):
