@@ -29,6 +29,7 @@ from stockweave.operators.quantile_forest import (
 )
 from stockweave.operators.registry import top_model
 from stockweave.operators.series import regularize, to_bins
+from stockweave.operators.states import GRID, fitted_states, states_path
 from stockweave.session import materialize
 
 from .common import HOLDOUT, SUPPLY, day, grid_sql, line_sql, query, r6, supply, table
@@ -328,3 +329,43 @@ def forest_coverage(spark, sf_dir):
         row = row.withColumn("quantile", F.lit(float(q)))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+_GRID = ", ".join(f"({i}, {a}, {b}, {g})" for i, (a, b, g) in enumerate(GRID))
+
+
+@query(
+    "states_forecast",
+    f"""WITH RECURSIVE {_SERIES},
+packed AS MATERIALIZED (SELECT item, max(d) AS last, list(v ORDER BY pos) AS y FROM train GROUP BY item),
+grid_of AS (SELECT i AS g, a::DOUBLE AS a, b::DOUBLE AS b, c::DOUBLE AS c FROM (VALUES {_GRID}) x(i, a, b, c)),
+folds AS (
+  SELECT item, g, a, b, c, 0 AS i, CAST(NULL AS DOUBLE) AS l, 0::DOUBLE AS t, [0, 0, 0, 0, 0, 0, 0]::DOUBLE[] AS s, 0::DOUBLE AS q, 0 AS n
+  FROM packed, grid_of
+  UNION ALL
+  SELECT item, g, a, b, c, i + 1, CASE WHEN l IS NULL THEN x WHEN e IS NULL THEN l + t ELSE l + t + a * e END,
+         CASE WHEN e IS NULL THEN t ELSE t + b * e END, list_append(s[2:], CASE WHEN e IS NULL THEN s[1] ELSE s[1] + c * e END),
+         q + coalesce(e * e, 0), n + CASE WHEN e IS NULL THEN 0 ELSE 1 END
+  FROM (SELECT f.*, y[i + 1] AS x, y[i + 1] - (l + t + s[1]) AS e FROM folds f JOIN packed USING (item) WHERE i < len(y))
+),
+best AS (
+  SELECT f.*, last, row_number() OVER (PARTITION BY item ORDER BY n = 0, q / nullif(n, 0), g) AS place
+  FROM folds f JOIN packed USING (item) WHERE i = len(y)
+)
+SELECT item, step, CAST(last + step AS DATE) AS d, a AS alpha, b AS beta, c AS gamma, round(l + step * t + s[(step - 1) % 7 + 1], 6) AS prediction
+FROM best, steps WHERE place = 1 AND l IS NOT NULL""",
+)
+def states(spark, sf_dir):
+    """Level, trend and season of each supplier, folded in order under every setting of the grid."""
+    packed, _ = _packed_train(spark, sf_dir)
+    fitted = fitted_states(packed, "item").join(packed.select("item", "start", F.size("target").alias("n")), "item")
+    out = fitted.select("item", "start", "n", "alpha", "beta", "gamma", F.posexplode(states_path(HORIZON)).alias("i", "p"))
+    return out.select(
+        "item",
+        (F.col("i") + 1).alias("step"),
+        F.to_date(F.timestamp_add("DAY", F.col("n") + F.col("i"), F.col("start"))).alias("d"),
+        "alpha",
+        "beta",
+        "gamma",
+        F.round("p", 6).alias("prediction"),
+    )

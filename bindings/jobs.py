@@ -439,14 +439,14 @@ GROUP BY 1""",
 )
 def auto(spark, sf_dir):
     """The statistical candidates, whose scores SQL can state."""
-    cfg = AutoForecastConfig(cutoff="2000-12-31", global_model=False)
+    cfg = AutoForecastConfig(cutoff="2000-12-31", global_model=False, states=False)
     rows = _retail(spark, sf_dir).select("item", "ts", "units")
     return rounded(run_auto_forecast(rows, cfg, "models/auto", CREATED).scores)
 
 
 @query("job_auto_forecast_global")
 def auto_global(spark, sf_dir):
-    """The same with the fitted model over all items as a fourth candidate."""
+    """The same with the fitted states of each item and the model over all items as further candidates."""
     cfg = AutoForecastConfig(cutoff="2000-12-31")
     rows = _retail(spark, sf_dir).select("item", "ts", "units")
     return rounded(run_auto_forecast(rows, cfg, "models/auto", CREATED).scores)
