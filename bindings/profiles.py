@@ -2,7 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from stockweave.operators.profile import column_profile, data_check, distribution_distance
+from stockweave.operators.profile import (
+    category_distance,
+    category_profile,
+    column_profile,
+    data_check,
+    distribution_distance,
+)
 
 from .common import query, r6, table
 
@@ -139,3 +145,58 @@ def distance(spark, sf_dir):
     baseline = column_profile(_orders(spark, sf_dir, old=True).select(*columns), exact=True)
     out = distribution_distance(_orders(spark, sf_dir, old=False).select(*columns), baseline)
     return out.select("column", r6("distance").alias("distance"))
+
+
+_TEXTS = {"o_orderpriority": "o_orderpriority", "o_orderstatus": "o_orderstatus", "o_day": "CAST(o_orderdate AS DATE)", "large": "o_totalprice > 150000"}
+_TOP = 3
+
+
+def _listed_sql(name: str, x: str) -> str:
+    return f"""
+SELECT '{name}' AS "column", value, n, n::DOUBLE / sum(n) OVER () AS share
+FROM (SELECT CASE WHEN place <= {_TOP} THEN v END AS value, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT *, row_number() OVER (ORDER BY n DESC, v) AS place FROM (SELECT CAST({x} AS VARCHAR) AS v, count(*) AS n FROM {{rows}} WHERE {x} IS NOT NULL GROUP BY 1)
+) GROUP BY 1)"""
+
+
+def _texts(spark, sf_dir, old=None):
+    orders = table(spark, sf_dir, "orders")
+    if old is not None:
+        before = F.col("o_orderdate") < F.lit(_CUT).cast("timestamp_ntz")
+        orders = orders.filter(before if old else ~before)
+    return orders.select("o_orderpriority", "o_orderstatus", F.to_date("o_orderdate").alias("o_day"), (F.col("o_totalprice") > 150000).alias("large"))
+
+
+# A column of few values has an empty rest, which grouping does not show.
+@query(
+    "category_profile",
+    "SELECT \"column\", value, n, round(share, 9) AS share FROM ("
+    + " UNION ALL ".join(_listed_sql(*x).format(rows="orders") for x in _TEXTS.items())
+    + ") WHERE n > 0",
+)
+def category(spark, sf_dir):
+    out = category_profile(_texts(spark, sf_dir), top=_TOP).filter("n > 0")
+    return out.select("column", "value", "n", F.round("share", 9).alias("share"))
+
+
+def _category_distance_sql(name: str, x: str) -> str:
+    return f"""
+SELECT '{name}' AS "column", round(max(abs(coalesce(a.share, 0) - coalesce(b.share, 0))), 9) AS distance
+FROM (SELECT coalesce(value, '') AS value, share FROM ({_listed_sql(name, x).format(rows='old')})) a
+FULL JOIN (
+  SELECT CASE WHEN CAST({x} AS VARCHAR) IN (SELECT value FROM ({_listed_sql(name, x).format(rows='old')}) WHERE value IS NOT NULL) THEN CAST({x} AS VARCHAR) ELSE '' END AS value,
+         count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM new GROUP BY 1
+) b ON a.value = b.value"""
+
+
+@query(
+    "category_distance",
+    f"""WITH old AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{_CUT}'),
+new AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{_CUT}')
+"""
+    + " UNION ALL ".join(_category_distance_sql(*x) for x in _TEXTS.items()),
+)
+def category_drift(spark, sf_dir):
+    baseline = category_profile(_texts(spark, sf_dir, old=True), top=_TOP)
+    out = category_distance(_texts(spark, sf_dir, old=False), baseline)
+    return out.select("column", F.round("distance", 9).alias("distance"))
