@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from stockweave.operators.autoregression import autoregression
 from stockweave.operators.forecast import (
     auto_forecast,
     backtest_rows,
@@ -369,3 +370,42 @@ def states(spark, sf_dir):
         "gamma",
         F.round("p", 6).alias("prediction"),
     )
+
+
+def _determinant(rows):
+    """Text of a determinant by expansion along the first row."""
+    if len(rows) == 1:
+        return rows[0][0]
+    terms = [f"{'-' if j % 2 else '+'} {x} * ({_determinant([r[:j] + r[j + 1 :] for r in rows[1:]])})" for j, x in enumerate(rows[0])]
+    return " ".join(terms)
+
+
+def _normal_sql(inputs, y, rows):
+    """Normal equations with their ridge, solved by determinants: item and s0, s1, …"""
+    k = len(inputs)
+    known = " AND ".join(f"{x} IS NOT NULL" for x in [*inputs, y])
+    sums = [f"sum({a} * {b}) AS a{i}_{j}" for i, a in enumerate(inputs) for j, b in enumerate([*inputs, y]) if j >= i]
+    cell = lambda i, j: f"(a{i}_{i} + ridge)" if i == j else f"a{min(i, j)}_{max(i, j)}"
+    matrix = [[cell(i, j) for j in range(k)] for i in range(k)]
+    with_y = lambda c: [[f"a{i}_{k}" if j == c else x for j, x in enumerate(row)] for i, row in enumerate(matrix)]
+    ridge = " + ".join(f"a{i}_{i}" for i in range(k))
+    solutions = ", ".join(f"({_determinant(with_y(c))}) / ({_determinant(matrix)}) AS s{c}" for c in range(k))
+    return f"""SELECT item, {solutions} FROM (
+  SELECT *, ({ridge}) / {k} * 1e-6 AS ridge FROM (SELECT item, {', '.join(sums)} FROM {rows} WHERE {known} GROUP BY item))"""
+
+
+@query(
+    "autoregression",
+    f"""WITH {_SERIES},
+lagged AS (SELECT item, pos, v, 1.0::DOUBLE AS one, lag(v, 1) OVER w AS v1, lag(v, 7) OVER w AS v7 FROM train WINDOW w AS (PARTITION BY item ORDER BY pos)),
+first AS ({_normal_sql(['one', 'v1', 'v7'], 'v', 'lagged')}),
+errors AS (SELECT l.*, v - (s0 + s1 * v1 + s2 * v7) AS e FROM lagged l JOIN first USING (item)),
+rows2 AS (SELECT *, lag(e, 1) OVER (PARTITION BY item ORDER BY pos) AS e1 FROM errors),
+second AS ({_normal_sql(['one', 'v1', 'v7', 'e1'], 'v', 'rows2')})
+SELECT item, round(s0, 4) AS constant, round(s1, 5) AS lag_1, round(s2, 5) AS lag_7, round(s3, 5) AS error_1 FROM second""",
+)
+def lags(spark, sf_dir):
+    """Coefficients of each supplier's second stage."""
+    out = autoregression(held_out(spark, sf_dir), "item", "units")
+    c = lambda i, digits: F.round(F.get("coefficients", F.lit(i)), digits)
+    return out.select("item", c(0, 4).alias("constant"), c(1, 5).alias("lag_1"), c(2, 5).alias("lag_7"), c(3, 5).alias("error_1"))

@@ -70,6 +70,8 @@ class AutoForecastConfig:
     season: int = 7
     # Whether smoothing with level, trend and season, fitted per item, is a candidate.
     states: bool = True
+    # Whether the autoregression per item is one.
+    autoregression: bool = True
     # Whether the quantile model over all items is a candidate beside the statistical ones.
     global_model: bool = True
     metric: str = "wape"
