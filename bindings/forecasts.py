@@ -31,6 +31,7 @@ from stockweave.operators.quantile_forest import (
 from stockweave.operators.registry import top_model
 from stockweave.operators.series import regularize, to_bins
 from stockweave.operators.states import GRID, fitted_states, states_path
+from stockweave.operators.trend import fitted_trend, trend_path
 from stockweave.session import materialize
 
 from .common import HOLDOUT, SUPPLY, day, grid_sql, line_sql, query, r6, supply, table
@@ -409,3 +410,26 @@ def lags(spark, sf_dir):
     out = autoregression(held_out(spark, sf_dir), "item", "units")
     c = lambda i, digits: F.round(F.get("coefficients", F.lit(i)), digits)
     return out.select("item", c(0, 4).alias("constant"), c(1, 5).alias("lag_1"), c(2, 5).alias("lag_7"), c(3, 5).alias("error_1"))
+
+
+@query(
+    "trend_forecast",
+    f"""WITH {_SERIES},
+terms AS (
+  SELECT item, v, 1.0::DOUBLE AS one, pos / (cut - lo)::DOUBLE AS t, greatest(pos / (cut - lo)::DOUBLE - 0.4, 0) AS hinge,
+         sin(pos * (2 * pi() / 7)) AS wave, cos(pos * (2 * pi() / 7)) AS turn
+  FROM (SELECT tr.*, min(d) OVER (PARTITION BY item) AS lo FROM train tr)
+),
+solution AS ({_normal_sql(['one', 't', 'hinge', 'wave', 'turn'], 'v', 'terms')}),
+sizes AS (SELECT item, max(pos) + 1 AS n, count(v) AS known, max_by(v, pos) AS last FROM train GROUP BY item)
+SELECT item, step, round(CASE WHEN known >= 10 THEN
+  s0 + s1 * (n + step - 1) / n::DOUBLE + s2 * ((n + step - 1) / n::DOUBLE - 0.4) + s3 * sin((n + step - 1) * (2 * pi() / 7)) + s4 * cos((n + step - 1) * (2 * pi() / 7))
+  ELSE last END, 4) AS prediction
+FROM solution JOIN sizes USING (item), steps""",
+)
+def trend(spark, sf_dir):
+    """One change point and one wave a week, carried on behind the cut."""
+    fitted = fitted_trend(held_out(spark, sf_dir), "item", "units", points=1, order=1)
+    path = trend_path(HORIZON, points=1, order=1)
+    out = fitted.select("item", F.posexplode(path).alias("i", "p"))
+    return out.select("item", (F.col("i") + 1).alias("step"), F.round("p", 4).alias("prediction"))

@@ -439,7 +439,7 @@ GROUP BY 1""",
 )
 def auto(spark, sf_dir):
     """The statistical candidates, whose scores SQL can state."""
-    cfg = AutoForecastConfig(cutoff="2000-12-31", global_model=False, states=False, autoregression=False)
+    cfg = AutoForecastConfig(cutoff="2000-12-31", global_model=False, states=False, autoregression=False, trend=False)
     rows = _retail(spark, sf_dir).select("item", "ts", "units")
     return rounded(run_auto_forecast(rows, cfg, "models/auto", CREATED).scores)
 

@@ -72,6 +72,8 @@ class AutoForecastConfig:
     states: bool = True
     # Whether the autoregression per item is one.
     autoregression: bool = True
+    # Whether the piecewise trend with a Fourier season is one.
+    trend: bool = True
     # Whether the quantile model over all items is a candidate beside the statistical ones.
     global_model: bool = True
     metric: str = "wape"

@@ -15,7 +15,7 @@ from stockweave.operators.registry import approve_model, read_registry
 from stockweave.operators.metrics import regression_metrics
 from stockweave.operators.tabular import SEARCH_RANGES, score_projection, search
 from stockweave.operators.forecast import load_forecaster, score_forecaster
-from stockweave.plans.auto_forecast_job import AUTOREGRESSION, GLOBAL, STATES, publish_auto_forecast, run_auto_forecast, target_dataset
+from stockweave.plans.auto_forecast_job import AUTOREGRESSION, GLOBAL, STATES, TREND, publish_auto_forecast, run_auto_forecast, target_dataset
 from stockweave.plans.series_jobs import (
     SeriesDrift,
     approved_series,
@@ -205,7 +205,7 @@ def test_model_over_all_items_competes_and_is_saved(spark):
     cfg = AutoForecastConfig(cutoff="2024-02-05", rmse_gate=100.0)
     job = run_auto_forecast(rows, cfg, f"{root}/best", CREATED)
     scores = {r["model"]: r for r in job.scores.collect()}
-    assert set(scores) == {"seasonal_naive", "smoothing", "weighted_history", STATES, AUTOREGRESSION, GLOBAL}
+    assert set(scores) == {"seasonal_naive", "smoothing", "weighted_history", STATES, AUTOREGRESSION, TREND, GLOBAL}
     assert {r["item_count"] for r in scores.values()} == {6 * cfg.horizon}
     # The score is that of the paths beside the held-out bins.
     pairs = [
