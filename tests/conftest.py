@@ -28,3 +28,18 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def frame_of(spark, sf_dir):
+    """A registered query's frame, built once: the jobs among them train models while they are built."""
+    import __spark_entry__ as entry
+
+    queries, frames = entry.queries(), {}
+
+    def frame(name):
+        if name not in frames:
+            frames[name] = queries[name](spark, sf_dir)
+        return frames[name]
+
+    return frame

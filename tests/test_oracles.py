@@ -15,8 +15,8 @@ def con(sf_dir):
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query_equals_sql(spark, sf_dir, con, name):
-    frame = entry.queries()[name](spark, sf_dir)
+def test_query_equals_sql(frame_of, con, name):
+    frame = frame_of(name)
     want = con.sql(ORACLES[name])
     types = {f.name: SAME.get(f.dataType.simpleString()) for f in frame.schema}
     assert types == dict(zip(want.columns, map(str, want.types)))

@@ -5,7 +5,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from bindings import ORACLES
 from bindings.common import supply, visits
 from helpers import exchanges, plan_of
@@ -19,8 +18,8 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    plan = plan_of(entry.queries()[name](spark, sf_dir))
+def test_no_python_and_no_cross_join(frame_of, name):
+    plan = plan_of(frame_of(name))
     assert not [word for word in FORBIDDEN if word in plan]
     assert "BroadcastNestedLoopJoin" not in plan
 
