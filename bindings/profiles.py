@@ -9,6 +9,9 @@ from stockweave.operators.profile import (
     data_check,
     distribution_distance,
 )
+from stockweave.operators.profile_state import merge_states, profile_of, profile_state
+from stockweave.session import scratch_path
+from stockweave.sources.profiles import read_states, write_states
 
 from .common import query, r6, table
 
@@ -200,3 +203,43 @@ def category_drift(spark, sf_dir):
     baseline = category_profile(_texts(spark, sf_dir, old=True), top=_TOP)
     out = category_distance(_texts(spark, sf_dir, old=False), baseline)
     return out.select("column", F.round("distance", 9).alias("distance"))
+
+
+def _merged_sql(name: str, kind: str) -> str:
+    numeric = kind != "string"
+    x = f"CAST({name} AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"
+    near = "true" if numeric else "CAST(NULL AS BOOLEAN)"
+    return f"""
+SELECT '{name}' AS "column", '{kind}' AS data_type, count(*) AS n_rows, count({name}) AS n_present,
+       count({name})::DOUBLE / count(*) AS completeness, min({x}) AS min, max({x}) AS max, round(sum({x}), 2) AS sum,
+       round(avg({x}), 6) AS mean, round(stddev_pop({x}), 4) AS std, min({x}) >= 0 AS non_negative,
+       true AS distinct_near, {near} AS deciles_near
+FROM orders"""
+
+
+@query("profile_merged", " UNION ALL ".join(map(_merged_sql, _COLUMNS, _KINDS)))
+def merged(spark, sf_dir):
+    """States of each month's orders, stored by date and merged, against the profile of all rows."""
+    orders = table(spark, sf_dir, "orders").withColumn("run_date", F.trunc(F.to_date("o_orderdate"), "month"))
+    path = scratch_path(spark, "states")
+    write_states(profile_state(orders.select(*_COLUMNS, "run_date"), by=["run_date"]), path)
+    out = profile_of(merge_states(read_states(spark, path)))
+    exact = column_profile(_orders(spark, sf_dir), exact=True).select(
+        "column", F.col("n_distinct").alias("true_distinct"), F.col("deciles").alias("true_deciles")
+    )
+    gaps = F.zip_with("deciles", "true_deciles", lambda a, b: F.abs(a - b))
+    return out.join(exact, "column").select(
+        "column",
+        "data_type",
+        "n_rows",
+        "n_present",
+        "completeness",
+        "min",
+        "max",
+        F.round("sum", 2).alias("sum"),
+        r6("mean").alias("mean"),
+        F.round("std", 4).alias("std"),
+        "non_negative",
+        (F.abs(F.col("n_distinct") - F.col("true_distinct")) <= 0.08 * F.col("true_distinct")).alias("distinct_near"),
+        (F.array_max(gaps) <= 0.02 * (F.col("max") - F.col("min"))).alias("deciles_near"),
+    )
