@@ -4,21 +4,27 @@
 
 * text: hashed 1- to 3-grams of code points under one smoothed model per language, over the whole
   text; the mean per n-gram times at most ``TEXT_WEIGHT`` n-grams, because neighbours are dependent;
-* declared: the language named by markup (or a column), right with probability ``DECLARED_RIGHT``;
+* declared: the language named by markup, right with probability ``DECLARED_RIGHT``;
 * suffix: the language named by the address (two-letter path part or country suffix), likewise;
 * host: soft counts of the text model's posteriors, summed by grouped aggregation per host, shrunk
   towards the host's domain, which is shrunk towards all rows.
 
+A document takes the evidence of all its pages: their declarations and suffixes add up, their hosts' log priors
+are averaged. A document without page has its text and its source as host; the column that names its language
+trains the text models and is no evidence of the answer. Every language of that column is modelled, at
+``BUCKETS`` floats (0.26 MB) each.
+
 Cases: a missing declaration, suffix or host is no evidence (the prior of all rows remains); a text
 without letters gives no text evidence; such rows and rows whose best posterior is below
 ``min_confidence`` are rejected. Ties go to the language first in the model. Repeated rows get the
-same answer; an empty table gives an empty result. Columns of any other name are left as they are.
+same answer, repeated rows of a page count once, a page whose address names no document is left out; an empty
+table gives an empty result. Columns of any other name are left as they are.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +38,8 @@ SUFFIX_RIGHT = 0.8
 HOST_STRENGTH, DOMAIN_STRENGTH = 20.0, 50.0
 MIN_CONFIDENCE = 0.6
 TRAIN_ROWS = 400  # bound of the sample per language
-LANGUAGES = 200  # bound of the modelled languages, those with most rows
 ALPHABETIC = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+ANSWER = ("predicted_lang", "confidence", "accepted")
 SCHEMA = T.StructType([T.StructField("letters", T.LongType()), T.StructField("loglik", T.ArrayType(T.DoubleType()))])
 
 
@@ -57,26 +63,31 @@ def gram_ids(text: str) -> tuple[int, np.ndarray]:
 
 def train(texts: list[str], languages: list[str], known: list[str]) -> dict:
     """Smoothed log-probabilities of the buckets, one column per language."""
-    counts = np.full((BUCKETS, len(known)), 0.05)
-    for text, language in zip(texts, languages):
-        counts[:, known.index(language)] += np.bincount(gram_ids(text)[1], minlength=BUCKETS)
-    table = np.log(counts / counts.sum(axis=0)) if known else counts
-    return {"languages": known, "table": table.astype(np.float32)}
+    table = np.zeros((BUCKETS, len(known)), np.float32)
+    for i, name in enumerate(known):
+        counts = np.full(BUCKETS, 0.05)
+        for text, language in zip(texts, languages):
+            if language == name:
+                counts += np.bincount(gram_ids(text)[1], minlength=BUCKETS)
+        table[:, i] = np.log(counts / counts.sum())
+    return {"languages": known, "table": table}
 
 
 def fit(documents: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", language: str = "lang", key: str = "doc_id") -> dict:
-    """Models of all languages named in ``language``, from at most ``rows`` texts of each."""
+    """Models of all languages named in ``language``, from at most ``rows`` texts of each.
+
+    A cut on a hash of the id leaves about twice as many rows per language, of which the first in the hash's
+    order are taken before anything reaches the driver.
+    """
     given = documents.filter(F.col(language).isNotNull() & F.col(text).isNotNull())
-    counts = given.groupBy(language).count().orderBy(F.desc("count"), language).limit(LANGUAGES).collect()
-    known = {r[0]: r[1] for r in counts}
-    place = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1 << 30))
-    cut = F.lit(0)
-    for name, n in known.items():
-        cut = F.when(F.col(language) == name, min(1 << 30, 2 * rows * (1 << 30) // n)).otherwise(cut)
-    found = given.filter(place < cut).select(language, place.alias("_place"), text).collect()
-    found.sort(key=lambda r: (r["_place"], r[2]))
-    taken = {name: [r[2] for r in found if r[0] == name][:rows] for name in sorted(known)}
-    return train([t for x in taken.values() for t in x], [name for name, x in taken.items() for _ in x], sorted(known))
+    given = given.select(F.col(language).alias("_l"), F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1 << 30)).alias("_place"), F.col(text).alias("_t"))
+    counts = materialize(given.groupBy("_l").agg(F.count(F.lit(1)).alias("_n")))
+    cut = F.least(F.lit(1 << 30), F.floor(F.lit(2 * rows * (1 << 30)) / F.col("_n")))
+    near = given.join(counts, "_l").filter(F.col("_place") < cut)
+    place = F.row_number().over(Window.partitionBy("_l").orderBy("_place", "_t"))
+    found = near.withColumn("_r", place).filter(F.col("_r") <= rows).select("_l", "_t").collect()
+    known = sorted(r[0] for r in counts.select("_l").collect())
+    return train([r[1] for r in found], [r[0] for r in found], known)
 
 
 def scorer(model: dict):
@@ -100,19 +111,31 @@ def scorer(model: dict):
     return score
 
 
+def once(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def softmax(scores: Column) -> Column:
-    """Array of probabilities from an array of log scores."""
-    best = F.array_max(scores)
-    raised = F.transform(scores, lambda x: F.exp(x - best))
-    return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, b: a + b))
+    """Array of probabilities from an array of log scores, in time proportional to its length."""
+    shares = lambda raised: once(
+        F.aggregate(raised, F.lit(0.0), lambda a, b: a + b), lambda total: F.transform(raised, lambda x: x / total)
+    )
+    lifted = lambda s: once(F.array_max(s), lambda best: F.transform(s, lambda x: F.exp(x - best)))
+    return once(scores, lambda s: once(lifted(s), shares))
+
+
+def chances(languages: list[str], right: float) -> tuple[float, float]:
+    """Log-likelihood of a claim under the language it names and under any other."""
+    return float(np.log(right)), float(np.log((1 - right) / max(1, len(languages) - 1)))
 
 
 def claim(languages: list[str], named: Column, right: float) -> Column:
     """Log-likelihood of a claimed language under each language; an unknown claim is no evidence."""
-    wrong = (1 - right) / max(1, len(languages) - 1)
-    values = F.array(*[F.when(named == name, float(np.log(right))).otherwise(float(np.log(wrong))) for name in languages])
-    nothing = F.array(*[F.lit(0.0) for _ in languages])
-    return F.when(named.isin(languages), values).otherwise(nothing)
+    yes, no = chances(languages, right)
+    known = F.array(*[F.lit(x) for x in languages])
+    believed = F.transform(known, lambda name: F.when(named == name, yes).otherwise(no))
+    return F.when(F.array_contains(known, named), believed).otherwise(F.transform(known, lambda _: F.lit(0.0)))
 
 
 def added(*arrays: Column) -> Column:
@@ -122,28 +145,30 @@ def added(*arrays: Column) -> Column:
     return total
 
 
-def sums(p: Column, k: int) -> list[Column]:
-    return [F.sum(F.get(p, F.lit(i))).alias(f"_s{i}") for i in range(k)]
+def dense(value: str) -> Column:
+    """The values of one group ordered by language number ``_l``; every number occurs once."""
+    return F.transform(F.array_sort(F.collect_list(F.struct("_l", value))), lambda x: x[value])
 
 
 def host_priors(scored: DataFrame, k: int) -> DataFrame:
     """_host, _domain → log prior array. ``scored`` has _host, _domain and _p (text posterior).
 
-    Rows are summed per host before anything is shuffled; domains and the total are sums of hosts.
+    Rows are summed per (host, language) before anything is shuffled; domains and the total are sums of
+    hosts. Number ``k`` counts the rows.
     """
-    hosts = materialize(scored.groupBy("_host", "_domain").agg(F.count(F.lit(1)).alias("_n"), *sums(F.col("_p"), k)))
-    parts = [F.sum(f"_s{i}").alias(f"_t{i}") for i in range(k)]
-    whole = hosts.agg(F.sum("_n").alias("_tn"), *parts).first()
-    n = float(whole["_tn"] or 0)
-    base = [((whole[f"_t{i}"] or 0.0) + 1.0) / (n + k) for i in range(k)]
-    domains = hosts.groupBy("_domain").agg(F.sum("_n").alias("_tn"), *parts)
-    domains = domains.select(
-        "_domain",
-        *[((F.col(f"_t{i}") + DOMAIN_STRENGTH * base[i]) / (F.col("_tn") + DOMAIN_STRENGTH)).alias(f"_d{i}") for i in range(k)],
+    parts = scored.select("_host", "_domain", F.posexplode(F.concat("_p", F.array(F.lit(1.0)))).alias("_l", "_p"))
+    hosts = materialize(parts.groupBy("_host", "_domain", "_l").agg(F.sum("_p").alias("_s")))
+    # One number per language.
+    whole = {r["_l"]: r["_s"] for r in hosts.groupBy("_l").agg(F.sum("_s").alias("_s")).collect()}
+    base = F.array(*[F.lit((whole.get(i, 0.0) + 1.0) / (whole.get(k, 0.0) + k)) for i in range(k)])
+    domains = hosts.groupBy("_domain", "_l").agg(F.sum("_s").alias("_t")).groupBy("_domain").agg(dense("_t").alias("_t"))
+    shrink = lambda counts, towards, strength: F.zip_with(
+        F.slice(counts, 1, k), towards, lambda s, p: (s + strength * p) / (F.get(F.col(counts), F.lit(k)) + strength)
     )
-    at = hosts.join(domains, F.equal_null(hosts["_domain"], domains["_domain"])).drop(domains["_domain"])
-    prior = [(F.col(f"_s{i}") + HOST_STRENGTH * F.col(f"_d{i}")) / (F.col("_n") + HOST_STRENGTH) for i in range(k)]
-    return materialize(at.select("_host", "_domain", F.array(*[F.log(p) for p in prior]).alias("_prior")))
+    domains = domains.select("_domain", shrink("_t", base, DOMAIN_STRENGTH).alias("_d"))
+    at = hosts.groupBy("_host", "_domain").agg(dense("_s").alias("_s")).join(domains, "_domain")
+    prior = F.transform(shrink("_s", F.col("_d"), HOST_STRENGTH), lambda p: F.log(p))
+    return materialize(at.select("_host", "_domain", prior.alias("_prior")))
 
 
 def with_text_evidence(rows: DataFrame, model: dict, text: Column) -> DataFrame:
@@ -152,6 +177,18 @@ def with_text_evidence(rows: DataFrame, model: dict, text: Column) -> DataFrame:
     return rows.withColumn("_e", text_udf(SCHEMA, lambda: scorer(shared.value))(text))
 
 
+def answer(rows: DataFrame, languages: list[str], log_post: Column | None, keep: list[str], min_confidence: float) -> DataFrame:
+    """``keep`` with predicted_lang, confidence and accepted from the log posterior; without a language nothing is accepted."""
+    if log_post is None:
+        named = (F.lit(None).cast("string"), F.lit(0.0), F.lit(False))
+        return rows.select(*keep, *[c.alias(n) for c, n in zip(named, ANSWER)])
+    out = rows.withColumn("_post", softmax(log_post))
+    best = F.array_max("_post")
+    name = F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position("_post", best).cast("int"))
+    accepted = (F.col("_e.letters") > 0) & (best >= min_confidence)
+    return out.select(*keep, name.alias(ANSWER[0]), best.alias(ANSWER[1]), accepted.alias(ANSWER[2]))
+
+
 def fuse(
     scored: DataFrame,
     model: dict,
@@ -163,10 +200,10 @@ def fuse(
 ) -> DataFrame:
     """Posterior from _e and the other evidence; adds predicted_lang, confidence and accepted, drops _e."""
     languages = model["languages"]
-    k, names = len(languages), ("predicted_lang", "confidence", "accepted")
-    keep = [c for c in scored.columns if c not in (*names, "_e")]
+    k = len(languages)
+    keep = [c for c in scored.columns if c not in (*ANSWER, "_e")]
     if k == 0:
-        return scored.select(*keep, F.lit(None).cast("string").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(False).alias(names[2]))
+        return answer(scored, languages, None, keep, min_confidence)
     none = F.lit(None).cast("string")
     at = scored.withColumns(
         {
@@ -176,18 +213,17 @@ def fuse(
     )
     lettered = at.filter(F.col("_e.letters") > 0)
     priors = host_priors(lettered.select("_host", "_domain", softmax(F.col("_e.loglik")).alias("_p")), k)
-    nothing = F.array(*[F.lit(float(-np.log(k))) for _ in languages])
     log_post = added(
         F.col("_e.loglik"),
         claim(languages, declared if declared is not None else none, DECLARED_RIGHT),
         claim(languages, suffix if suffix is not None else none, SUFFIX_RIGHT),
-        F.coalesce("_prior", nothing),
+        F.coalesce("_prior", even(k)),
     )
-    out = at.join(priors, ["_host", "_domain"], "left").withColumn("_post", softmax(log_post))
-    best = F.array_max("_post")
-    name = F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position("_post", best).cast("int"))
-    accepted = (F.col("_e.letters") > 0) & (best >= min_confidence)
-    return out.select(*keep, name.alias(names[0]), best.alias(names[1]), accepted.alias(names[2]))
+    return answer(at.join(priors, ["_host", "_domain"], "left"), languages, log_post, keep, min_confidence)
+
+
+def even(k: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.lit(k)), lambda _: F.lit(float(-np.log(k))))
 
 
 def identify(rows: DataFrame, model: dict, text: Column, **evidence) -> DataFrame:
@@ -237,28 +273,73 @@ def identify_pages(pages: DataFrame, model: dict, url: str = "url", html: str =
     return identify(pages, model, page_text(F.col(html)), **page_evidence(pages, model["languages"], url, html), **options)
 
 
-def identify_documents(documents: DataFrame, model: dict, text: str = "text", lang: str = "lang", source: str = "source", **options) -> DataFrame:
-    """``identify`` for documents: the declared language is a column, the source stands for the host."""
-    return identify(documents, model, F.col(text), declared=F.lower(F.col(lang)), host=F.col(source), **options)
+def pages_of_documents(pages: DataFrame, languages: list[str], address_id: str = r"/(\d+)(?:[/.?#]|$)") -> DataFrame:
+    """_doc, _page, _declared, _suffix, _host, _domain of each page whose address names a document."""
+    seen = page_evidence(pages, languages)
+    named = F.regexp_extract("url", address_id, 1).try_cast("long").alias("_doc")
+    per = pages.select(named, F.col("page_id").alias("_page"), *[c.alias(f"_{k}") for k, c in seen.items()])
+    return per.filter("_doc is not null").distinct()
+
+
+def page_claims(seen: DataFrame, languages: list[str]) -> DataFrame:
+    """_doc → summed log-likelihoods of the declarations and suffixes of all its pages, under each language.
+
+    Equal claims of a document are counted before they are gathered, so a group holds at most two per language.
+    """
+    rights = {"_declared": chances(languages, DECLARED_RIGHT), "_suffix": chances(languages, SUFFIX_RIGHT)}
+    each = F.array(*[F.struct(F.col(c).alias("name"), F.lit(yes).alias("yes"), F.lit(no).alias("no")) for c, (yes, no) in rights.items()])
+    said = seen.select("_doc", F.inline(each)).filter(F.col("name").isin(languages))
+    votes = said.groupBy("_doc", "name", "yes", "no").agg(F.count(F.lit(1)).alias("n"))
+    gathered = votes.groupBy("_doc").agg(F.array_sort(F.collect_list(F.struct("name", "yes", "no", "n"))).alias("_votes"))
+    total = lambda name: F.aggregate(
+        "_votes", F.lit(0.0), lambda s, v: s + v["n"] * F.when(v["name"] == name, v["yes"]).otherwise(v["no"])
+    )
+    return gathered.select("_doc", F.transform(F.array(*[F.lit(x) for x in languages]), total).alias("_claims"))
+
+
+def fuse_documents(scored: DataFrame, seen: DataFrame, model: dict, key: str, source: str, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """``fuse`` for documents, with the evidence of all their pages (``seen``, of ``pages_of_documents``)."""
+    languages = model["languages"]
+    k = len(languages)
+    keep = [c for c in scored.columns if c not in (*ANSWER, "_e")]
+    if k == 0:
+        return answer(scored, languages, None, keep, min_confidence)
+    own = F.coalesce(F.col(source).cast("string"), F.lit(""))
+    links = materialize(seen.filter("_host is not null").select("_doc", F.col("_host").alias("_h"), F.col("_domain").alias("_g")).distinct())
+    lettered = scored.filter(F.col("_e.letters") > 0).select(F.col(key).alias("_id"), own.alias("_own"), softmax(F.col("_e.loglik")).alias("_p"))
+    counted = lettered.join(links, F.col("_id") == F.col("_doc"), "left").select(
+        F.coalesce("_h", "_own").alias("_host"), F.coalesce("_g", F.lit("")).alias("_domain"), "_p"
+    )
+    priors = host_priors(counted, k)
+    of_pages = links.join(priors, (F.col("_h") == F.col("_host")) & (F.col("_g") == F.col("_domain")))
+    means = of_pages.select("_doc", F.posexplode("_prior").alias("_l", "_q")).groupBy("_doc", "_l").agg(F.avg("_q").alias("_q"))
+    means = means.groupBy("_doc").agg(dense("_q").alias("_of_pages"))
+    known = materialize(means.join(page_claims(seen, languages), "_doc", "full").withColumn("_paged", F.col("_of_pages").isNotNull()))
+    sources = priors.filter("_domain = ''").select(F.col("_host").alias("_s"), "_prior")
+    out = scored.join(known, F.col(key) == F.col("_doc"), "left").join(sources, ~F.coalesce("_paged", F.lit(False)) & (own == F.col("_s")), "left")
+    log_post = added(
+        F.col("_e.loglik"),
+        F.coalesce("_claims", F.transform(even(k), lambda _: F.lit(0.0))),
+        F.coalesce("_of_pages", "_prior", even(k)),
+    )
+    return answer(out, languages, log_post, keep, min_confidence)
 
 
-def identify_with_pages(documents: DataFrame, pages: DataFrame, model: dict, address_id: str = r"/(\d+)(?:[/.?#]|$)") -> DataFrame:
-    """doc_id and the answer for documents some of which have a page, whose address names the document.
+def identify_documents(
+    documents: DataFrame, model: dict, pages: DataFrame | None = None, text: str = "text", source: str = "source", key: str = "doc_id", **options
+) -> DataFrame:
+    """``identify`` for documents; a page whose address names a document is evidence of it.
 
-    A page's markup, address and host are evidence of its document; a document without page has its own
-    language column and source instead. Texts are read once, and only their evidence is joined.
+    The text is read twice. The evidence by document joins the rows by broadcast while Spark finds it small, else by shuffle.
     """
+    scored = with_text_evidence(documents, model, F.col(text))
+    if pages is None:
+        return fuse(scored, model, host=F.col(source).cast("string"), **options)
+    return fuse_documents(scored, pages_of_documents(pages, model["languages"]), model, key, source, **options)
+
+
+def identify_with_pages(documents: DataFrame, pages: DataFrame, model: dict) -> DataFrame:
+    """doc_id, lang and the answer of ``identify_documents``. Texts are read once, and only their evidence is joined."""
     scored = materialize(with_text_evidence(documents.select("doc_id", "lang", "source", "text"), model, F.col("text")).drop("text"))
-    seen = page_evidence(pages, model["languages"])
-    named = F.regexp_extract("url", address_id, 1).try_cast("long").alias("_doc")
-    per = pages.select(named, "page_id", *[c.alias(f"_{k}") for k, c in seen.items()]).filter("_doc is not null")
-    first = per.groupBy("_doc").agg(*[F.min_by(f"_{k}", "page_id").alias(f"_p_{k}") for k in seen])
-    both = scored.join(first, scored["doc_id"] == first["_doc"], "left")
-    return fuse(
-        both,
-        model,
-        declared=F.coalesce("_p_declared", F.lower("lang")),
-        suffix=F.col("_p_suffix"),
-        host=F.coalesce("_p_host", "source"),
-        domain=F.col("_p_domain"),
-    ).select("doc_id", "lang", "predicted_lang", F.round("confidence", 6).alias("confidence"), "accepted")
+    found = fuse_documents(scored, pages_of_documents(pages, model["languages"]), model, "doc_id", "source")
+    return found.select("doc_id", "lang", "predicted_lang", F.round("confidence", 6).alias("confidence"), "accepted")

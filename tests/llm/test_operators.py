@@ -302,7 +302,8 @@ def test_text_alone_finds_held_out_languages(texts, documents):
 def test_posterior_equals_bayes_by_hand(spark):
     model = language.train(["aaa aab", "zzz zzy"], ["en", "fr"], ["en", "fr"])
     docs = spark.createDataFrame([(1, "zz", "en", "h"), (2, "aa", "fr", "h"), (3, "12", None, None)], "doc_id long, text string, lang string, source string")
-    got = {r["doc_id"]: r for r in language.identify_documents(docs, model).collect()}
+    found = language.identify(docs, model, F.col("text"), declared=F.col("lang"), host=F.col("source"))
+    got = {r["doc_id"]: r for r in found.collect()}
     like = {i: np.array(language.scorer(model)([t])["loglik"][0]) for i, t in ((1, "zz"), (2, "aa"))}
     soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
     s = sum(soft(v) for v in like.values())
@@ -314,6 +315,106 @@ def test_posterior_equals_bayes_by_hand(spark):
     assert got[3]["accepted"] is False
 
 
+def posteriors(model, docs, pages):
+    """Plain recomputation: doc row → (language, confidence), from (id, text, source) and (page id, id, declared, suffix, host)."""
+    names = model["languages"]
+    k = len(names)
+    soft = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    like = [np.array(language.scorer(model)([t or ""])["loglik"][0]) for _, t, _ in docs]
+    letters = [language.scorer(model)([t or ""])["letters"][0] for _, t, _ in docs]
+    domain = lambda h: ".".join(h.split(".")[-2:])
+    pages = sorted(set(pages), key=str)
+    hosts = [sorted({(h, domain(h)) for _, d, _, _, h in pages if d == i and h}) or [(s or "", "")] for i, _, s in docs]
+    n, sums = {}, {}
+    for at, value, count in zip(hosts, like, letters):
+        for h in at if count else ():
+            n[h] = n.get(h, 0) + 1
+            sums[h] = sums.get(h, np.zeros(k)) + soft(value)
+    total = sum(n.values())
+    base = (sum(sums.values(), np.zeros(k)) + 1) / (total + k)
+
+    def prior(h):
+        if h not in n:
+            return None
+        group = [x for x in n if x[1] == h[1]]
+        at = (sum(sums[x] for x in group) + language.DOMAIN_STRENGTH * base) / (sum(n[x] for x in group) + language.DOMAIN_STRENGTH)
+        return np.log((sums[h] + language.HOST_STRENGTH * at) / (n[h] + language.HOST_STRENGTH))
+
+    def says(name, right):
+        if name not in names:
+            return np.zeros(k)
+        return np.where(np.array(names) == name, np.log(right), np.log((1 - right) / (k - 1)))
+
+    out = []
+    for (i, _, s), at, value in zip(docs, hosts, like):
+        known = [p for p in map(prior, at) if p is not None] or [p for p in [prior((s or "", ""))] if p is not None]
+        log_post = value + (np.mean(known, axis=0) if known else -np.log(k))
+        for _, d, declared, suffix, _ in pages:
+            if d == i and i is not None:
+                log_post = log_post + says(declared, language.DECLARED_RIGHT) + says(suffix, language.SUFFIX_RIGHT)
+        p = soft(log_post)
+        out.append((names[int(np.argmax(p))], float(p.max())))
+    return out
+
+
+def test_documents_with_any_number_of_pages_equal_a_plain_recomputation(spark):
+    model = language.train(["aaa aab aba", "zzz zzy zyz", "mmm mnm nnm"], ["en", "fr", "de"], ["de", "en", "fr"])
+    rng = random.Random(5)
+    docs = [(i, rng.choice(["a", "z", "az", "am zz", "aab zzy mn", "12", "", None, "mzz"]), rng.choice(["s1", "s2", None])) for i in range(60)]
+    docs += [docs[4], (None, "zz", "s1")]
+    pages = []
+    for j in range(90):
+        d = rng.randrange(80) if j % 3 else 7
+        pages.append((j, d, rng.choice(["en", "fr", "de", "xx", None]), rng.choice(["en", "de", None]), rng.choice(["a.x.org", "b.x.org", "c.y.org"])))
+    rows = [(p, f"https://{h}/{s}/{d}" if s else f"https://{h}/{d}", f"<html lang={c}>" if c else "<html>") for p, d, c, s, h in pages]
+    rows += [rows[0], (900, "https://a.x.org/none", "<html lang=fr>"), (901, None, None)]
+    html = spark.createDataFrame(rows, "page_id long, url string, html string")
+    frame = spark.createDataFrame([(i, t, s, "fr", 1) for i, t, s in docs], "doc_id long, text string, source string, lang string, _claims int")
+    got = language.identify_documents(frame.drop("_claims").repartition(5), model, html).collect()
+    want = {}
+    for (i, _, _), answer in zip(docs, posteriors(model, docs, pages)):
+        want[i] = answer
+    assert len(got) == len(docs)
+    for r in got:
+        name, confidence = want[r["doc_id"]]
+        assert r["confidence"] == pytest.approx(confidence, abs=1e-9)
+        assert r["predicted_lang"] == name or confidence == pytest.approx(1 / 3, abs=0.2)
+    no_pages = language.identify_documents(frame.drop("_claims"), model, html.limit(0)).collect()
+    plain = language.identify_documents(frame.drop("_claims"), model).collect()
+    assert sorted(map(str, no_pages)) == sorted(map(str, plain))
+
+
+def test_the_language_column_is_no_evidence_of_itself(spark, documents):
+    model = language.fit(documents)
+    some = documents.limit(80)
+    answers = lambda df: sorted(map(str, language.identify_documents(df, model).drop("lang").collect()))
+    assert answers(some) == answers(some.withColumn("lang", F.lit("de")))
+
+
+def test_every_language_is_modelled(spark):
+    rng = random.Random(1)
+    words = {f"l{i:03d}": [chr(0x4E00 + 40 * i + rng.randrange(40)) * 2 + chr(0x4E00 + 40 * i + rng.randrange(40)) for _ in range(12)] for i in range(300)}
+    rows = [(10 * i + j, " ".join(rng.choices(w, k=15)), name, f"s{i % 3}", 1) for i, (name, w) in enumerate(words.items()) for j in range(6)]
+    docs = spark.createDataFrame(rows, DOCS)
+    held = F.pmod("doc_id", F.lit(10)) >= 4
+    model = language.fit(docs.filter(~held))
+    assert model["languages"] == sorted(words) and model["table"].dtype == np.float32
+    found = language.identify_documents(docs.filter(held), model).collect()
+    assert sum(r["predicted_lang"] == r["lang"] for r in found) / len(found) > 0.97
+
+
+def test_held_out_accuracy_by_kind_of_evidence(spark, sf_dir, documents):
+    """Models from half of the documents; the other half by its text alone, and with its pages."""
+    pages = common.read_table(spark, sf_dir, "pages")
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    model = language.fit(documents.filter(~held))
+    rows = documents.filter(held)
+    share = lambda df: df.agg(F.avg((F.col("lang") == F.col("predicted_lang")).cast("double"))).first()[0]
+    text = share(language.fuse(language.with_text_evidence(rows, model, F.col("text")), model))
+    every = share(language.identify_documents(rows, model, pages))
+    assert text > 0.9 and every >= text - 0.01
+
+
 def test_language_edges(spark, documents):
     model = language.fit(documents)
     out = language.identify_documents(docs_of(spark, EDGE).withColumn("accepted", F.lit(1)), model).collect()
