@@ -18,7 +18,7 @@ from stockweave.session import materialize, use_utc
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is accepted; a text without letters has none."""
-    found = language.identify_documents(docs, language.fit(docs))
+    found = language.identify_documents(docs, language.fit(docs), read_table(spark, sf_dir, "pages"))
     return found.filter("accepted").select(*docs.columns)
 
 
