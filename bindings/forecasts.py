@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from stockweave.operators.autoregression import autoregression
+from stockweave.operators.backtest import rolling_cuts, window_history, window_scores
 from stockweave.operators.forecast import (
     auto_forecast,
     backtest_rows,
@@ -97,8 +98,8 @@ _SCORES = (
 )
 
 
-def rounded(df):
-    return df.select("model", "item_count", *[r6(c).alias(c) for c in ("wape", "rmse", "mase", "mape")])
+def rounded(df, *also):
+    return df.select("model", *also, "item_count", *[r6(c).alias(c) for c in ("wape", "rmse", "mase", "mape")])
 
 
 @query(
@@ -169,6 +170,67 @@ def scale(spark, sf_dir):
     return seasonal_scale(train, "item", "units").select("item", r6("scale").alias("scale"))
 
 
+WINDOWS, STRIDE = 4, 14
+# Overlapping windows of 28 bins; each interpolates both sides of its own cut.
+_WINDOWS = f"""{grid_sql(SUPPLY, 'avg')},
+cuts AS (SELECT CAST(unnest(generate_series(0, {WINDOWS - 1})) AS INTEGER) AS w),
+sides AS (SELECT raw.*, w, hi - (27 + {STRIDE} * w) AS cut FROM raw, cuts WHERE hi - (27 + {STRIDE} * w) > lo),
+near AS (
+  SELECT *,
+    last_value(v IGNORE NULLS) OVER p AS pv, last_value(CASE WHEN v IS NOT NULL THEN d END IGNORE NULLS) OVER p AS pd,
+    first_value(v IGNORE NULLS) OVER n AS nv, first_value(CASE WHEN v IS NOT NULL THEN d END IGNORE NULLS) OVER n AS nd
+  FROM sides
+  WINDOW p AS (PARTITION BY item, w, d >= cut ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         n AS (PARTITION BY item, w, d >= cut ORDER BY d ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+),
+lined AS (
+  SELECT item, w, d, lo, cut, pos, CAST(cut - d - 1 AS INTEGER) AS age,
+    CASE WHEN v IS NOT NULL THEN v WHEN pv IS NULL THEN NULL WHEN nv IS NULL THEN pv ELSE (nv - pv) / (nd - pd) * (d - pd) + pv END AS v
+  FROM near WHERE d < cut + 28
+),
+train AS (SELECT * FROM lined WHERE d < cut),
+actual AS (SELECT item, w, v, CAST(d - cut + 1 AS INTEGER) AS step FROM lined WHERE d >= cut),
+steps AS (SELECT CAST(unnest(generate_series(1, 28)) AS INTEGER) AS step),
+weights AS (SELECT item, w, v, pos, exp(-age * 0.1::DOUBLE) AS x FROM train WHERE age < 28 AND v IS NOT NULL),
+cum AS (
+  SELECT *, sum(x) OVER (PARTITION BY item, w ORDER BY v, pos ROWS UNBOUNDED PRECEDING) AS c, sum(x) OVER (PARTITION BY item, w) AS t
+  FROM weights
+),
+forecasts AS (
+  SELECT 'seasonal_naive' AS model, t.item, t.w, s.step, t.v AS p FROM train t JOIN steps s ON t.age = 6 - (s.step - 1) % 7
+  WHERE t.cut - t.lo >= 7
+  UNION ALL SELECT 'weighted_history', item, w, step, p
+  FROM (SELECT item, w, min(v) AS p FROM cum WHERE c >= 0.5::DOUBLE * t GROUP BY 1, 2), steps
+  UNION ALL SELECT 'smoothing', item, w, step, p
+  FROM (SELECT item, w, sum(CASE WHEN pos = 0 THEN pow(0.7::DOUBLE, age) ELSE 0.3::DOUBLE * pow(0.7::DOUBLE, age) END * v) AS p
+        FROM train GROUP BY 1, 2), steps
+),
+scales AS (
+  SELECT item, w, avg(abs(v - l)) AS scale
+  FROM (SELECT item, w, v, lag(v, 7) OVER (PARTITION BY item, w ORDER BY d) AS l FROM train) GROUP BY 1, 2
+),
+scored AS (
+  SELECT f.model, f.w, a.v AS y, f.p, s.scale, count(f.p) OVER (PARTITION BY f.item, f.w, f.step) AS filled
+  FROM forecasts f JOIN actual a ON a.item = f.item AND a.w = f.w AND a.step = f.step
+  JOIN scales s ON s.item = f.item AND s.w = f.w
+)
+SELECT model, w AS "window", count(*) AS item_count, round(sum(abs(y - p)) / sum(abs(y)), 6) AS wape,
+       round(sqrt(avg((y - p) * (y - p))), 6) AS rmse, round(avg(abs(y - p) / scale), 6) AS mase,
+       round(avg(CASE WHEN y <> 0 THEN abs((y - p) / y) END), 6) AS mape
+FROM scored WHERE filled = 3 AND y IS NOT NULL GROUP BY GROUPING SETS ((model, w), (model))"""
+
+
+@query("backtest_windows", f"WITH {_WINDOWS}")
+def backtest_windows(spark, sf_dir):
+    """Scores of each candidate per window, and over all windows (window null)."""
+    bins = to_bins(supply(spark, sf_dir), "item", "ts", {"units": "mean"})
+    regular = regularize(bins, "item", {"units": "linear"}, cut=rolling_cuts(WINDOWS, HORIZON, STRIDE))
+    hist = materialize(window_history(regular, "item", "ts", "units", WINDOWS))
+    total, per_window = window_scores(hist, "item", candidates(HORIZON))
+    total = total.withColumn("window", F.lit(None).cast("int"))
+    return rounded(total.unionByName(per_window), "window")
+
+
 @query("auto_forecast", f"WITH {_ALL} SELECT model, item_count, {_SCORES} FROM scores")
 def auto(spark, sf_dir):
     scores, _ = auto_forecast(supplier_history(spark, sf_dir), "item", candidates(HORIZON))

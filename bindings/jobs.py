@@ -452,6 +452,14 @@ def auto_global(spark, sf_dir):
     return rounded(run_auto_forecast(rows, cfg, "models/auto", CREATED).scores)
 
 
+@query("job_auto_forecast_windows")
+def auto_windows(spark, sf_dir):
+    """All candidates over three windows, scores per window; fitted anew before each window's cut."""
+    cfg = AutoForecastConfig(cutoff="2000-12-31", backtest_windows=3)
+    rows = _retail(spark, sf_dir).select("item", "ts", "units")
+    return rounded(run_auto_forecast(rows, cfg, "models/auto", CREATED).window_scores, "window")
+
+
 @query(
     "target_dataset",
     _JOB_SQL

@@ -76,5 +76,8 @@ class AutoForecastConfig:
     trend: bool = True
     # Whether the quantile model over all items is a candidate beside the statistical ones.
     global_model: bool = True
+    # Windows of the backtest, and the bins between their starts (the horizon unless given).
+    backtest_windows: int = 1
+    backtest_stride: int | None = None
     metric: str = "wape"
     rmse_gate: float = 30.0

@@ -28,15 +28,16 @@ def _is_train() -> Column:
     return F.col("pos") < F.col("cut_pos")
 
 
-def smoothing_level(value: Column, alpha: float) -> Column:
+def smoothing_level(value: Column, alpha: float, cut: Column | None = None) -> Column:
     """Aggregate: exponential smoothing level after the last training bin.
 
     The recursion starts at the first bin with a value. It is a weighted sum, so it
     needs no order and combines map-side: every value weighs alpha * decay, the first
     one the rest of its decay as well.
     """
-    known = _is_train() & value.isNotNull()
-    decay = lambda pos: F.pow(F.lit(1.0 - alpha), F.col("cut_pos") - 1 - pos)
+    cut = F.col("cut_pos") if cut is None else cut
+    known = (F.col("pos") < cut) & value.isNotNull()
+    decay = lambda pos: F.pow(F.lit(1.0 - alpha), cut - 1 - pos)
     all_values = F.sum(F.when(known, F.lit(alpha) * decay(F.col("pos")) * value))
     first_value = F.min_by(F.when(known, decay(F.col("pos")) * value), F.when(known, F.col("pos")))
     return all_values + F.lit(1.0 - alpha) * first_value
@@ -58,27 +59,31 @@ def history(
     partitioned by item, so the lag and this grouping add no shuffle, and the
     arrays are bounded by the context and the horizon.
     """
-    v = F.col(value)
-    earlier = F.lag(value, season).over(Window.partitionBy(key).orderBy("pos"))
-    in_context = _is_train() & (F.col("pos") >= F.col("cut_pos") - context)
-    in_horizon = ~_is_train() & (F.col("pos") < F.col("cut_pos") + horizon)
+    rows = regular.withColumn("_earlier", F.lag(value, season).over(Window.partitionBy(key).orderBy("pos")))
+    state = item_state(F.col(value), F.col("_earlier"), F.col("cut_pos"), ts, context, horizon, alpha)
+    return rows.groupBy(key).agg(*[c.alias(name) for name, c in state.items()])
+
+
+def item_state(
+    value: Column, earlier: Column, cut: Column, ts: str, context: int, horizon: int, alpha: float
+) -> dict[str, Column]:
+    """Aggregates per item for one cut; ``earlier`` is the value one season before."""
+    train = F.col("pos") < cut
+    in_context = train & (F.col("pos") >= cut - context)
+    in_horizon = ~train & (F.col("pos") < cut + horizon)
     # collect_list skips nulls, so rows outside a part leave no entry.
-    slot = F.struct(F.col("pos").alias("p"), v.alias("v"))
+    slot = F.struct(F.col("pos").alias("p"), value.alias("v"))
     values = lambda keep: F.transform(
         F.array_sort(F.collect_list(F.when(keep, slot))), lambda x: x["v"]
     )
-    return (
-        regular.withColumn("_d", F.when(_is_train(), F.abs(v - earlier)))
-        .groupBy(key)
-        .agg(
-            F.min(F.when(~_is_train(), F.col(ts))).alias("forecast_start"),
-            F.greatest(F.max("cut_pos"), F.lit(0)).alias("n_train"),
-            values(in_context).alias("context"),
-            values(in_horizon).alias("actual"),
-            smoothing_level(v, alpha).alias("level"),
-            F.avg("_d").alias("scale"),
-        )
-    )
+    return {
+        "forecast_start": F.min(F.when(~train, F.col(ts))),
+        "n_train": F.greatest(F.max(cut), F.lit(0)),
+        "context": values(in_context),
+        "actual": values(in_horizon),
+        "level": smoothing_level(value, alpha, cut),
+        "scale": F.avg(F.when(train, F.abs(value - earlier))),
+    }
 
 
 def _flat(value: Column, horizon: int) -> Column:
@@ -161,11 +166,14 @@ def forecast_rows(
     )
 
 
-def backtest_rows(hist: DataFrame, key: str, models: Mapping[str, Column]) -> DataFrame:
+def backtest_rows(hist: DataFrame, key: str | Sequence[str], models: Mapping[str, Column]) -> DataFrame:
     """Each candidate's path beside the held-out actuals, one row per item, model and step.
 
+    ``key`` names the columns of one backtest: the item, or the item and its window.
+
     A step that some candidate leaves open is open for all of them, so their scores cover the same rows.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     names = {name: f"_path{i}" for i, name in enumerate(models)}
 
     def shared(own: str) -> Column:
@@ -176,10 +184,10 @@ def backtest_rows(hist: DataFrame, key: str, models: Mapping[str, Column]) -> Da
         *[F.struct(F.lit(name).alias("model"), shared(c).alias("path")) for name, c in names.items()]
     )
     return (
-        hist.select(key, "actual", "scale", *[path.alias(names[name]) for name, path in models.items()])
-        .select(key, "actual", "scale", F.inline(paths).alias("model", "path"))
+        hist.select(*keys, "actual", "scale", *[path.alias(names[name]) for name, path in models.items()])
+        .select(*keys, "actual", "scale", F.inline(paths).alias("model", "path"))
         .select(
-            key,
+            *keys,
             "scale",
             "model",
             F.explode(
@@ -187,7 +195,7 @@ def backtest_rows(hist: DataFrame, key: str, models: Mapping[str, Column]) -> Da
             ).alias("_r"),
         )
         .select(
-            key,
+            *keys,
             "model",
             "scale",
             F.col("_r.actual").alias("target"),

@@ -111,15 +111,16 @@ def _neighbours_chunked(bins: DataFrame, key: str, linear: list[str], chunk: int
     return bins.join(carry, [key, "_chunk"]).withColumns(columns)
 
 
-def _on_line(name: str, after_cut: Column | None) -> Column:
+def _on_line(name: str, cut: Column | None) -> Column:
     """Linear value of a bin between its anchors.
 
     No anchor before: null. None after: the last value repeats. With a cut,
     anchors on the other side of it do not exist for this bin.
     """
-    prev, nxt, cut = F.col(f"_p_{name}"), F.col(f"_n_{name}"), F.col("_cut")
+    prev, nxt = F.col(f"_p_{name}"), F.col(f"_n_{name}")
     has_prev, has_next = prev.isNotNull(), nxt.isNotNull()
-    if after_cut is not None:
+    if cut is not None:
+        after_cut = F.col("_bin") >= cut
         has_prev = has_prev & (~after_cut | (prev["bin"] >= cut))
         has_next = has_next & (after_cut | (nxt["bin"] < cut))
     slope = (nxt["v"] - prev["v"]) / (nxt["bin"] - prev["bin"])
@@ -136,7 +137,7 @@ def regularize(
     freq: str = "D",
     ts: str = "ts",
     min_bins: int = 0,
-    cut: Callable[[Column, Column], Column] | None = None,
+    cut: Callable[[Column, Column], Column | list[Column]] | None = None,
     chunk_bins: int | None = None,
 ) -> DataFrame:
     """Gap-free grid from the output of ``to_bins``.
@@ -146,7 +147,9 @@ def regularize(
     and the rows between two observations appear only after the shuffle.
     ``min_bins`` drops short series before they are widened. ``cut`` is given the
     first and last bin number and returns the first held-out bin: both sides are
-    then interpolated on their own, and ``cut_pos`` is the cut as position.
+    then interpolated on their own, and ``cut_pos`` is the cut as position. It may
+    return a list of cuts: value columns and ``cut_pos`` are then arrays with one
+    entry per cut, the value as that cut alone would give it, on the same one grid.
     """
     linear = [c for c, how in fill.items() if how == "linear"]
     if chunk_bins is None and freq in SUB_DAILY_SECONDS:
@@ -157,30 +160,33 @@ def regularize(
         sparse = _neighbours(bins, key, linear)
     if min_bins:
         sparse = sparse.filter(F.col("_last") - F.col("_first") + 1 >= min_bins)
-    if cut is not None:
-        sparse = sparse.withColumn("_cut", cut(F.col("_first"), F.col("_last")).cast("bigint"))
+    given = cut(F.col("_first"), F.col("_last")) if cut is not None else None
+    several = isinstance(given, list)
+    listed = given if several else [c for c in (given,) if c is not None]
+    sparse = sparse.withColumns({f"_cut{i}": c.cast("bigint") for i, c in enumerate(listed)})
+    cuts = [F.col(f"_cut{i}") for i in range(len(listed))]
+    per_cut = lambda one: F.array(*map(one, cuts)) if several else one(cuts[0] if cuts else None)
 
     until = F.coalesce(F.col("_next") - 1, F.col("bin"))
     dense = sparse.withColumn("_bin", F.explode(F.sequence(F.col("bin"), until)))
-    after_cut = F.col("_bin") >= F.col("_cut") if cut is not None else None
     observed = F.col("_bin") == F.col("bin")
     columns = []
     for name, how in fill.items():
         if how == "linear":
-            value = _on_line(name, after_cut)
+            value = lambda c, name=name: _on_line(name, c)
         elif how == "zero":
-            value = F.when(observed, F.col(name)).otherwise(F.lit(0.0))
+            value = lambda _, name=name: F.when(observed, F.col(name)).otherwise(F.lit(0.0))
         elif how == "null":
-            value = F.when(observed, F.col(name))
+            value = lambda _, name=name: F.when(observed, F.col(name))
         else:
             raise ValueError(f"unknown fill {how!r}")
-        columns.append(value.alias(name))
+        columns.append(per_cut(value).alias(name))
     columns += [
         (F.col("_bin") - F.col("_first")).cast("int").alias("pos"),
         (F.col("_last") - F.col("_first") + 1).cast("int").alias("n_bins"),
     ]
-    if cut is not None:
-        columns.append((F.col("_cut") - F.col("_first")).cast("int").alias("cut_pos"))
+    if cuts:
+        columns.append(per_cut(lambda c: (c - F.col("_first")).cast("int")).alias("cut_pos"))
     return dense.select(key, bin_label(F.col("_bin"), freq).alias(ts), *columns)
 
 

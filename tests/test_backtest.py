@@ -1,0 +1,124 @@
+"""Several backtest windows: equal to one cut at a time, free of later values, one pass over the grid."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stockweave.config import AutoForecastConfig
+from stockweave.operators.backtest import auto_forecast_windows, rolling_cuts, window_history, window_scores, window_view
+from stockweave.operators.forecast import backtest_rows, candidates, history
+from stockweave.operators.metrics import forecast_metrics
+from stockweave.operators.series import regularize, to_bins
+from stockweave.plans.auto_forecast_job import run_auto_forecast
+
+BASE = dt.datetime(2024, 1, 1)
+HORIZON, STRIDE, WINDOWS = 5, 4, 3
+
+
+def observations(spark, change=None):
+    """Gappy series; item "short" has no bin before the cuts of the older windows, "one" a single bin."""
+    rng = random.Random(11)
+    rows = []
+    for item, days in (("a", 80), ("b", 40), ("short", 7), ("one", 1)):
+        for d in range(days):
+            v = float(rng.randint(1, 30))
+            if rng.random() < 0.6 or d in (0, days - 1):
+                rows.append((item, d, v))
+    if change is not None:
+        rows = [(item, d, v + 1000 if change(item, d) else v) for item, d, v in rows]
+    rows = [(item, BASE + dt.timedelta(days=d), v) for item, d, v in rows] + [("a", BASE + dt.timedelta(days=3), None), (None, BASE, 1.0)]
+    return spark.createDataFrame(rows, "item string, ts timestamp, units double")
+
+
+def grid(df, cut):
+    return regularize(to_bins(df, "item", "ts", {"units": "mean"}), "item", {"units": "linear"}, cut=cut)
+
+
+def windows_of(df):
+    return window_history(grid(df, rolling_cuts(WINDOWS, HORIZON, STRIDE)), "item", "ts", "units", WINDOWS, horizon=HORIZON)
+
+
+def by_key(rows, *keys):
+    return {tuple(r[k] for k in keys): r.asDict() for r in rows}
+
+
+def test_each_window_equals_its_own_single_cut(spark):
+    df = observations(spark)
+    several = grid(df, rolling_cuts(WINDOWS, HORIZON, STRIDE))
+    got = by_key(windows_of(df).collect(), "item", "window")
+    expected = {}
+    for i in range(WINDOWS):
+        alone = grid(df, lambda first, last, i=i: last - HORIZON + 1 - i * STRIDE)
+        view = window_view(several, i, ["units"])
+        assert sorted(view.select(alone.columns).collect()) == sorted(alone.collect())
+        for r in history(alone, "item", "ts", "units", horizon=HORIZON).collect():
+            if r["n_train"] > 0:
+                expected[r["item"], i] = r.asDict() | {"window": i}
+    assert got == expected
+    assert ("short", 0) in got and ("short", 1) not in got and ("one", 0) not in got
+
+
+def test_no_value_from_a_cut_on_enters_its_window(spark):
+    # Item a has bins 0 to 79; window 1 starts at bin 71.
+    before = by_key(windows_of(observations(spark)).collect(), "item", "window")
+    after = by_key(windows_of(observations(spark, lambda item, d: item == "a" and d >= 71)).collect(), "item", "window")
+    for name in ("context", "level", "scale", "n_train"):
+        for i in (1, 2):
+            assert before["a", i][name] == after["a", i][name]
+    assert before["a", 0]["level"] != after["a", 0]["level"]
+    assert before["a", 1]["actual"] != after["a", 1]["actual"]
+
+
+def test_scores_per_window_and_in_total(spark):
+    df = observations(spark)
+    hist = windows_of(df)
+    total, per_window, best = auto_forecast_windows(hist, "item", candidates(HORIZON))
+    parts = by_key(per_window.collect(), "model", "window")
+    whole = by_key(total.collect(), "model")
+    for i in range(WINDOWS):
+        alone = history(grid(df, lambda first, last, i=i: last - HORIZON + 1 - i * STRIDE), "item", "ts", "units", horizon=HORIZON)
+        scores = forecast_metrics(backtest_rows(alone.filter("n_train > 0"), "item", candidates(HORIZON)), by=["model"])
+        for r in scores.collect():
+            assert parts[r["model"], i]["item_count"] == r["item_count"]
+            assert parts[r["model"], i]["wape"] == pytest.approx(r["wape"], rel=1e-12)
+    for (model,), row in whole.items():
+        mine = [parts[model, i] for i in range(WINDOWS)]
+        n = sum(p["item_count"] for p in mine)
+        assert row["item_count"] == n
+        assert row["rmse"] ** 2 == pytest.approx(sum(p["rmse"] ** 2 * p["item_count"] for p in mine) / n, rel=1e-9)
+    assert best.first()["wape"] == min(r["wape"] for r in whole.values())
+
+
+def test_windows_add_no_shuffle_and_no_second_read(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_suppkey").alias("item"), F.col("l_shipdate").cast("timestamp").alias("ts"), F.col("l_quantity").alias("units")
+    )
+    one = history(grid(rows, lambda first, last: last - HORIZON + 1), "item", "ts", "units", horizon=HORIZON)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    several = plan(windows_of(rows))
+    assert several.count("Exchange hashpartitioning") == plan(one).count("Exchange hashpartitioning")
+    assert several.count("FileScan") == 1 and several.count("Generate explode") == 1
+
+
+def test_empty_table_and_wrong_settings(spark):
+    assert windows_of(observations(spark).limit(0)).count() == 0
+    for bad in ((0, 5, 1), (2, 0, 1), (2, 5, 0)):
+        with pytest.raises(ValueError):
+            rolling_cuts(*bad)
+
+
+def test_job_fits_each_window_before_its_own_cut(spark):
+    """All candidates, two windows: values from the older cut on change none of that window's paths."""
+    cfg = AutoForecastConfig(cutoff="2030-01-01", min_bins=30, horizon=HORIZON, context=14, backtest_windows=2, backtest_stride=STRIDE, rmse_gate=1e9)
+    paths = ["states_path", "autoregression_path", "trend_path", "global_path"]
+    before = run_auto_forecast(observations(spark), cfg, "m", "now")
+    changed = observations(spark, lambda item, d: d >= {"a": 71, "b": 31}.get(item, 99))
+    after = run_auto_forecast(changed, cfg, "m", "now")
+    old, new = (by_key(j.history.select("item", "window", *paths).collect(), "item", "window") for j in (before, after))
+    assert set(old) == {(item, i) for item in "ab" for i in (0, 1)}
+    assert all(old[item, 1] == new[item, 1] for item in "ab")
+    assert any(old[item, 0] != new[item, 0] for item in "ab")
+    scores = before.window_scores.collect()
+    assert {(r["model"], r["window"]) for r in scores} == {(r["model"], i) for r in before.scores.collect() for i in (0, 1)}
