@@ -10,8 +10,14 @@ overlapping bands of 2 * (e + 1) diagonals, one starting every e + 1; only bands
 are verified by a banded alignment of the segment with the region. q is ``Q``; short segments for which
 that bound is not positive have an index of their own with a smaller q.
 
-The benchmark's q-gram index is broadcast block by block, each of at most ``BLOCK_CHARS`` characters;
-a larger benchmark takes more passes, and no item is left out.
+The benchmark's q-gram index is broadcast block by block, each of at most ``BLOCK_CHARS`` characters, and no item is
+left out. A larger benchmark takes one written pass over the texts per block, whose broadcast ends with it; a pass
+writes only the matches of texts that have any, under the digest of the text.
+
+A text whose q-grams have more than ``HITS`` postings (one that repeats itself like some item) is searched in
+overlapping pieces of ``PIECE`` characters, equal pieces once, so memory and time stay bounded. Equal segments of
+several items are searched once. Matches of one item that overlap in the text, or lie within the segment's edit
+budget of each other, are one region; in a text that repeats itself its ends are exact to within a segment.
 
 Cases: null or empty texts match nothing; items shorter than Q match nothing, items shorter than
 SEGMENT + STEP are one segment; null or repeated items and repeated documents are fine; an empty benchmark or
@@ -20,12 +26,16 @@ an empty table gives no match; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import chain
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .common import text_udf
 
 Q = 8
@@ -34,6 +44,8 @@ STEP = SEGMENT // 2
 RATE = 0.1
 BLOCK_CHARS = 2_000_000  # bound of what one pass broadcasts, each character in up to three segments
 BITS = 22
+HITS = 1_000_000  # postings that one search of a whole text holds at most
+PIECE = 3 * 2 * SEGMENT
 MATCH = T.StructType(
     [
         T.StructField("item_id", T.LongType()),
@@ -100,8 +112,10 @@ def postings(q: int, numbers: np.ndarray, points: list[np.ndarray]) -> dict:
 
 def build_index(items: list[tuple[int, str]], rate: float = RATE) -> dict:
     """The segments of the items, and their postings by Q and, where its bound is not positive, by a smaller q."""
-    cut = segments(items)
-    points = [points_of(s) for _, _, s in cut]
+    owners: dict[str, list[tuple[int, int]]] = {}
+    for item, start, piece in segments(items):
+        owners.setdefault(piece, []).append((item, start))
+    points = [points_of(piece) for piece in owners]
     size = np.array([len(p) for p in points], np.int64)
     edits = (rate * size).astype(np.int64)
     # The largest q whose bound is positive; short segments share the smallest of theirs.
@@ -110,8 +124,7 @@ def build_index(items: list[tuple[int, str]], rate: float = RATE) -> dict:
     least = max(1, int(most[short].min())) if short.any() else Q
     q = np.where(short, least, Q)
     return {
-        "item": np.array([i for i, _, _ in cut], np.int64),
-        "start": np.array([a for _, a, _ in cut], np.int64),
+        "owners": list(owners.values()),
         "text": points,
         "size": size,
         "edits": edits,
@@ -144,19 +157,53 @@ def banded(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int
 
 
 def find(index: dict, text: str) -> list[tuple[int, int, int, int, int]]:
-    """Matches of one text: item, segment start, region start and end in the normalised text, edits."""
+    """Regions of one text: item, segment start, region start and end in the normalised text, fewest edits."""
     points = points_of(normal(text))
-    return sorted({m for part in index["parts"] for m in found_by(index, part, points)})
+    return merged({m for part in index["parts"] for m in found_by(index, part, points)}, index)
+
+
+def merged(matches: set[tuple[int, int, int, int]], index: dict) -> list[tuple[int, int, int, int, int]]:
+    """Matches of segments as regions of items; those with at most the segment's edit budget between them are one."""
+    named = ((i, b, e, a, n, int(index["edits"][s])) for s, b, e, n in matches for i, a in index["owners"][s])
+    out = []
+    for item, begin, end, start, edits, budget in sorted(named):
+        if out and out[-1][0] == item and begin <= out[-1][3] + budget:
+            _, first, low, high, few = out[-1]
+            out[-1] = (item, min(first, start), low, max(high, end), min(few, edits))
+        else:
+            out.append((item, start, begin, end, edits))
+    return out
 
 
-def found_by(index: dict, part: dict, points: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+def found_by(index: dict, part: dict, points: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(segment, region start, region end, edits) of one text, whole or in pieces."""
+    at, place = known_grams(part, points)
+    if part["count"][place].sum() <= HITS or len(points) <= PIECE:
+        return found_at(index, part, points, at, place)
+    # Every match lies whole in some piece.
+    step = PIECE - int((index["size"] + index["edits"]).max()) - Q
+    out, seen = [], {}
+    for begin in range(0, max(1, len(points) - PIECE + step), step):
+        piece = points[begin : begin + PIECE]
+        key = piece.tobytes()
+        if key not in seen:
+            seen[key] = found_at(index, part, piece, *known_grams(part, piece))
+        out += [(s, begin + a, begin + b, e) for s, a, b, e in seen[key]]
+    return out
+
+
+def known_grams(part: dict, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions whose q-gram occurs in the index, and its number there."""
     codes = gram_codes(points, part["q"])
     at = np.flatnonzero(part["bitmap"][codes >> np.uint64(64 - BITS)])
     if len(at) == 0 or len(part["unique"]) == 0:
-        return []
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     place = np.minimum(np.searchsorted(part["unique"], codes[at]), len(part["unique"]) - 1)
     real = part["unique"][place] == codes[at]
-    at, place = at[real], place[real]
+    return at[real], place[real]
+
+
+def found_at(index: dict, part: dict, points: np.ndarray, at: np.ndarray, place: np.ndarray) -> list[tuple[int, int, int, int]]:
     if len(at) == 0:
         return []
     n = part["count"][place]
@@ -187,8 +234,8 @@ def found_by(index: dict, part: dict, points: np.ndarray) -> list[tuple[int, int
         edits, stop = banded(index["text"][s], points[begin:end], e)
         if edits <= e:
             old = out.get((s, (begin + stop) // m))
-            if old is None or edits < old[4]:
-                out[s, (begin + stop) // m] = (int(index["item"][s]), int(index["start"][s]), max(begin, begin + stop - m), begin + stop, edits)
+            if old is None or edits < old[3]:
+                out[s, (begin + stop) // m] = (s, max(begin, begin + stop - m), begin + stop, edits)
     return list(out.values())
 
 
@@ -221,15 +268,29 @@ def finder(index: dict):
 
 def with_matches(documents: DataFrame, benchmark: DataFrame, text: str = "text", name: str = "matches", rate: float = RATE) -> DataFrame:
     """Adds the array column ``name`` of all matched regions (empty if none)."""
-    out, columns = documents, []
-    for n, block in enumerate(blocks(benchmark)):
-        shared = documents.sparkSession.sparkContext.broadcast(build_index(block, rate))
-        udf = text_udf(SCHEMA, lambda shared=shared: finder(shared.value))
-        columns.append(f"_matches{n}")
-        out = out.withColumn(columns[-1], udf(F.col(text))["matches"])
     empty = F.array().cast(T.ArrayType(MATCH))
-    found = F.concat(*[F.coalesce(c, empty) for c in columns]) if columns else empty
-    return out.withColumn(name, found).drop(*columns)
+    given = blocks(benchmark)
+    first, second = next(given, None), next(given, None)
+    if first is None:
+        return documents.withColumn(name, empty)
+    if second is None:
+        _, matches = block_matches(documents, first, text, rate)
+        return documents.withColumn(name, F.coalesce(matches, empty))
+    passes = []
+    for block in chain([first, second], given):
+        shared, matches = block_matches(documents, block, text, rate)
+        rows = documents.select(F.sha2(text, 256).alias("_digest"), matches.alias("_found")).filter(F.size("_found") > 0)
+        passes.append(materialize(rows.groupBy("_digest").agg(F.first("_found").alias("_found"))))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, passes).groupBy("_digest").agg(F.array_sort(F.flatten(F.collect_list("_found"))).alias("_found"))
+    joined = documents.alias("d").join(materialize(every).alias("m"), F.sha2(F.col(f"d.{text}"), 256) == F.col("m._digest"), "left")
+    return joined.select(*[F.col(f"d.`{c}`") for c in documents.columns if c != name], F.coalesce("m._found", empty).alias(name))
+
+
+def block_matches(documents: DataFrame, block: list[tuple[int, str]], text: str, rate: float):
+    """The broadcast index of one block, and the column of a text's regions in it."""
+    shared = documents.sparkSession.sparkContext.broadcast(build_index(block, rate))
+    return shared, text_udf(SCHEMA, lambda: finder(shared.value))(F.col(text))["matches"]
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

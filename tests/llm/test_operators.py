@@ -470,6 +470,46 @@ def test_repeated_ids_count_once_per_row(spark, case):
     assert got == brute_top(vectors)
 
 
+@pytest.mark.parametrize("size", [8388608.0, 8e9, 2.0**47])
+def test_large_components_are_exact(spark, size):
+    rng = np.random.default_rng(3)
+    vectors = [(i, [float(x) * size for x in rng.uniform(-1, 1, 6)]) for i in range(60)] + [(70, [size / 1.5] * 6), (71, [0.5] * 6), (72, [-0.25] * 6)]
+    vectors += [(100, [0.0] * 6), (150, [1.0, 0.0, 0.0, 0.0, 0.0, -1.0]), (200, [2.0**48] * 6), (250, [])]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    good = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in vectors if i != 200]
+    want = []
+    for x, q in good:
+        if x % 50 == 0:
+            hits = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != x and len(v) == len(q))[:5]
+            want += [(x, r, j, max(min(-s, 2**63 - 1), 1 - 2**63)) for r, (s, j) in enumerate(hits, 1)]
+    got = sorted(tuple(r) for r in vector_files.top_k(frame, lambda c: c % 50 == 0).collect())
+    assert got == sorted(want)
+
+
+def test_cells_bound_every_score_and_take_one_byte():
+    rng = np.random.default_rng(4)
+    for scale in (1, 300, 2**31, 2**55):
+        v = [np.floor(rng.uniform(-1, 1, 16) * scale).astype(np.int64) for _ in range(50)]
+        frame = pd.DataFrame({"_u": range(50), "_v": v, "_only": 0, "_only_set": False})
+        (file,) = vector_files.cells(iter([frame]))
+        assert {len(c) for c in file["_c"]} == {16}
+        cell = np.array([np.frombuffer(c, np.uint8) for c in file["_c"]], float)
+        lower, upper = vector_files.bounded_scores(np.array(v[:9], float), file["_base"].to_numpy(), file["_shift"].to_numpy(), cell)
+        for i in range(9):
+            for j in range(50):
+                assert lower[i, j] <= sum(int(a) * int(b) for a, b in zip(v[i], v[j])) <= upper[i, j]
+
+
+def test_query_blocks_are_passes_with_the_same_answers(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = [(i, [float(x) for x in rng.normal(0, 0.3, 8)]) for i in range(400)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(vector_files, "QUERY_BYTES", 400)
+    monkeypatch.setattr(vector_files, "NUMBERS", 64)
+    got = sorted(tuple(r) for r in vector_files.top_k(frame, lambda c: c % 50 == 0).collect())
+    assert got == brute_top(vectors)
+
+
 def test_doubled_vectors_equal_sql(spark, sf_dir):
     import duckdb
 
@@ -640,6 +680,55 @@ def test_benchmark_edges(spark):
     assert sum(1 for _ in decontaminate.blocks(bench, chars=10)) == 3
 
 
+def test_one_quoted_passage_is_one_region():
+    item = "the quick onyx goblin jumps over a lazy dwarf while five wizards box quickly and judge my vow of sphinx"
+    index = decontaminate.build_index([(7, item), (8, item.upper()[:30] + "-" * 70)])
+    text = "before it " * 5 + item + " after it" * 5 + " " + item
+    begin, again = text.index(item), text.rindex(item)
+    assert decontaminate.find(index, text) == [(7, 0, begin, begin + len(item), 0), (7, 0, again, again + len(item), 0)]
+
+
+def test_repetitive_texts_are_found_in_bounded_time():
+    import time
+
+    items = [(i, decontaminate.normal(c * n)) for i, (c, n) in enumerate([("a", 60 + k) for k in range(200)] + [("spam ", 30), ("ab", 70)])]
+    index = decontaminate.build_index(items)
+    begin = time.time()
+    found = decontaminate.find(index, "a" * 100_000)
+    assert {m[0] for m in found} == set(range(200)) and len(found) == 200
+    # One alignment per segment length is kept, so the last one may end up to a segment early.
+    assert all(m[2] == 0 and 100_000 - 128 < m[3] <= 100_000 for m in found)
+    assert {m[0] for m in decontaminate.find(index, "x " * 300 + "spam " * 20_000)} == {200}
+    assert time.time() - begin < 60
+
+
+def test_pieces_find_what_the_whole_text_does(monkeypatch):
+    rng = np.random.default_rng(12)
+    words = ["alpha", "beta", "gamma", "delta", "kappa", "sigma", "omega"]
+    items = [(i, " ".join(rng.choice(words, 30))) for i in range(20)]
+    index = decontaminate.build_index(items)
+    texts = [" ".join(rng.choice(words, 150)) + " " + items[i][1][5:150] + " " + " ".join(rng.choice(words, 150)) for i in range(20)]
+    whole = [decontaminate.find(index, t) for t in texts]
+    assert all(i in {m[0] for m in found} for i, found in enumerate(whole))
+    monkeypatch.setattr(decontaminate, "HITS", 0)
+    for text, found in zip(texts, whole):
+        assert {m[0] for m in decontaminate.find(index, text)} == {m[0] for m in found}
+
+
+def test_blocks_are_passes_with_the_same_matches(spark, sf_dir, monkeypatch):
+    docs = common.read_table(spark, sf_dir, "documents").withColumn("_found", F.lit(1)).withColumn("_digest", F.lit("x"))
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")))
+    bench = common.read_table(spark, sf_dir, "benchmark")
+    rows = lambda: sorted(decontaminate.contamination(docs, bench).collect(), key=str)
+    kept = lambda: sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect())
+    one, left = rows(), kept()
+    total = bench.agg(F.sum(F.length("text"))).first()[0]
+    monkeypatch.setattr(decontaminate, "blocks", lambda b, blocks=decontaminate.blocks: blocks(b, chars=total // 2))
+    assert len(list(decontaminate.blocks(bench))) >= 2
+    assert rows() == one and kept() == left
+    assert any(r["contaminated"] for r in one) and len(one) == docs.count()
+
+
 # ------------------------------------------------------------ SQL
 
 
