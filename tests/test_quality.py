@@ -130,6 +130,13 @@ def test_failing_and_registering(spark):
     fail_on_violation(check_constraints(stats(spark, rmse=1.0), base))
 
 
+def test_registering_a_baseline_never_fails(spark):
+    bad = check_constraints(stats(spark, rmse=2.0), build_constraints(stats(spark, rmse=1.0)))
+    fail_on_violation(bad, registering=True)
+    with pytest.raises(ConstraintViolation):
+        fail_on_violation(bad, registering=False)
+
+
 @pytest.mark.parametrize("value, passed", [(8.0, True), (8.1, False), (float("nan"), False), (None, False)])
 def test_gate(spark, value, passed):
     df = spark.createDataFrame([(value,)], "rmse double")
