@@ -144,6 +144,36 @@ def test_saved_models_answer_alike(spark, rows):
     assert len(one) == test.count() and np.array_equal(one, two)
 
 
+def test_whole_trees_answer_alike():
+    draw = np.random.default_rng(8)
+    bins = draw.integers(0, 6, (3, 500)).astype("u1")
+    for inner in ([], [1], [1, 3, 6, 13], [1, 2, 5]):
+        tree = Tree.empty(4)
+        tree.feature[inner], tree.cut[inner] = draw.integers(0, 3, len(inner)), draw.integers(1, 4, len(inner))
+        tree.value[:] = draw.normal(size=len(tree.value))
+        assert np.array_equal(tree.whole().answers(bins), tree.value[tree.nodes(bins)])
+
+
+def test_a_round_reads_margins_of_all_earlier_trees_and_leaves_nothing_cached(spark, rows, monkeypatch):
+    train, persisted, seen = rows.filter("split = 'train'"), spark.sparkContext._jsc.getPersistentRDDs, []
+    before = persisted().size()
+    plain = boosting.grow_trees
+
+    def watched(state, *more):
+        u, m = (np.concatenate([np.frombuffer(r[c], kind) for r in state.select("u", "m0").collect()]) for c, kind in (("u", "<i8"), ("m0", "<f8")))
+        seen.append(pd.Series(m, u).groupby(level=0).first())
+        plain(state, *more)
+
+    monkeypatch.setattr(boosting, "grow_trees", watched)
+    monkeypatch.setattr(boosting, "KEPT_TREES", 2)
+    model = fit_boosted(train, TARGET, FEATURES, [TreeSettings(max_depth=3)], 4, "w")[0]
+    assert len(seen) == 4 and (seen[0] == model.base).all()
+    for earlier, later, tree in zip(seen, seen[1:], model.trees):
+        added = (later - earlier).to_numpy()
+        assert added.any() and np.abs(added[:, None] - tree.value[None]).min(axis=1).max() < 1e-6
+    assert persisted().size() == before
+
+
 def test_missing_values_and_unusable_rows(spark):
     data = [(None, 1.0, 1.0), (float("nan"), 1.0, 1.0), (1.0, 5.0, 1.0), (2.0, 9.0, 1.0), (2.0, None, 1.0), (2.0, 99.0, None), (2.0, 99.0, 0.0), (1.0, float("nan"), 1.0)] * 20
     df = spark.createDataFrame(data, "x double, y double, w double").withColumn("_y", F.lit("other")).withColumn("b0", F.lit("other"))
