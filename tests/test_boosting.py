@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bindings.models import FEATURES, TARGET, lines
-from stockweave.operators import bayes, boosting
+from stockweave.operators import bayes, boosting, tabular
 from stockweave.operators.boosting import Tree, TreeSettings, best_splits, column_cuts, fit_boosted, load_boosted
 from stockweave.session import scratch_path
 
@@ -200,6 +200,46 @@ def test_splits_of_several_nodes_at_once():
     assert Tree.empty(0).nodes(np.zeros((1, 2), int)).tolist() == [1, 1]
 
 
+# ------------------------------------------------------------ Spark's own trees
+
+
+def test_alike_rows_are_combined_before_the_rounds(spark, monkeypatch):
+    draw = np.random.default_rng(3)
+    data = pd.DataFrame({"a": draw.integers(0, 4, 400).astype(float), "b": draw.integers(0, 3, 400).astype(float), "w": draw.integers(0, 4, 400).astype(float)})
+    data["y"] = data["a"] * 5 + data["b"] ** 2 + draw.normal(0, 1, 400)
+    df = spark.createDataFrame(data)
+    given, plain = [], tabular.boosted_trees
+
+    class Watched:
+        def __init__(self, *of, **settings):
+            self.trees = plain(*of, **settings)
+
+        def fit(self, rows):
+            given.append(rows.count())
+            return self.trees.fit(rows)
+
+    monkeypatch.setattr(tabular, "boosted_trees", Watched)
+    same_rows = dict(rounds=4, max_depth=3, gamma=0.0)
+    for more in ({}, {"weight": "w"}):
+        got = tabular.fit_regressor(df, "y", ["a", "b"], subsample=1.0, **same_rows, **more)
+        want = plain("y", ["a", "b"], subsample=1.0, **same_rows, **more).fit(df)
+        one, two = (tabular.score(m, df).groupBy("a", "b").agg(F.first("prediction").alias("p")).orderBy("a", "b").toPandas()["p"] for m in (got, want))
+        assert len(one) == 12 and np.allclose(one, two)
+    tabular.fit_regressor(df, "y", ["a", "b"], subsample=0.9, **same_rows)
+    tabular.fit_regressor(df, "y", ["a", "b"], subsample=1.0, min_child_weight=5.0, **same_rows)
+    assert given == [12, 12, 400, 400]
+
+
+@pytest.mark.parametrize("bad", [{"y": None}, {"y": float("nan")}, {"w": None}, {"w": -1.0}])
+def test_combined_rows_still_reject_unusable_ones(spark, bad):
+    rows = [{"a": 1.0, "y": 2.0, "w": 1.0}] * 3 + [{"a": 2.0, "y": 5.0, "w": 1.0}, {"a": 1.0, "y": 3.0, "w": 5.0, **bad}]
+    df = spark.createDataFrame([(r["a"], r["y"], r["w"]) for r in rows], "a double, y double, w double")
+    with pytest.raises(Exception):
+        tabular.boosted_trees("y", ["a"], rounds=1, subsample=1.0, weight="w").fit(df)
+    with pytest.raises(Exception):
+        tabular.fit_regressor(df, "y", ["a"], rounds=1, subsample=1.0, weight="w")
+
+
 # ------------------------------------------------------------ search
 
 SPACE = {"x": (0.0, 1.0), "y": (-2.0, 2.0), "n": (1, 4)}
