@@ -1,0 +1,144 @@
+"""The forest over windows that are made anew in each pass."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from stockweave.operators import window_forest as wf
+from stockweave.operators.boosting import Tree
+from stockweave.operators.forecast import training_rows
+from stockweave.operators.quantile_forest import INPUTS, fit_forest_forecaster, leveled_series, load_forest, with_leaves
+from stockweave.operators.window_tree import Windows
+from stockweave.session import scratch_path
+
+WINDOWS = Windows(14, 9, 1, 4)
+
+
+def packed_of(spark, sizes=(1, 2, 3, 20, 41, 41, 56, 130), seed=3):
+    draw = random.Random(seed)
+    series = [(f"i{k}", f"2024-01-{1 + k:02d}", [draw.choice([None, 0.0, draw.random() * 9, draw.random() - 1]) for _ in range(n)]) for k, n in enumerate(sizes)]
+    rows = spark.createDataFrame(series, "item string, d string, target array<double>")
+    return rows.select("item", F.to_timestamp("d").alias("start"), "target")
+
+
+@pytest.fixture(scope="module")
+def series(spark):
+    return leveled_series(packed_of(spark), "item", 10.0, "D")
+
+
+def batch_of(series):
+    rows = series.collect()
+    kinds = {"target": pa.list_(pa.float64()), "levels": pa.list_(pa.float64()), "series": pa.int64()}
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in kinds.items()], list(kinds))
+
+
+def wide_rows(block, season=WINDOWS.season):
+    """Inputs x rows, steps outermost."""
+    h, n = block.labels.shape
+    x, phase = block.inputs.T, np.arange(h) % season
+    parts = [np.repeat(np.arange(1.0, h + 1), n), x[:season][phase].ravel(), x[season : 2 * season][phase].ravel()]
+    return np.stack(parts + [np.tile(x[2 * season + j], h) for j in range(4)])
+
+
+def test_blocks_hold_the_training_rows_with_levels(spark, series, monkeypatch):
+    want = training_rows(packed_of(spark), "item", 14, 9, 1, 4, prior=10.0).select(*INPUTS, "label").toPandas().to_numpy(float)
+    in_order = lambda x: x[np.lexsort(np.round(x, 9).T)]
+    for size in (7, 2048):
+        monkeypatch.setattr(wf, "BLOCK", size)
+        blocks = list(wf._blocks([batch_of(series)], WINDOWS))
+        got = np.concatenate([np.vstack([wide_rows(b), b.labels.ravel()]).T[b.known.ravel()] for b in blocks])
+        assert max(len(b.inputs) for b in blocks) <= size and got.shape == want.shape and len(got) > 1000
+        assert np.allclose(in_order(got), in_order(want))
+
+
+def test_draws_do_not_follow_the_partitions_and_are_poisson(series):
+    whole = np.concatenate([b.times(1).ravel() for b in wf._blocks([batch_of(series)], WINDOWS, 3, 7)])
+    parts = np.concatenate([b.times(1).ravel() for r in range(batch_of(series).num_rows) for b in wf._blocks([batch_of(series).slice(r, 1)], WINDOWS, 3, 7)])
+    assert sorted(whole) == sorted(parts) and whole.sum() == parts.sum()
+    many = wf.Block(np.zeros((400, 0)), np.zeros((250, 400)), np.ones((250, 400), bool), np.random.SFC64(1).random_raw(25_000).view(np.uint16).reshape(1, 250, 400))
+    share = np.bincount(many.times(0).ravel(), minlength=9)[:4] / 100_000
+    assert np.allclose(share, np.exp(-1) / np.array([1, 1, 2, 6]), atol=0.005)
+
+
+def test_nodes_and_sums_equal_a_walk_over_all_rows(spark, series):
+    forest, cuts = wf.grow_window_forest(series, WINDOWS, 3, 4, 5, "all", 11)
+    again, _ = wf.grow_window_forest(series.repartition(5), WINDOWS, 3, 4, 5, "all", 11)
+    assert wf.window_forest(forest, cuts) == wf.window_forest(again, cuts)
+    assert len({tuple(t.feature) + tuple(t.cut) for t in forest}) == 3 and all((t.feature >= 0).sum() > 5 for t in forest)
+    blocks = list(wf._blocks([batch_of(series)], WINDOWS, 3, 11))
+    for t, tree in enumerate(forest):
+        bins = np.concatenate([np.stack([np.searchsorted(c, x, "left") for c, x in zip(cuts, wide_rows(b))]) for b in blocks], axis=1)
+        y, w = (np.concatenate([x.ravel() for x in xs]) for xs in ([b.labels for b in blocks], [b.times(t).astype(float) for b in blocks]))
+        # Each inner node has the split of largest drop of variance among the rows drawn that reach it.
+        top = Tree.empty(6)
+        for node in np.nonzero(tree.feature >= 0)[0]:
+            here = top.nodes(bins) == node
+            b, yy, ww = bins[:, here], y[here], w[here]
+
+            def score(k, c):
+                left = b[k] <= c
+                nl, nr = ww[left].sum(), ww[~left].sum()
+                return (yy * ww)[left].sum() ** 2 / nl + (yy * ww)[~left].sum() ** 2 / nr if min(nl, nr) >= 5 else -np.inf
+
+            best = max(score(k, c) for k in range(7) for c in range(len(cuts[k])))
+            assert score(tree.feature[node], tree.cut[node]) == pytest.approx(best)
+            top.feature[node], top.cut[node] = tree.feature[node], tree.cut[node]
+
+
+@pytest.mark.parametrize("depth, inputs", [(0, [3]), (3, [3, 6]), (5, [1, 4]), (6, range(7)), (8, range(7))])
+def test_routes_equal_the_tree(series, depth, inputs):
+    draw, (block,) = random.Random(depth), list(wf._blocks([batch_of(series)], WINDOWS))
+    cuts = wf.cuts_of(block.inputs, WINDOWS)
+    tree = Tree.empty(max(depth, 6))
+    for node in range(1, 1 << depth):
+        if tree.feature[node // 2] >= 0 or node == 1:
+            tree.feature[node] = draw.choice(inputs) if draw.random() < 0.9 or node == 1 else -1
+            tree.cut[node] = draw.randrange(max(1, len(cuts[tree.feature[node]])))
+    router, bins = wf._Router(tree, WINDOWS, cuts), block.binned(cuts, WINDOWS.season)
+    got = router.nodes(bins)[router.columns[0]]
+    want = tree.nodes(np.stack([np.searchsorted(c, x, "left") for c, x in zip(cuts, wide_rows(block))])).reshape(block.labels.shape)
+    assert (np.broadcast_to(got, want.shape) == want).all()
+
+
+def test_grid_is_of_all_labels(spark, series):
+    labels = np.sort(np.concatenate([b.labels[b.known] for b in wf._blocks([batch_of(series)], WINDOWS)]))
+    for cells in (1, 4, 256):
+        want = {labels[0], *[labels[max(int(np.ceil(i / cells * len(labels))), 1) - 1] for i in range(cells)]}
+        got = wf.label_grid(series, WINDOWS, cells)
+        # A rank may be missed by a hundredth of a share.
+        assert len(got) == len(want) and np.abs(np.searchsorted(labels, got) - np.searchsorted(labels, sorted(want))).max() <= len(labels) / (100 * cells)
+    few = spark.createDataFrame([([float(i % 3) for i in range(60)], [1.0] * 60, 5)], "target array<double>, levels array<double>, series long")
+    assert len(wf.label_grid(few, Windows(12, 6, 1, 3), 256)) == 3
+    assert wf.label_grid(few.limit(0), WINDOWS, 4) == []
+
+
+def test_sketch_counts_every_row_once_per_tree_and_models_are_saved(spark):
+    packed = packed_of(spark)
+    model = fit_forest_forecaster(packed, "item", 14, 9, season=4, trees=4, min_rows=5, max_depth=3, cells=16, subset="onethird")
+    rows = training_rows(packed, "item", 14, 9, 1, 4, prior=10.0)
+    forest, sketch = model.model.forest, model.model.sketch
+    assert isinstance(forest, wf.WindowForest)
+    per_tree = {r["tree"]: r["n"] for r in sketch.groupBy("tree").agg(F.sum("n").alias("n")).collect()}
+    assert per_tree == {t: rows.count() for t in range(4)}
+    leaves = with_leaves(forest, rows, INPUTS).select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count()
+    counted = sketch.groupBy("tree", "leaf").agg(F.sum("n").alias("count"))
+    assert sorted(map(tuple, leaves.collect())) == sorted(map(tuple, counted.collect())) and counted.count() > 8
+    path = scratch_path(spark, "forest")
+    model.model.save(path)
+    assert load_forest(spark, path).forest == forest
+    with pytest.raises(Exception, match="an input is missing"):
+        with_leaves(forest, rows.withColumn("known", F.lit(None).cast("double")), INPUTS).collect()
+
+
+def test_subsets_and_bad_input(spark):
+    assert [wf.columns_per_node(x, 20) for x in ("all", "auto", "onethird", "sqrt", "log2", "0.5", "2", "99")] == [7, 3, 3, 3, 3, 4, 2, 7]
+    with pytest.raises(ValueError):
+        wf.columns_per_node("0", 20)
+    with pytest.raises(ValueError, match="no row"):
+        fit_forest_forecaster(packed_of(spark, (1,)), "item")
+    bad = spark.createDataFrame([("a", [float("nan"), *[1.0, 2.0, 3.0] * 9])], "item string, target array<double>").withColumn("start", F.to_timestamp(F.lit("2024-01-01")))
+    with pytest.raises(Exception, match="an input is no number"):
+        fit_forest_forecaster(bad, "item", 4, 3, season=2)
